@@ -37,7 +37,11 @@ def synthetic_activities(employees: DataFrame, activities: DataFrame, seed: int,
     drawn = activities.select(
         F.col("id").alias("id_evenement_sportif"),
         F.sha2(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")), 256).alias("_hash"),
-    ).select("id_evenement_sportif", "_hash", (_draw(1, 15, people) + 1).alias("_number"))
+    ).select(
+        "id_evenement_sportif", "_hash",
+        # Never NULL, and said so: else the join filters on the key and hashes each row twice.
+        F.coalesce(_draw(1, 15, people) + 1, F.lit(0)).alias("_number"),
+    )
     return drawn.join(numbered, "_number").select(
         "id_evenement_sportif", key,
         _pick(16, SPORTS).alias("type_pratique_sportive"),

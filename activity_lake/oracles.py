@@ -118,9 +118,11 @@ _SYNTH = f"""
            strftime(DATE '2025-01-01' + CAST({_draw(32, 8, '365')} AS INTEGER), '%Y-%m-%d') AS date,
            {_draw(24, 8, '14')} + 1 AS distance, {_draw(40, 8, '3000')} + 600 AS temps_ecoule,
            {_COMMENTS}[{_draw(48, 8, '4')} + 1] AS commentaire
-    FROM (SELECT o_orderkey + 1 AS id, sha256('7:' || (o_orderkey + 1)) AS hash FROM orders) a
-    JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS number FROM customer) p
-        ON p.number = {_draw(1, 15, '(SELECT count(*) FROM customer)')} + 1
+    FROM (
+        SELECT *, {_draw(1, 15, '(SELECT count(*) FROM customer)')} + 1 AS number
+        FROM (SELECT o_orderkey + 1 AS id, sha256('7:' || (o_orderkey + 1)) AS hash FROM orders)
+    ) a
+    JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS number FROM customer) p ON p.number = a.number
 """
 
 ORACLES: dict[str, str] = {

@@ -120,12 +120,20 @@ def total_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grand_total(live_count(spark, sf_dir), COUNT)
 
 
+def _bronze_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """A Bronze table of four files, with the events of an activity spread over them."""
+    rows = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
+    rows.repartition(4, "kafka_offset").write.parquet(path)
+
+
 def incremental_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts kept batch by batch, with the events arriving out of order."""
-    state = IncrementalCounts(spark, scratch_dir(spark, "event_state"), block_size=1000)
-    decoded = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
+    paths = LakePaths(scratch_dir(spark, "incremental-count"))
+    _bronze_out_of_order(spark, sf_dir, paths.bronze)
+    state = IncrementalCounts(spark, paths.event_state, block_size=10_000)
+    history = read_bronze(spark, paths.bronze)
     for batch in range(3):
-        state.apply(decoded.filter(F.pmod(F.hash("kafka_offset"), F.lit(3)) == batch), batch)
+        state.apply(history.filter(F.pmod(F.hash("kafka_offset"), F.lit(3)) == batch), batch)
     return state.counts()
 
 
@@ -403,11 +411,6 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_bronze(read_bronze(spark, paths.bronze))
 
 
-def _bronze_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> None:
-    rows = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
-    rows.repartition(4, "kafka_offset").write.parquet(path)
-
-
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live counts after a stream of Bronze files in no order, recounted from the whole history for each batch."""
     paths = LakePaths(scratch_dir(spark, "recount"))
@@ -427,7 +430,7 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the batches alone."""
     paths = LakePaths(scratch_dir(spark, "incremental"))
     _bronze_out_of_order(spark, sf_dir, paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state, block_size=1000)
+    state = IncrementalCounts(spark, paths.event_state, block_size=10_000)
     files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=2)
     each_batch(files, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
     return state.counts()

@@ -61,9 +61,11 @@ def as_topic(events: DataFrame, key: Column | None = None) -> DataFrame:
         F.col("props").alias("commentaire"),
         F.when(F.col("event_type") == DELETE_TYPE, "true").otherwise("false").alias("__deleted"),
     )
-    return events.select(
+    row = F.struct(
         F.to_json(value).cast("binary").alias("value"),
         F.timestamp_micros(micros("ts")).alias("timestamp"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
     )
+    # Through a generator, so that a later filter does not encode the row a second time.
+    return events.select(F.inline(F.array(row)))

@@ -25,9 +25,6 @@ KEY = "id_evenement_sportif"
 OWNER = "employe_id"
 COUNT = "pratique_sportive_annuelle"
 _STATE = (KEY, OWNER, "is_deleted", *EVENT_ORDER)
-_STATE_SCHEMA = (
-    f"{KEY} BIGINT, {OWNER} BIGINT, is_deleted BOOLEAN, kafka_ts TIMESTAMP, kafka_partition INT, kafka_offset BIGINT"
-)
 _MAX_BLOCK_LIST = 10_000
 
 
@@ -74,20 +71,15 @@ class IncrementalCounts:
 
     def _predecessors(self, touched: DataFrame, batch_id: int) -> DataFrame:
         """State before the batch of the keys it touches."""
-        parts = [self._spark.createDataFrame([], _STATE_SCHEMA)]
         deltas = self._deltas(batch_id)
-        if deltas is not None:
-            parts.append(deltas.select(*_STATE))
+        known = touched.select(*_STATE).limit(0) if deltas is None else deltas.select(*_STATE)
         base = self._base(batch_id)
         if base is not None:
             # Folders to read, where the list is short enough to hand around; else all of them.
             blocks = touched.select(self._block().alias("block")).distinct().limit(_MAX_BLOCK_LIST + 1).collect()
             if len(blocks) <= _MAX_BLOCK_LIST:
                 base = base.filter(F.col("block").isin([row["block"] for row in blocks]))
-            parts.append(base.select(*_STATE))
-        known = parts[0]
-        for part in parts[1:]:
-            known = known.unionByName(part)
+            known = known.unionByName(base.select(*_STATE))
         return known.join(touched.select(KEY), KEY, "left_semi")
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
@@ -117,7 +109,7 @@ class IncrementalCounts:
     def counts(self, upto: int | None = None) -> DataFrame:
         """Live activities per owner after a batch, or after the last one taken in."""
         before = (1 << 62) if upto is None else upto + 1
-        changes = self._spark.createDataFrame([], f"{OWNER} BIGINT, change BIGINT")
+        changes = self._spark.range(0).select(F.col("id").alias(OWNER), F.col("id").alias("change"))
         base = self._base_batch(before)
         if base >= 0:
             counted = self._spark.read.parquet(f"{self._root}/counts/upto={base}")
