@@ -48,8 +48,10 @@ def to_bronze(topic: DataFrame, precision: int = 10, scale: int = 0) -> DataFram
         decode_decimal(F.col("distance.value"), F.col("distance.scale"), precision, scale).alias("distance_km"),
         (F.col("__deleted") == "true").alias("is_deleted"),
     )
+    # A blank text is no JSON either, but the parser does not report it.
+    unparsed = F.col(_BAD_JSON).isNotNull() | (F.trim("json_text") == "")
     reason = (
-        F.when(F.col("id_evenement_sportif").isNull() & F.col(_BAD_JSON).isNotNull(), "bad_json")
+        F.when(F.col("id_evenement_sportif").isNull() & unparsed, "bad_json")
         .when(F.col("id_evenement_sportif").isNull(), "no_key")
         .when(F.col("date").isNotNull() & F.col("_micros").isNull(), "bad_date")
         .when(F.col("distance.value").isNotNull() & F.col("distance_km").isNull(), "bad_distance")
