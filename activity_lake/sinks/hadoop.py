@@ -21,6 +21,10 @@ class HadoopFiles:
     def is_file(self, path: str) -> bool:
         return self.exists(path) and self._fs.getFileStatus(self._path(path)).isFile()
 
+    def size(self, path: str) -> int:
+        """Bytes of all files below a folder."""
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def names(self, path: str) -> list[str]:
         """Names directly below a folder, in order; nothing for a missing folder."""
         if not self.exists(path):

@@ -1,14 +1,14 @@
 """Live counts kept up to date batch by batch, equal to a recount of the whole history.
 
-Per batch two small things are written: the newest event of each activity the batch touched, and with it what that
-activity counted for before. Delete markers stay, so that an older event arriving later cannot revive a deleted
-activity. When the batches since the last base outgrow a share of it, they are folded into a new base.
+    base/upto=<batch>/block=<n>/     newest event per activity
+    deltas/batch=<batch>/block=<n>/  newest event of each activity a batch touched, and what it counted for before
+    counts/batch=<batch>/            live activities per owner after a batch
 
-    base/upto=<batch>/block=<n>/   newest event per activity
-    counts/upto=<batch>/           live activities per owner
-    deltas/batch=<batch>/          winners of one batch and their predecessors
+A batch reads the state of the activities it touches, and only in the blocks of keys these lie in. Delete markers stay,
+so that an older event arriving later cannot revive a deleted activity. When the deltas outgrow a share of the base,
+they are folded into a new base, so a row is rewritten a bounded number of times on average.
 
-A batch handed over again reads only what lies before it and overwrites its own delta, so the result is the same.
+A batch handed over again reads only what lies before it and overwrites what it wrote, so the result is the same.
 """
 
 from __future__ import annotations
@@ -25,11 +25,20 @@ KEY = "id_evenement_sportif"
 OWNER = "employe_id"
 COUNT = "pratique_sportive_annuelle"
 _STATE = (KEY, OWNER, "is_deleted", *EVENT_ORDER)
+# Declared, so that opening the files needs no job to look into them.
+_STATE_SCHEMA = (
+    f"{KEY} BIGINT, {OWNER} BIGINT, is_deleted BOOLEAN, kafka_ts TIMESTAMP, kafka_partition INT, kafka_offset BIGINT, "
+    "block BIGINT"
+)
+_DELTA_SCHEMA = f"{_STATE_SCHEMA}, old_owner BIGINT, old_deleted BOOLEAN"
+_COUNT_SCHEMA = f"{OWNER} BIGINT, {COUNT} BIGINT"
 _MAX_BLOCK_LIST = 10_000
+_KEPT_COUNTS = 3
+_LAST = 1 << 62
 
 
 class IncrementalCounts:
-    """``block_size`` consecutive activity keys share a folder of the base, so recent keys touch few folders."""
+    """A block holds ``block_size`` consecutive keys; keys are given out in order, so recent ones share few blocks."""
 
     def __init__(self, spark: SparkSession, root: str, block_size: int = 1_000_000, fold_share: float = 0.25):
         self._spark = spark
@@ -40,47 +49,64 @@ class IncrementalCounts:
 
     # Layout
 
-    def _complete(self, folder: str, label: str, before: int) -> list[int]:
-        pattern = re.compile(rf"{label}=(\d+)")
-        found = [pattern.fullmatch(name) for name in self._files.names(f"{self._root}/{folder}")]
+    def _path(self, folder: str, number: int) -> str:
+        label = "upto" if folder == "base" else "batch"
+        return f"{self._root}/{folder}/{label}={number}"
+
+    def _complete(self, folder: str, before: int = _LAST) -> list[int]:
+        """Batch numbers whose files are all there, in order."""
+        found = [re.fullmatch(r"(?:upto|batch)=(\d+)", name) for name in self._files.names(f"{self._root}/{folder}")]
         numbers = sorted(int(match.group(1)) for match in found if match)
         return [
             number for number in numbers
-            if number < before and self._files.exists(f"{self._root}/{folder}/{label}={number}/_SUCCESS")
+            if number < before and self._files.exists(f"{self._path(folder, number)}/_SUCCESS")
         ]
 
     def _base_batch(self, before: int) -> int:
-        """Last batch folded into the newest base; -1 without a base. Counts are written last and complete a base."""
-        return max(self._complete("counts", "upto", before), default=-1)
+        """Last batch in the newest base; -1 without a base."""
+        return max(self._complete("base", before), default=-1)
 
     def _base(self, before: int) -> DataFrame | None:
         upto = self._base_batch(before)
-        return self._spark.read.parquet(f"{self._root}/base/upto={upto}") if upto >= 0 else None
+        return self._spark.read.schema(_STATE_SCHEMA).parquet(self._path("base", upto)) if upto >= 0 else None
 
-    def _deltas(self, before: int) -> DataFrame | None:
+    def _delta_paths(self, before: int) -> list[str]:
         """Deltas after the base and before a batch."""
         upto = self._base_batch(before)
-        batches = [number for number in self._complete("deltas", "batch", before) if number > upto]
-        paths = [f"{self._root}/deltas/batch={number}" for number in batches]
-        return self._spark.read.parquet(*paths) if paths else None
+        return [self._path("deltas", number) for number in self._complete("deltas", before) if number > upto]
+
+    def _deltas(self, before: int) -> DataFrame | None:
+        paths = self._delta_paths(before)
+        if not paths:
+            return None
+        return self._spark.read.schema(_STATE_SCHEMA).option("basePath", f"{self._root}/deltas").parquet(*paths)
 
     def _block(self) -> Column:
         return F.floor(F.col(KEY) / self._block_size)
 
+    def _write_blocks(self, rows: DataFrame, path: str) -> None:
+        """One file per block, which has at most ``block_size`` rows because a key is in it once."""
+        blocks = rows.withColumn("block", self._block()).repartition("block")
+        blocks.write.mode("overwrite").partitionBy("block").parquet(path)
+
     # One batch
 
+    def _stored(self, before: int) -> DataFrame | None:
+        """All state before a batch, with several rows for some keys."""
+        parts = [part for part in (self._base(before), self._deltas(before)) if part is not None]
+        rows = [part.select(*_STATE, "block") for part in parts]
+        return None if not rows else rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
+
     def _predecessors(self, touched: DataFrame, batch_id: int) -> DataFrame:
         """State before the batch of the keys it touches."""
-        deltas = self._deltas(batch_id)
-        known = touched.select(*_STATE).limit(0) if deltas is None else deltas.select(*_STATE)
-        base = self._base(batch_id)
-        if base is not None:
-            # Folders to read, where the list is short enough to hand around; else all of them.
-            blocks = touched.select(self._block().alias("block")).distinct().limit(_MAX_BLOCK_LIST + 1).collect()
-            if len(blocks) <= _MAX_BLOCK_LIST:
-                base = base.filter(F.col("block").isin([row["block"] for row in blocks]))
-            known = known.unionByName(base.select(*_STATE))
-        return known.join(touched.select(KEY), KEY, "left_semi")
+        stored = self._stored(batch_id)
+        if stored is None:
+            return touched.select(*_STATE).limit(0)
+        # Folders to read, where the list is short enough to hand around; else all of them.
+        blocks = touched.select(self._block().alias("block")).distinct().limit(_MAX_BLOCK_LIST + 1).collect()
+        if len(blocks) <= _MAX_BLOCK_LIST:
+            stored = stored.filter(F.col("block").isin([row["block"] for row in blocks]))
+        return stored.select(*_STATE).join(touched.select(KEY), KEY, "left_semi")
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Take in one micro-batch of Bronze rows."""
@@ -92,70 +118,61 @@ class IncrementalCounts:
             )
             state = F.struct(*[column for column in _STATE if column != KEY])
             order = order_value(EVENT_ORDER)
-            old_order = F.when(F.col("_old"), order)
             merged = candidates.groupBy(KEY).agg(
                 F.max_by(state, order).alias("now"),
-                F.max_by(F.struct(OWNER, "is_deleted"), old_order).alias("was"),
+                F.max_by(F.struct(OWNER, "is_deleted"), F.when(F.col("_old"), order)).alias("was"),
+            )
+            self._write_blocks(
+                merged.select(
+                    KEY, "now.*", F.col(f"was.{OWNER}").alias("old_owner"), F.col("was.is_deleted").alias("old_deleted")
+                ),
+                self._path("deltas", batch_id),
             )
-            merged.select(
-                KEY, "now.*", F.col("was.employe_id").alias("old_owner"), F.col("was.is_deleted").alias("old_deleted")
-            ).write.mode("overwrite").parquet(f"{self._root}/deltas/batch={batch_id}")
         finally:
             newest.unpersist()
+        self._count(batch_id)
         self._fold_if_due(batch_id)
 
-    # Results
+    # Counts
+
+    def _count(self, batch_id: int) -> None:
+        """Counts after the batch: those before it, plus what changed."""
+        delta = self._spark.read.schema(_DELTA_SCHEMA).parquet(self._path("deltas", batch_id))
+        now = F.struct(F.col(OWNER).alias(OWNER), _live("is_deleted").alias(COUNT))
+        was = F.struct(F.col("old_owner").alias(OWNER), (-_live("old_deleted")).alias(COUNT))
+        changes = delta.select(F.inline(F.array(now, was))).filter(f"{COUNT} <> 0 AND {OWNER} IS NOT NULL")
+        summed = self.counts(batch_id - 1).unionByName(changes).groupBy(OWNER).agg(F.sum(COUNT).alias(COUNT))
+        summed.filter(F.col(COUNT) > 0).write.mode("overwrite").parquet(self._path("counts", batch_id))
+        for number in self._complete("counts", batch_id + 1)[:-_KEPT_COUNTS]:
+            self._files.delete(self._path("counts", number))
 
     def counts(self, upto: int | None = None) -> DataFrame:
         """Live activities per owner after a batch, or after the last one taken in."""
-        before = (1 << 62) if upto is None else upto + 1
-        changes = self._spark.range(0).select(F.col("id").alias(OWNER), F.col("id").alias("change"))
-        base = self._base_batch(before)
-        if base >= 0:
-            counted = self._spark.read.parquet(f"{self._root}/counts/upto={base}")
-            changes = changes.unionByName(counted.select(OWNER, F.col(COUNT).alias("change")))
-        deltas = self._deltas(before)
-        if deltas is not None:
-            now = F.struct(F.col(OWNER).alias(OWNER), _live("is_deleted").alias("change"))
-            was = F.struct(F.col("old_owner").alias(OWNER), (-_live("old_deleted")).alias("change"))
-            changes = changes.unionByName(deltas.select(F.inline(F.array(now, was))).filter("change <> 0"))
-        return (
-            changes.filter(F.col(OWNER).isNotNull()).groupBy(OWNER)
-            .agg(F.sum("change").alias(COUNT)).filter(F.col(COUNT) > 0)
-        )
+        known = self._complete("counts", _LAST if upto is None else upto + 1)
+        if known:
+            return self._spark.read.schema(_COUNT_SCHEMA).parquet(self._path("counts", known[-1]))
+        return self._spark.range(0).select(F.col("id").alias(OWNER), F.col("id").alias(COUNT))
 
     # Folding
 
     def _fold_if_due(self, batch_id: int) -> None:
-        deltas, base = self._deltas(batch_id + 1), self._base(batch_id + 1)
-        if deltas is None:
-            return
-        if base is None or deltas.count() >= self._fold_share * base.count():
+        upto = self._base_batch(batch_id + 1)
+        base = self._files.size(self._path("base", upto)) if upto >= 0 else 0
+        if sum(map(self._files.size, self._delta_paths(batch_id + 1))) >= self._fold_share * base:
             self.fold(batch_id)
 
     def fold(self, batch_id: int) -> None:
         """Write a base of everything up to a batch, then drop what only older bases needed."""
-        deltas, base = self._deltas(batch_id + 1), self._base(batch_id + 1)
-        if deltas is None:
+        stored = self._stored(batch_id + 1)
+        if stored is None or not self._delta_paths(batch_id + 1):
             return
-        rows = deltas.select(*_STATE)
-        if base is not None:
-            rows = rows.unionByName(base.select(*_STATE))
         previous = self._base_batch(batch_id + 1)
-        (
-            latest_by_max(rows, [KEY]).withColumn("block", self._block()).repartition("block")
-            .write.mode("overwrite").partitionBy("block").parquet(f"{self._root}/base/upto={batch_id}")
-        )
-        self.counts(batch_id).write.mode("overwrite").parquet(f"{self._root}/counts/upto={batch_id}")
-        self._drop_before(previous)
-
-    def _drop_before(self, batch_id: int) -> None:
-        """Keep the previous base and the deltas after it for readers that started before the fold."""
-        for folder, label in (("counts", "upto"), ("base", "upto")):
-            for number in self._complete(folder, label, batch_id):
-                self._files.delete(f"{self._root}/{folder}/{label}={number}")
-        for number in self._complete("deltas", "batch", batch_id + 1):
-            self._files.delete(f"{self._root}/deltas/batch={number}")
+        self._write_blocks(latest_by_max(stored.select(*_STATE), [KEY]), self._path("base", batch_id))
+        # The previous base and the deltas after it stay: a repeated batch and readers still need them.
+        for number in self._complete("base", previous):
+            self._files.delete(self._path("base", number))
+        for number in self._complete("deltas", previous + 1):
+            self._files.delete(self._path("deltas", number))
 
 
 def _live(flag: str) -> Column:

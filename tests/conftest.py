@@ -12,7 +12,7 @@ from activity_lake.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", f"local[{os.environ.get('TEST_CPUS', '8')}]", {
-        "spark.sql.shuffle.partitions": "8",
+        "spark.sql.shuffle.partitions": "4",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "8g",
