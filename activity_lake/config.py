@@ -34,6 +34,7 @@ COUNT_STEPS = (("green", 0), ("red", 80))
 
 TRIGGER_INTERVAL = "30 seconds"
 POLL_INTERVAL = "10 seconds"
+METRICS_INTERVAL = "60 seconds"
 
 
 @dataclass(frozen=True)

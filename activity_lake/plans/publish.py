@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.sinks.hadoop import HadoopFiles
 
+_LOG = logging.getLogger(__name__)
 _VERSION = re.compile(r"version=(\d+)")
 
 
@@ -66,6 +68,7 @@ class SnapshotStore:
         """
         newest = self.read()
         if newest is None:
+            _LOG.warning("nothing to publish below %s", self._root)
             return None
         staged = f"{self._root}/_staged"
         single = newest.count() <= self._max_rows
@@ -85,6 +88,9 @@ class SnapshotStore:
             self._files.rename(staged, self.published_path)
         return self.published_path
 
+    def is_published(self) -> bool:
+        return self._files.exists(self.published_path)
+
     def read_published(self, *columns: str) -> DataFrame:
         published = self._spark.read.parquet(self.published_path)
         return published.select(*columns) if columns else published

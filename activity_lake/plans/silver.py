@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.config import MobilityRules
 from activity_lake.functions.rules import check_limit, map_category
-from activity_lake.operators.joins import join_back, keep_values, with_count, with_label
+from activity_lake.operators.joins import keep_values, with_count, with_label
 from activity_lake.operators.lookup import DistanceCache, Resolver, lookup_keys
 
 MODE = "moyen_deplacement_id"
@@ -27,22 +27,27 @@ def add_lookup_mode(people: DataFrame, rules: MobilityRules, mode: str = MODE) -
     return people.withColumn("mode", map_category(F.col(mode), rules.lookup_modes))
 
 
-def check_distance(people: DataFrame, rules: MobilityRules, mode: str = MODE, km: str = "distance_km") -> DataFrame:
-    """The coherence of a distance with its mode; modes without a limit have neither."""
-    known = F.col(mode).isin(*rules.max_km)
-    return people.withColumn(km, F.when(known, F.col(km).cast("double"))).withColumn(
-        "coherence_distance", check_limit(F.col(mode), F.col(km), rules.max_km)
-    )
-
-
-def checked_commutes(
+def resolve_commutes(
     employees: DataFrame, modes: DataFrame, rules: MobilityRules, cache: DistanceCache, resolver: Resolver,
     batch_id: int, parallel_calls: int = 8,
-) -> DataFrame:
-    """Key, distance and coherence of the employees with soft mobility, after asking for the unknown distances."""
-    people = add_lookup_mode(soft_mobility(employees, modes, rules), rules).select("employe_id", "adresse", MODE, "mode")
+) -> None:
+    """Ask for the distances of the employees with soft mobility that are not known yet."""
+    people = add_lookup_mode(soft_mobility(employees, modes, rules), rules)
     cache.fill(lookup_keys(people), resolver, batch_id, parallel_calls)
-    return check_distance(cache.add_km(people), rules).select("employe_id", "distance_km", "coherence_distance")
+
+
+def with_commutes(employees: DataFrame, modes: DataFrame, rules: MobilityRules, cache: DistanceCache) -> DataFrame:
+    """All employees, with distance and coherence where the mode is a soft one and the distance is known.
+
+    Other employees keep a NULL lookup mode, which matches nothing, so one pass over the employees does for what
+    would be a filter, a check and a join back.
+    """
+    labels = modes.select(MODE, F.col(LABEL).isin(*rules.labels).alias("_soft"))
+    people = add_lookup_mode(employees.join(labels, MODE, "left"), rules)
+    people = people.withColumn("mode", F.when(F.col("_soft"), F.col("mode")))
+    return cache.add_km(people).withColumn(
+        "coherence_distance", check_limit(F.col(MODE), F.col("distance_km"), rules.max_km)
+    ).select(*employees.columns, "distance_km", "coherence_distance")
 
 
 def with_lineage(rows: DataFrame, batch_id: int, at: Column | None = None) -> DataFrame:
@@ -50,7 +55,6 @@ def with_lineage(rows: DataFrame, batch_id: int, at: Column | None = None) -> Da
     return rows.withColumn("batch_id", F.lit(batch_id)).withColumn("processing_time", stamp)
 
 
-def silver_table(employees: DataFrame, commutes: DataFrame, counts: DataFrame, batch_id: int, at: Column | None = None) -> DataFrame:
-    """All employees; both joins are on their key, so they share one shuffle of the employees."""
-    enriched = join_back(employees, commutes, "employe_id", ["distance_km", "coherence_distance"])
-    return with_count(with_lineage(enriched, batch_id, at), counts, "employe_id", COUNT)
+def silver_table(checked: DataFrame, counts: DataFrame, batch_id: int, at: Column | None = None) -> DataFrame:
+    """All employees with their checked commute and their live activities, 0 where there are none."""
+    return with_count(with_lineage(checked, batch_id, at), counts, "employe_id", COUNT)

@@ -1,22 +1,24 @@
-"""The three streams of the pipeline: topic to Bronze, Bronze to Silver, topic to messages."""
+"""The streams of the pipeline: topic to Bronze, Bronze to Silver, topic to messages, snapshot to metrics."""
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from activity_lake.config import TRIGGER_INTERVAL, LakePaths, MobilityRules
+from activity_lake.config import METRICS_INTERVAL, TRIGGER_INTERVAL, LakePaths, MobilityRules
 from activity_lake.operators import notify
 from activity_lake.operators.bronze import parse_changes, to_bronze
 from activity_lake.operators.current_state import grand_total, live_counts
 from activity_lake.operators.joins import broadcast_if_small
 from activity_lake.operators.lookup import DistanceCache, Resolver
+from activity_lake.operators.metrics import append_gauges, gauges
 from activity_lake.plans.gate import is_changed
 from activity_lake.plans.publish import SnapshotStore
-from activity_lake.plans.silver import COUNT, LINEAGE, checked_commutes, silver_table
+from activity_lake.plans.silver import COUNT, LINEAGE, resolve_commutes, silver_table, with_commutes
 from activity_lake.schemas import bronze_schema
 from activity_lake.sinks.hadoop import HadoopFiles
 from activity_lake.sinks.streams import append_parquet, each_batch
@@ -25,6 +27,8 @@ from activity_lake.streaming.incremental import IncrementalCounts
 
 ReadTable = Callable[[], DataFrame]
 
+_LOG = logging.getLogger(__name__)
+
 
 def start_bronze(
     topic: DataFrame, paths: LakePaths, interval: str | None = TRIGGER_INTERVAL, by_day: bool = False,
@@ -85,21 +89,30 @@ class SilverRefresh:
             total = grand_total(counts, COUNT).first()["total"]
             existing = self.store.read()
             if self._gate == "total" and not is_changed(counts, existing, COUNT, "total", new_total=total):
-                self.log.append({"batch_id": batch_id, "written": False, "total": total})
+                self._record(batch_id, total)
                 return
-            commutes = checked_commutes(
+            resolve_commutes(
                 employees, modes, self._rules, self._cache, self._resolver, batch_id, self._parallel_calls
             )
-            table = silver_table(employees, commutes, counts, batch_id)
+            checked = with_commutes(employees, modes, self._rules, self._cache)
+            table = silver_table(checked, counts, batch_id)
             if self._gate == "fingerprint" and not is_changed(table, existing, COUNT, "fingerprint", LINEAGE):
-                self.log.append({"batch_id": batch_id, "written": False, "total": total})
+                self._record(batch_id, total)
                 return
             seen = self.store.write(table, COUNT)
             self.store.publish()
-            self.log.append({"batch_id": batch_id, "written": True, "total": total, "rows": seen["rows"]})
+            self._record(batch_id, total, seen["rows"])
         finally:
             counts.unpersist()
 
+    def _record(self, batch_id: int, total: int, rows: int | None = None) -> None:
+        """What a batch came to: the total, and the rows of the table if it was written."""
+        self.log.append({"batch_id": batch_id, "written": rows is not None, "total": total, "rows": rows})
+        if rows is None:
+            _LOG.info("batch %d: table is up to date, %d activities", batch_id, total)
+        else:
+            _LOG.info("batch %d: table written, %d employees, %d activities", batch_id, rows, total)
+
 
 def start_silver(
     spark: SparkSession, paths: LakePaths, handler: SilverRefresh, interval: str | None = TRIGGER_INTERVAL,
@@ -120,3 +133,17 @@ def start_notifications(
     texts = notify.messages(parse_changes(topic), people, include_deleted)
     rows = notify.queued(texts) if send is None else notify.deliver(texts, send)
     return append_parquet(rows, paths.outbox, paths.checkpoint("outbox"), interval)
+
+
+def sample_metrics(store: SnapshotStore, paths: LakePaths) -> bool:
+    """Append the gauges of the published snapshot; False while nothing is published."""
+    if not store.is_published():
+        return False
+    append_gauges(gauges(store.read_published()), paths.metrics)
+    return True
+
+
+def start_metrics(spark: SparkSession, store: SnapshotStore, paths: LakePaths, interval: str = METRICS_INTERVAL) -> StreamingQuery:
+    """Sample the gauges at intervals; the rate stream is only the clock."""
+    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    return each_batch(clock, lambda _, __: sample_metrics(store, paths), paths.checkpoint("metrics"), interval)

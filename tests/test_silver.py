@@ -5,7 +5,7 @@ from activity_lake.config import LakePaths, MobilityRules
 from activity_lake.operators.lookup import DistanceCache, lookup_keys, resolve_keys
 from activity_lake.plans.gate import fingerprint, is_changed
 from activity_lake.plans.publish import SnapshotStore
-from activity_lake.plans.silver import COUNT, LINEAGE, add_lookup_mode, checked_commutes, silver_table, soft_mobility
+from activity_lake.plans.silver import COUNT, LINEAGE, add_lookup_mode, resolve_commutes, silver_table, soft_mobility, with_commutes
 from tests.data import as_dict, employees, modes
 
 RULES = MobilityRules()
@@ -23,13 +23,14 @@ def no_calls(keys: pd.DataFrame) -> pd.Series:
 
 def commutes(spark, folder, people, resolver=by_address, batch_id=0):
     cache = DistanceCache(spark, f"{folder}/cache")
-    return checked_commutes(people, modes(spark), RULES, cache, resolver, batch_id, parallel_calls=2)
+    resolve_commutes(people, modes(spark), RULES, cache, resolver, batch_id, parallel_calls=2)
+    return with_commutes(people, modes(spark), RULES, cache)
 
 
 def test_only_soft_modes_are_checked_and_all_employees_kept(spark, folder):
     people = employees(spark, PEOPLE)
     counts = spark.createDataFrame([(1, 4), (5, 2), (99, 7)], f"employe_id bigint, {COUNT} bigint")
-    table = silver_table(people, commutes(spark, folder, people), counts, 3)
+    table = silver_table(commutes(spark, folder, people), counts, 3)
     assert as_dict(table, "employe_id", "distance_km", "coherence_distance", COUNT) == {
         1: (15.0, "OK", 4), 2: (15.5, "ERREUR", 0), 3: (25.0, "OK", 0), 4: (26.0, "ERREUR", 0), 5: (None, None, 2),
         6: (None, None, 0), 7: (None, None, 0),
@@ -41,7 +42,7 @@ def test_only_soft_modes_are_checked_and_all_employees_kept(spark, folder):
 def test_no_employee_with_a_soft_mode(spark, folder):
     people = employees(spark, PEOPLE[4:6])
     counts = spark.createDataFrame([], f"employe_id bigint, {COUNT} bigint")
-    table = silver_table(people, commutes(spark, folder, people, no_calls), counts, 0)
+    table = silver_table(commutes(spark, folder, people, no_calls), counts, 0)
     assert as_dict(table, "employe_id", "coherence_distance", COUNT) == {5: (None, 0), 6: (None, 0)}
 
 
@@ -52,6 +53,16 @@ def test_label_selects_and_id_limits(spark):
     assert as_dict(soft, "employe_id", "mode") == {2: "bicycling", 3: None}
 
 
+def test_limits_need_both_label_and_id(spark, folder):
+    people = employees(spark, [(1, "5 km", 2), (2, "5 km", 3), (3, "5 km", 8)])
+    labels = spark.createDataFrame([(2, "autre"), (3, "Vélo/Trottinette/Autres"), (8, "Marche/running")], modes(spark).schema)
+    cache = DistanceCache(spark, f"{folder}/cache")
+    resolve_commutes(people, labels, RULES, cache, by_address, 0)
+    checked = with_commutes(people, labels, RULES, cache)
+    assert as_dict(checked, "employe_id", "coherence_distance") == {1: None, 2: "OK", 3: None}
+    assert cache.read().count() == 1
+
+
 def test_label_filter_reaches_the_scan(spark, folder):
     employees(spark, PEOPLE).write.parquet(f"{folder}/p")
     modes(spark).write.parquet(f"{folder}/m")

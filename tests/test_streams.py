@@ -10,7 +10,9 @@ from activity_lake.operators.current_state import live_counts
 from activity_lake.plans.silver import COUNT
 from activity_lake.sources.files import read_bronze
 from activity_lake.sources.topics import stream_topic_files
-from activity_lake.streaming.runners import SilverRefresh, start_bronze, start_notifications, start_silver
+from activity_lake.streaming.runners import (
+    SilverRefresh, sample_metrics, start_bronze, start_metrics, start_notifications, start_silver,
+)
 from tests.data import as_dict, bronze_rows, change, employees, modes, topic
 
 PEOPLE = [(1, "10 km", 2), (2, "26 km", 3), (3, "1 km", 0)]
@@ -174,3 +176,23 @@ def test_names_come_by_a_join(spark, folder):
     parsed = parse_changes(topic(spark, [change(1, 1)]))
     plan = notify.messages(parsed, employees(spark, PEOPLE))._jdf.queryExecution().executedPlan().toString()
     assert "Join" in plan and "Python" not in plan
+
+
+def test_metrics_of_the_published_snapshot(spark, folder):
+    import time
+
+    paths = LakePaths(f"{folder}/lake")
+    bronze_rows(spark, [(1, 1, False, 0, 0, 0), (2, 1, False, 1, 0, 1)]).write.parquet(paths.bronze)
+    refresh = handler(spark, paths)
+    assert not sample_metrics(refresh.store, paths)
+    refresh.refresh(0)
+    query = start_metrics(spark, refresh.store, paths, "1 second")
+    try:
+        deadline = time.time() + 60
+        while query.lastProgress is None or query.lastProgress.batchId < 1:
+            assert time.time() < deadline
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    values = as_dict(spark.read.parquet(paths.metrics), "metric", "value")
+    assert values["pipeline_silver_activites_total"] == 2 and values["pipeline_silver_employes_total"] == 3
