@@ -120,10 +120,16 @@ def total_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grand_total(live_count(spark, sf_dir), COUNT)
 
 
-def _bronze_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> None:
-    """A Bronze table of four files, with the events of an activity spread over them."""
+def _shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _bronze_out_of_order(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """A Bronze table with the events of an activity spread over its files; returns how many files there are."""
+    files = max(_shuffle_partitions(spark), 4)
     rows = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
-    rows.repartition(4, "kafka_offset").write.parquet(path)
+    rows.repartition(files, "kafka_offset").write.parquet(path)
+    return files
 
 
 def incremental_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -303,7 +309,7 @@ def memo_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cache = DistanceCache(spark, scratch_dir(spark, "distance_cache"))
     known = keys.filter("employe_id % 2 = 0").withColumn("km", (F.col("employe_id") % 30).cast("double") + 0.5)
     cache.remember(known, 0)
-    cache.fill(keys, resolver, 1)
+    cache.fill(keys, resolver, 1, parallel_calls=_shuffle_partitions(spark))
     return cache.add_km(people).select("employe_id", "mode", "distance_km")
 
 
@@ -414,14 +420,14 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live counts after a stream of Bronze files in no order, recounted from the whole history for each batch."""
     paths = LakePaths(scratch_dir(spark, "recount"))
-    _bronze_out_of_order(spark, sf_dir, paths.bronze)
+    written = _bronze_out_of_order(spark, sf_dir, paths.bronze)
     store = SnapshotStore(spark, paths.silver)
 
     def recount(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             store.write(live_counts(read_bronze(spark, paths.bronze)), COUNT)
 
-    files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=2)
+    files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=written // 2)
     each_batch(files, recount, paths.checkpoint("silver"), interval=None).awaitTermination()
     return store.read()
 
@@ -429,9 +435,9 @@ def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the batches alone."""
     paths = LakePaths(scratch_dir(spark, "incremental"))
-    _bronze_out_of_order(spark, sf_dir, paths.bronze)
+    written = _bronze_out_of_order(spark, sf_dir, paths.bronze)
     state = IncrementalCounts(spark, paths.event_state, block_size=10_000)
-    files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=2)
+    files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=written // 2)
     each_batch(files, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
     return state.counts()
 
