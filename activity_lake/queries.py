@@ -21,13 +21,13 @@ from activity_lake.operators.synth import synthetic_activities
 from activity_lake.plans.gate import fingerprint
 from activity_lake.plans.publish import SnapshotStore
 from activity_lake.session import scratch_dir
-from activity_lake.sinks.streams import append_parquet, as_topic_rows, each_batch
+from activity_lake.sinks.streams import as_topic_rows, each_batch
 from activity_lake.sources.files import columns_from_json, read_bronze, read_csv, stream_parquet
 from activity_lake.sources.polling import with_envelope
 from activity_lake.sources.relational import max_key
 from activity_lake.schemas import bronze_schema
 from activity_lake.standins import (
-    DELETE_TYPE, SOFT_SEGMENTS, as_topic, cents, event_key, keyed_state, micros, prop_k, stream_table, table,
+    DELETE_TYPE, SOFT_SEGMENTS, as_topic, cents, event_key, keyed_state, micros, stream_table, table,
 )
 from activity_lake.streaming.incremental import IncrementalCounts
 from activity_lake.streaming.runners import start_bronze, start_notifications

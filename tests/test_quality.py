@@ -55,7 +55,8 @@ def test_empty_table_meets_every_expectation(spark):
 
 
 def test_report_lines(spark):
-    results = quality.run_suite(activities(spark), [quality.Between("distance", 0.01), quality.NotNull("type_pratique_sportive"), quality.InSet("id", (1, 2, 3, 4))])
+    checks = [quality.Between("distance", 0.01), quality.NotNull("type_pratique_sportive"), quality.InSet("id", (1, 2, 3, 4))]
+    results = quality.run_suite(activities(spark), checks)
     lines = as_dict(quality.with_report_line(results), "column_name", "report_line")
     assert lines["distance"] == "-- KO -- [distance] expect_column_values_to_be_between {min_value=0.01, max_value=None} : 2/5 (50.0%)"
     assert lines["id"].startswith("-- OK -- [id]") and lines["id"].endswith("{value_set=1|2|3|4}")
@@ -64,7 +65,10 @@ def test_report_lines(spark):
 def test_declared_constraints(spark):
     people = employees(spark, [(1, "a", 2), (1, "b", 3), (3, None, 9)]).withColumn("salaire", F.lit(1).cast("decimal(18,2)"))
     checks = quality.table_expectations(TABLES["salarie"], {"moyen_deplacement": modes(spark)})
-    failed = {(row["expectation"], row["column_name"]): row["unexpected_count"] for row in quality.run_suite(people, checks).collect() if not row["success"]}
+    failed = {
+        (row["expectation"], row["column_name"]): row["unexpected_count"]
+        for row in quality.run_suite(people, checks).filter("NOT success").collect()
+    }
     assert failed == {
         (quality.NotNull.name, "adresse"): 1, (quality.Unique.name, "employe_id"): 2,
         (quality.References.name, "moyen_deplacement_id"): 1,

@@ -98,7 +98,10 @@ def test_broker_options():
 
 def test_relational_options(spark):
     options = relational.table_options({"url": "jdbc:x"}, "public.salarie", "employe_id", 1, 100, 4)
-    assert options == {"url": "jdbc:x", "dbtable": "public.salarie", "partitionColumn": "employe_id", "lowerBound": "1", "upperBound": "100", "numPartitions": "4"}
+    assert options == {
+        "url": "jdbc:x", "dbtable": "public.salarie", "partitionColumn": "employe_id", "lowerBound": "1",
+        "upperBound": "100", "numPartitions": "4",
+    }
     assert relational.table_options({"url": "jdbc:x"}, "t") == {"url": "jdbc:x", "dbtable": "t"}
     with pytest.raises(ValueError):
         relational.table_options({}, "t", "k")

@@ -146,7 +146,8 @@ def test_start_publishes_what_is_there(spark, folder):
 
 def test_messages(spark, folder):
     people = employees(spark, PEOPLE)
-    events = [change(1, 1, value=35, scale=1), change(2, 77, deleted="true"), change(3, 77, type_pratique_sportive=None, commentaire=None, distance=None), "broken"]
+    bare = change(3, 77, type_pratique_sportive=None, commentaire=None, distance=None)
+    events = [change(1, 1, value=35, scale=1), change(2, 77, deleted="true"), bare, "broken"]
     parsed = parse_changes(topic(spark, events))
     texts = as_dict(notify.messages(parsed, people), "kafka_offset", "message_text")
     assert set(texts) == {0, 2}
