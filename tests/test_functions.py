@@ -1,6 +1,6 @@
 import base64
 import datetime
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import ROUND_HALF_UP, Decimal, localcontext
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -52,7 +52,9 @@ def test_what_cannot_be_decoded_is_null(spark):
 @given(st.lists(st.tuples(st.integers(-(10**30), 10**30), st.integers(0, 12)), min_size=1, max_size=40))
 def test_decimals_match_python(spark, pairs):
     got = decoded(spark, [(packed(value), scale) for value, scale in pairs], 38, 3)
-    want = [Decimal(value).scaleb(-scale).quantize(Decimal("0.001"), ROUND_HALF_UP) for value, scale in pairs]
+    with localcontext() as context:
+        context.prec = 60
+        want = [Decimal(value).scaleb(-scale).quantize(Decimal("0.001"), ROUND_HALF_UP) for value, scale in pairs]
     assert got == want
 
 
