@@ -85,6 +85,7 @@ class SilverRefresh:
         employees = self._read_employees()
         modes = broadcast_if_small(self._read_modes())
         counts = self._counts(batch_id).persist()
+        held = None
         try:
             total = grand_total(counts, COUNT).first()["total"]
             existing = self.store.read()
@@ -96,14 +97,19 @@ class SilverRefresh:
             )
             checked = with_commutes(employees, modes, self._rules, self._cache)
             table = silver_table(checked, counts, batch_id)
-            if self._gate == "fingerprint" and not is_changed(table, existing, COUNT, "fingerprint", LINEAGE):
-                self._record(batch_id, total)
-                return
+            if self._gate == "fingerprint":
+                # Kept, because it is read for the comparison and again for the write.
+                table = held = table.persist()
+                if not is_changed(table, existing, COUNT, "fingerprint", LINEAGE):
+                    self._record(batch_id, total)
+                    return
             seen = self.store.write(table, COUNT)
             self.store.publish()
             self._record(batch_id, total, seen["rows"])
         finally:
             counts.unpersist()
+            if held is not None:
+                held.unpersist()
 
     def _record(self, batch_id: int, total: int, rows: int | None = None) -> None:
         """What a batch came to: the total, and the rows of the table if it was written."""
