@@ -276,4 +276,16 @@ ORACLES: dict[str, str] = {
     "stream_bronze": _BRONZE,
     "stream_silver": _LIVE_COUNT,
     "stream_incremental": _LIVE_COUNT,
+    "stream_silver_table": f"""
+        SELECT employe_id, moyen_deplacement_id, distance_km,
+               CASE WHEN distance_km IS NULL THEN NULL
+                    WHEN distance_km <= CASE moyen_deplacement_id WHEN 2 THEN 15 ELSE 25 END THEN 'OK'
+                    ELSE 'ERREUR' END AS coherence_distance,
+               coalesce(n.pratique_sportive_annuelle, 0) AS pratique_sportive_annuelle
+        FROM (
+            SELECT c_custkey AS employe_id, CAST(c_nationkey % 5 AS BIGINT) AS moyen_deplacement_id,
+                   CASE WHEN c_nationkey % 5 IN (2, 3) THEN c_custkey % 30 + 0.5::DOUBLE END AS distance_km
+            FROM customer
+        ) LEFT JOIN ({_LIVE_COUNT}) n USING (employe_id)
+    """,
 }

@@ -30,7 +30,7 @@ from activity_lake.standins import (
     DELETE_TYPE, SOFT_SEGMENTS, as_topic, cents, event_key, keyed_state, micros, stream_table, table,
 )
 from activity_lake.streaming.incremental import IncrementalCounts
-from activity_lake.streaming.runners import start_bronze, start_notifications
+from activity_lake.streaming.runners import SilverRefresh, start_bronze, start_notifications, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 COUNT = "pratique_sportive_annuelle"
@@ -442,6 +442,35 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return state.counts()
 
 
+def stream_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole Silver stream: customers as employees, regions as transport modes, distances from the customer number."""
+    paths = LakePaths(scratch_dir(spark, "silver-table"))
+    written = _bronze_out_of_order(spark, sf_dir, paths.bronze)
+
+    def read_employees() -> DataFrame:
+        return table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("employe_id"), F.col("c_name").alias("adresse"),
+            (F.col("c_nationkey") % 5).cast("bigint").alias("moyen_deplacement_id"),
+        )
+
+    def read_modes() -> DataFrame:
+        key = F.col("r_regionkey")
+        label = F.when(key == 2, "Marche/running").when(key == 3, "Vélo/Trottinette/Autres").otherwise(F.col("r_name"))
+        return table(spark, sf_dir, "region").select(
+            key.cast("bigint").alias("moyen_deplacement_id"), label.alias("nom_moyen_deplacement")
+        )
+
+    def resolver(keys: pd.DataFrame) -> pd.Series:
+        return (keys["adresse"].str.slice(-9).astype("int64") % 30) * 1000 + 500.0
+
+    refresh = SilverRefresh(
+        spark, paths, read_employees, read_modes, resolver, gate="fingerprint",
+        parallel_calls=_shuffle_partitions(spark),
+    )
+    start_silver(spark, paths, refresh, interval=None, max_files=written // 2).awaitTermination()
+    return refresh.store.read_published("employe_id", "moyen_deplacement_id", "distance_km", "coherence_distance", COUNT)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -451,6 +480,6 @@ QUERIES: dict[str, Query] = {
         dq_report, dq_required, dq_unique, dq_unique_composite, dq_orphans, dq_orphan_keys, notify_text, stream_outbox,
         lookup_default, memo_lookup, metrics_row, published_gauges, last_not_null, level_steps, column_json,
         csv_dimension, poll_envelope, topic_roundtrip, highest_key, next_keys, synth_activities, stream_bronze,
-        stream_silver, stream_incremental,
+        stream_silver, stream_incremental, stream_silver_table,
     )
 }
