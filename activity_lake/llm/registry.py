@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_lake.llm import decontamination, mixing, sharding, warc
+from activity_lake.llm import decontamination, html_text, language, mixing, sharding, warc
 from activity_lake.llm.common import table
 
 
@@ -18,6 +18,14 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op7_mixture(table(spark, sf_dir, "documents"))
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.op2_main_text(table(spark, sf_dir, "pages"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.op4_languages(table(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op6_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -27,6 +35,6 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_sharding, op6_decontamination, op7_mixing, op8_warc)
+    query.__name__: query for query in (op1_sharding, op2_main_text, op4_language, op6_decontamination, op7_mixing, op8_warc)
 }
 LLM_ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op6_decontamination": decontamination.ORACLE, "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE}
