@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_lake.llm import decontamination, html_text, language, mixing, sharding, warc
+from activity_lake.llm import decontamination, html_text, language, mixing, quality, sharding, warc
 from activity_lake.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op4_languages(table(spark, sf_dir, "documents"))
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op5_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.op6_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,6 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_sharding, op2_main_text, op4_language, op6_decontamination, op7_mixing, op8_warc)
+    query.__name__: query for query in (op1_sharding, op2_main_text, op4_language, op5_quality, op6_decontamination, op7_mixing, op8_warc)
 }
 LLM_ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op6_decontamination": decontamination.ORACLE, "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE}
