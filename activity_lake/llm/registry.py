@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_lake.llm import decontamination, html_text, language, mixing, quality, sharding, warc
+from activity_lake.llm import decontamination, html_text, knn, language, mixing, quality, sharding, warc
 from activity_lake.llm.common import table
 
 
@@ -22,6 +22,10 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.op2_main_text(table(spark, sf_dir, "pages"))
 
 
+def op3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return knn.op3_neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.op4_languages(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,6 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_sharding, op2_main_text, op4_language, op5_quality, op6_decontamination, op7_mixing, op8_warc)
+    query.__name__: query for query in (op1_sharding, op2_main_text, op3_neighbours, op4_language, op5_quality, op6_decontamination, op7_mixing, op8_warc)
 }
-LLM_ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op6_decontamination": decontamination.ORACLE, "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE}
+LLM_ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op3_neighbours": knn.ORACLE, "op6_decontamination": decontamination.ORACLE, "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE}
