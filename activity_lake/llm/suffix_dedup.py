@@ -329,8 +329,8 @@ def remove(rows: pd.DataFrame) -> pd.DataFrame:
         spans = int(own[0]) + int((own[1:] & ~own[:-1]).sum()) if removed else 0
         kept = text[a:b][~own].tobytes() if removed else text[a:b].tobytes()
         out.append((None if ids[i] == NO_ID else int(ids[i]), int(b - a), removed, spans, kept))
-    made = pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    return made.astype({"doc_id": "Int64"})
+    named = pd.Series([x[0] for x in out], dtype="Int64")  # with nulls, not by way of doubles
+    return pd.DataFrame(out, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"]).assign(doc_id=named)
 
 
 def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:

@@ -198,7 +198,7 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
         made = pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
-        return made.astype({"number": "int32", "total": "Int64"})
+        return made.astype({"number": "int32"}).assign(total=pd.Series([x[3] for x in rows], dtype="Int64"))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path).select("content")
     return files.mapInPandas(read, PARTS)
@@ -217,7 +217,8 @@ def payloads(blocks: pd.Series) -> pd.DataFrame:
         chunked = re.search(rb"(?im)^transfer-encoding:[^\r\n]*\bchunked\b", head)
         body = from_chunks(body) if chunked else body
         rows.append((body, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()))
-    return pd.DataFrame(rows, columns=["payload", "n", "digest"]).astype({"n": "Int64"})
+    lengths = pd.Series([x[1] for x in rows], dtype="Int64")
+    return pd.DataFrame(rows, columns=["payload", "n", "digest"]).assign(n=lengths)
 
 
 @F.pandas_udf(T.BinaryType())
