@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from activity_lake.llm import decontamination, html_text, jaccard, knn, language, mixing, quality, sharding, suffix_dedup, warc
+import corpus_pipeline
+from activity_lake.llm import (
+    decontamination, html_text, jaccard, knn, language, mixing, quality, sharding, suffix_dedup, warc,
+)
 from activity_lake.llm.common import table
 
 
@@ -50,7 +53,18 @@ def op10_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op10_components(table(spark, sf_dir, "documents"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    query.__name__: query for query in (op1_sharding, op2_main_text, op3_neighbours, op4_language, op5_quality, op6_decontamination, op7_mixing, op8_warc, op9_repeats, op10_components)
+    query.__name__: query for query in (
+        op1_sharding, op2_main_text, op3_neighbours, op4_language, op5_quality, op6_decontamination, op7_mixing, op8_warc,
+        op9_repeats, op10_components, pipeline)
+}
+#: The others fit models, parse markup, or follow links and byte positions; they are tested against brute force.
+LLM_ORACLES: dict[str, str] = {
+    "op1_sharding": sharding.ORACLE, "op3_neighbours": knn.ORACLE, "op6_decontamination": decontamination.ORACLE,
+    "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE,
+    **({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}),
 }
-LLM_ORACLES: dict[str, str] = {"op1_sharding": sharding.ORACLE, "op3_neighbours": knn.ORACLE, "op6_decontamination": decontamination.ORACLE, "op7_mixing": mixing.ORACLE, "op8_warc": warc.ORACLE}
