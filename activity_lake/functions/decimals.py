@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TWO_64 = Decimal(2**64)
+_LIMB = 10**9
 
 
 def decode_base64(text: Column) -> Column:
@@ -39,6 +40,41 @@ def big_endian_integer(raw: Column, signed: bool = True) -> Column:
     return F.when((F.length(raw) > 0) & (F.length(significant) <= 32), value)
 
 
+def integer_text(raw: Column, signed: bool = True) -> Column:
+    """Decimal digits of big-endian bytes of any length, NULL for empty bytes.
+
+    The number is kept as digits to the base 10^9, lowest first; each step multiplies it by 2^28 and adds seven hex digits.
+    """
+    digits = F.hex(raw)
+    negative = F.substring(digits, 1, 1) >= "8" if signed else F.lit(False)
+    magnitude = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
+    steps = F.ceil(F.length(magnitude) / 7).cast("int")
+    padded = F.lpad(magnitude, steps * 7, F.lit("0"))
+    chunks = F.transform(
+        F.sequence(F.lit(0), steps - 1), lambda at: F.conv(F.substring(padded, at * 7 + 1, F.lit(7)), 16, 10).cast("bigint")
+    )
+
+    def next_number(number: Column, factor: int, add: Column) -> Column:
+        empty = F.array().cast("array<bigint>")
+
+        def next_digit(state: Column, digit: Column) -> Column:
+            value = digit * factor + state["carry"]
+            return F.struct(
+                F.call_function("div", value, F.lit(_LIMB)).alias("carry"),
+                F.concat(state["done"], F.array(F.pmod(value, F.lit(_LIMB)))).alias("done"),
+            )
+
+        state = F.aggregate(number, F.struct(add.alias("carry"), empty.alias("done")), next_digit)
+        return F.when(state["carry"] > 0, F.concat(state["done"], F.array(state["carry"]))).otherwise(state["done"])
+
+    zero = F.array(F.lit(0).cast("bigint"))
+    number = F.aggregate(chunks, zero, lambda number, chunk: next_number(number, 1 << 28, chunk))
+    # A negative number is minus (its complement plus one).
+    number = next_number(number, 1, F.when(negative, 1).otherwise(0).cast("bigint"))
+    text = F.array_join(F.transform(F.reverse(number), lambda digit: F.lpad(digit.cast("string"), 9, "0")), "")
+    return F.when(F.length(raw) > 0, F.concat(F.when(negative, "-").otherwise(""), text))
+
+
 def small_integer(raw: Column, signed: bool = True) -> Column:
     """BIGINT value of at most seven big-endian bytes."""
     value = F.conv(F.hex(raw), 16, 10).cast("bigint")
@@ -62,11 +98,14 @@ def scaled_decimal(unscaled: Column, scale: Column, precision: int, out_scale: i
 def decode_decimal(
     text: Column, scale: Column, precision: int = 10, out_scale: int = 0, signed: bool = True
 ) -> Column:
-    """DECIMAL(precision, out_scale) of a base64 decimal; NULL for bad text, empty bytes, no scale or overflow."""
+    """DECIMAL(precision, out_scale) of a base64 decimal; NULL for bad text, empty bytes, no scale, or a
+    result that does not fit; the unscaled value may have any number of digits."""
     raw = decode_base64(text)
-    unscaled = F.when(
-        F.length(raw).between(1, 7), small_integer(raw, signed).cast("string")
-    ).otherwise(big_endian_integer(raw, signed).cast("string"))
+    unscaled = (
+        F.when(F.length(raw).between(1, 7), small_integer(raw, signed).cast("string"))
+        .when(F.length(raw) <= 15, big_endian_integer(raw, signed).cast("string"))
+        .otherwise(integer_text(raw, signed))
+    )
     return scaled_decimal(unscaled, scale, precision, out_scale)
 
 

@@ -22,18 +22,23 @@ def micros_to_timestamp(text: Column) -> Column:
     return F.timestamp_micros(epoch_micros(text))
 
 
+def floor_div(value: Column, by: int) -> Column:
+    """Whole quotient towards minus infinity, in integers."""
+    return F.call_function("div", value - F.pmod(value, F.lit(by)), F.lit(by))
+
+
 def format_day(text: Column) -> Column:
     """Epoch microseconds as dd/MM/yyyy in UTC; the text itself where that is impossible."""
     micros = epoch_micros(text)
-    day = F.date_from_unix_date(F.floor(micros / F.lit(_DAY_US)).cast("int"))
+    day = F.date_from_unix_date(floor_div(micros, _DAY_US).cast("int"))
     shown = F.when(micros.between(_MIN_US, _MAX_US), F.date_format(day, "dd/MM/yyyy"))
     return F.coalesce(shown, text)
 
 
 def format_duration(seconds: Column) -> Column:
     """``1h02m05s``, or ``2m05s`` below one hour."""
-    minutes = F.floor(seconds / 60)
-    hours = F.floor(minutes / 60)
+    minutes = floor_div(seconds, 60)
+    hours = floor_div(minutes, 60)
     short_minutes = F.pmod(minutes, F.lit(60))
     short_seconds = F.lpad(F.pmod(seconds, F.lit(60)).cast("string"), 2, "0")
     with_hours = F.concat(

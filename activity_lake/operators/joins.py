@@ -1,6 +1,6 @@
 """Joins of facts and dimensions.
 
-No hint is given unless the size was checked: Spark broadcasts what its statistics show to be small and otherwise
+No hint is given: Spark broadcasts what its statistics show to be small and otherwise
 shuffles, and its adaptive execution splits hot keys of the left side.
 """
 
@@ -13,18 +13,6 @@ from pyspark.sql import functions as F
 
 from activity_lake.functions.formatting import full_name, or_fallback_name
 
-BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A broadcast hint for a table shown to have at most ``max_rows`` rows; the table unchanged beyond that.
-
-    For sources without size statistics, such as JDBC. Counting stops after ``max_rows`` rows.
-    """
-    small = table.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(table) if small else table
-
-
 def with_label(facts: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     """Inner join to a label table on a shared key column."""
     return facts.join(labels, key, "inner")

@@ -36,7 +36,7 @@ def lookup_keys(people: DataFrame, mode: str = "mode", address: str = "adresse")
 
 
 def resolve_keys(keys: DataFrame, resolver: Resolver, parallel_calls: int) -> DataFrame:
-    """Kilometres for the keys the resolver can answer, at most ``parallel_calls`` batches at a time."""
+    """Kilometres of the keys, NULL without an answer, at most ``parallel_calls`` batches at a time."""
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -45,27 +45,37 @@ def resolve_keys(keys: DataFrame, resolver: Resolver, parallel_calls: int) -> Da
 
     # Round robin: the keys are distinct already and the calls should be spread evenly.
     answers = keys.repartition(parallel_calls).mapInPandas(call, _RESOLVED)
-    return answers.filter(F.col("metres").isNotNull() & ~F.isnan("metres")).select(
-        *KEY, metres_to_km(F.col("metres")).alias("km")
-    )
+    return answers.select(*KEY, metres_to_km(F.when(~F.isnan("metres"), F.col("metres"))).alias("km"))
 
 
 class DistanceCache:
-    """Answers given so far, as a Parquet table that only grows."""
+    """Answers given so far, and keys without one, as a Parquet table that only grows.
+
+    A key without an answer is asked for again after ``retry_after`` batches; None means never.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, retry_after: int | None = 100):
         self._spark = spark
         self._path = path
+        self._retry_after = retry_after
 
     def read(self) -> DataFrame:
-        """One answer per key; a retried batch may have written its answers twice."""
+        """One row per key with its last answer and when it was last asked for; a retried batch may have written twice."""
         stored = read_if_present(self._spark, self._path)
         if stored is None:
             stored = self._spark.createDataFrame([], _CACHE)
-        return stored.groupBy(*KEY).agg(F.max_by("km", "batch_id").alias("km"))
+        return stored.groupBy(*KEY).agg(
+            F.max_by("km", F.when(F.col("km").isNotNull(), F.col("batch_id"))).alias("km"), F.max("batch_id").alias("asked")
+        )
 
-    def missing(self, keys: DataFrame) -> DataFrame:
-        return keys.join(self.read().select(*KEY), list(KEY), "left_anti")
+    def missing(self, keys: DataFrame, batch_id: int) -> DataFrame:
+        """Keys to ask for in a batch: the new ones, and those whose last try without an answer is long enough ago."""
+        settled = F.col("km").isNotNull()
+        if self._retry_after is None:
+            settled = F.lit(True)
+        else:
+            settled = settled | (F.col("asked") > batch_id - self._retry_after)
+        return keys.join(self.read().filter(settled).select(*KEY), list(KEY), "left_anti")
 
     def remember(self, answers: DataFrame, batch_id: int) -> None:
         answers.select(*KEY, "km", F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode("append").parquet(
@@ -74,12 +84,15 @@ class DistanceCache:
 
     def fill(self, keys: DataFrame, resolver: Resolver, batch_id: int, parallel_calls: int = 8) -> None:
         """Resolve what is missing. Usually nothing is, and then nothing is written."""
-        missing = self.missing(keys)
-        if not missing.isEmpty():
-            self.remember(resolve_keys(missing, resolver, parallel_calls), batch_id)
+        missing = self.missing(keys, batch_id).persist()
+        try:
+            if not missing.isEmpty():
+                self.remember(resolve_keys(missing, resolver, parallel_calls), batch_id)
+        finally:
+            missing.unpersist()
 
     def add_km(self, people: DataFrame, mode: str = "mode", address: str = "adresse", name: str = "distance_km") -> DataFrame:
         """People with their cached distance, NULL where there is none."""
         keyed = people.withColumn("address_hash", F.xxhash64(address))
-        found = self.read().withColumnRenamed("mode", mode).withColumnRenamed("km", name)
+        found = self.read().drop("asked").withColumnRenamed("mode", mode).withColumnRenamed("km", name)
         return keyed.join(found, ["employe_id", mode, "address_hash"], "left").select(*people.columns, name)

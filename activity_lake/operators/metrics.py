@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Names of the published metrics.
@@ -10,6 +10,8 @@ TOTAL = "pipeline_silver_activites_total"
 PEOPLE = "pipeline_silver_employes_total"
 UPDATED = "pipeline_silver_last_update_timestamp"
 
+RUN_BATCH, RUN_TOTAL, RUN_ROWS = "silver_run_batch_id", "silver_run_activities", "silver_run_rows_written"
+
 
 def volume(snapshot: DataFrame, count: str = "pratique_sportive_annuelle") -> DataFrame:
     """One row: activities and rows of a snapshot. Only the count column is read."""
@@ -36,6 +38,12 @@ def gauges(snapshot: DataFrame, count: str = "pratique_sportive_annuelle", at: C
     return values.select(F.inline(metric)).withColumn("at", stamp)
 
 
+def run_log(spark: SparkSession, batch_id: int, total: int, rows: int | None) -> DataFrame:
+    """What a batch came to, as rows of the metrics table; no row count where nothing was written."""
+    values = [(RUN_BATCH, float(batch_id)), (RUN_TOTAL, float(total)), (RUN_ROWS, None if rows is None else float(rows))]
+    return spark.createDataFrame(values, "metric string, value double").withColumn("at", F.current_timestamp())
+
+
 def append_gauges(samples: DataFrame, path: str) -> None:
     samples.write.mode("append").parquet(path)
 

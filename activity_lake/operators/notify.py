@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from activity_lake.operators.joins import with_person_name
 # message texts -> HTTP-like status codes
 Sender = Callable[[pd.Series], pd.Series]
 
-_OUTBOX = "kafka_partition INT, kafka_offset BIGINT, employe_id BIGINT, message_text STRING, status STRING"
+_OUTBOX = "kafka_partition INT, kafka_offset BIGINT, employe_id BIGINT, message_text STRING, status STRING, status_code INT"
 
 
 def notifiable(parsed: DataFrame, include_deleted: bool = False) -> DataFrame:
@@ -39,15 +40,15 @@ def messages(parsed: DataFrame, people: DataFrame, include_deleted: bool = False
 
 def queued(texts: DataFrame) -> DataFrame:
     """Outbox rows for a sender outside this engine."""
-    return texts.withColumn("status", F.lit("queued"))
+    return texts.withColumn("status", F.lit("queued")).withColumn("status_code", F.lit(None).cast("int"))
 
 
 def deliver(texts: DataFrame, send: Sender) -> DataFrame:
-    """Outbox rows after sending: ``sent`` for code 200, else ``failed``. A retried task sends again."""
+    """Outbox rows after sending: ``sent`` for code 200, else ``failed``, with the code. A retried task sends again."""
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             codes = pd.Series(send(batch["message_text"])).to_numpy()
-            yield batch.assign(status=["sent" if code == 200 else "failed" for code in codes])
+            yield batch.assign(status=np.where(codes == 200, "sent", "failed"), status_code=codes.astype("int32"))
 
     return texts.mapInPandas(post, _OUTBOX)

@@ -53,7 +53,9 @@ class InSet:
         return "value_set=" + "|".join(str(value) for value in self.values)
 
     def unexpected(self) -> Column:
-        return ~F.col(self.column).isin(*self.values)
+        # A NULL in the list would make the comparison NULL for every other value.
+        listed = [value for value in self.values if value is not None]
+        return F.col(self.column).isNotNull() & ~F.col(self.column).isin(*listed)
 
 
 @dataclass(frozen=True)

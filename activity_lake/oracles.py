@@ -21,6 +21,10 @@ _LIVE_COUNT = f"""
     WHERE event_type <> 'error' GROUP BY user_id
 """
 
+_LIVE_OF_YEAR = _LIVE_COUNT.replace(
+    "<> 'error'", "<> 'error' AND year(ts + to_days(CAST(activity % 3 * 366 AS INTEGER))) = 2024"
+).replace("SELECT user_id, event_type FROM", "SELECT user_id, event_type, ts, activity FROM")
+
 _BRONZE = f"""
     SELECT event_id AS id_evenement_sportif, user_id AS employe_id, event_type AS type_pratique_sportive,
            epoch_us(ts) AS date_us, {_K} * 97 AS temps_ecoule, props AS commentaire,
@@ -51,7 +55,7 @@ _ENRICHED = f"""
 _SILVER = f"""
     SELECT e.*, coalesce(n.done, 0) AS pratique_sportive_annuelle
     FROM ({_ENRICHED}) e
-    LEFT JOIN (SELECT o_custkey, count(*) AS done FROM orders WHERE o_orderstatus = 'F' GROUP BY o_custkey) n
+    LEFT JOIN (SELECT o_custkey, count(*) AS done FROM orders GROUP BY o_custkey) n
         ON e.c_custkey = n.o_custkey
 """
 
@@ -78,17 +82,18 @@ _FOUR_TYPES = "('click', 'purchase', 'signup', 'view')"
 _LABELLED = "(SELECT d.doc_id, d.lang, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"
 _EVENTS_OF_KNOWN = """(
     SELECT e.*, c.c_custkey, count(*) OVER (PARTITION BY event_id) AS copies
-    FROM events e LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) c ON e.user_id = c.c_custkey
+    FROM events e LEFT JOIN customer c ON e.event_id = c.c_custkey
 )"""
 _TURNS = """(
     SELECT *, count(*) OVER (PARTITION BY conv_id, turn) AS turn_copies, count(*) OVER (PARTITION BY conv_id) AS conv_copies
     FROM conversations
 )"""
 
+# The wording and layout of the message.
 _MESSAGE = f"""
-    SELECT event_id AS kafka_offset, user_id AS employe_id,
+    SELECT event_id AS kafka_offset, event_id AS employe_id,
         chr(10) || chr(10) || '*Félicitations '
-        || coalesce(c_mktsegment || ' ' || c_name, 'Employé #' || user_id)
+        || coalesce(c_mktsegment || ' ' || c_name, 'Employé #' || event_id)
         || ' ! Nouvelle séance de ' || lower(event_type) || ' enregistrée !*' || chr(10)
         || '━━━━━━━━━━━━━━━━━━━━━━━━' || chr(10)
         || '🏃 *Sport*      : ' || event_type || chr(10)
@@ -98,7 +103,7 @@ _MESSAGE = f"""
             THEN printf('%dh%02dm%02ds', {_K} * 97 // 3600, {_K} * 97 // 60 % 60, {_K} * 97 % 60)
             ELSE printf('%dm%02ds', {_K} * 97 // 60, {_K} * 97 % 60) END || chr(10)
         || '💬 *Commentaire*: _' || props || '_' || chr(10) || chr(10) AS message_text, event_type
-    FROM events LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 <> 0) ON user_id = c_custkey
+    FROM events LEFT JOIN customer ON event_id = c_custkey
     WHERE event_type <> 'error'
 """
 
@@ -134,7 +139,8 @@ ORACLES: dict[str, str] = {
     """,
     "decimal_scales": """
         SELECT o_orderkey, (o_orderkey * 1000003 - 5000000000) * CAST(power(10, 6 - o_orderkey % 7) AS BIGINT)
-                   AS millionths
+                   AS millionths,
+               CAST(round(o_orderkey * 1.4615016373309029182036848327::DECIMAL(29, 28)) AS BIGINT) AS wide
         FROM orders
     """,
     "current_state": _STATE,
@@ -142,9 +148,7 @@ ORACLES: dict[str, str] = {
     "live_state": f"SELECT * FROM ({_STATE}) WHERE event_type <> 'error'",
     "live_count": _LIVE_COUNT,
     "change_stream_count": _LIVE_COUNT,
-    "live_count_of_year": _LIVE_COUNT.replace("<> 'error'", "<> 'error' AND year(ts) = 2024").replace(
-        "SELECT user_id, event_type FROM", "SELECT user_id, event_type, ts FROM"
-    ),
+    "live_count_of_year": _LIVE_OF_YEAR,
     "total_activities": f"""
         SELECT CAST(coalesce(sum(pratique_sportive_annuelle), 0) AS BIGINT) AS total FROM ({_LIVE_COUNT})
     """,
@@ -170,7 +174,7 @@ ORACLES: dict[str, str] = {
         _check(_IN_SET, "event_type", "events", f"event_type NOT IN {_FOUR_TYPES}", "event_type IS NULL"),
         _check(_NOT_NULL, "user_id", "events", "user_id IS NULL", "user_id IS NULL", of_all=True),
         _check(_UNIQUE, "event_id", _EVENTS_OF_KNOWN, "copies > 1 AND event_id IS NOT NULL", "event_id IS NULL"),
-        _check(_PARENT, "user_id", _EVENTS_OF_KNOWN, "c_custkey IS NULL AND user_id IS NOT NULL", "user_id IS NULL"),
+        _check(_PARENT, "event_id", _EVENTS_OF_KNOWN, "c_custkey IS NULL AND event_id IS NOT NULL", "event_id IS NULL"),
     ]),
     "dq_suite_success": """
         WITH checks AS (
@@ -214,12 +218,13 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, lang, source FROM documents d WHERE NOT EXISTS (SELECT * FROM labels l WHERE l.doc_id = d.doc_id)
     """,
     "dq_orphan_keys": """
-        SELECT l_suppkey, count(*) AS orphan_rows FROM lineitem
-        WHERE l_suppkey NOT IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 1000) GROUP BY l_suppkey
+        SELECT l_partkey, count(*) AS orphan_rows FROM lineitem
+        WHERE l_partkey NOT IN (SELECT s_suppkey FROM supplier) GROUP BY l_partkey
     """,
     "notify_text": f"SELECT kafka_offset, employe_id, message_text FROM ({_MESSAGE})",
     "stream_outbox": f"""
-        SELECT kafka_offset, employe_id, CASE WHEN event_type = 'view' THEN 'failed' ELSE 'sent' END AS status
+        SELECT kafka_offset, employe_id, CASE WHEN event_type = 'view' THEN 'failed' ELSE 'sent' END AS status,
+               CASE WHEN event_type = 'view' THEN 500 ELSE 200 END AS status_code
         FROM ({_MESSAGE})
     """,
     "lookup_default": """
@@ -270,9 +275,20 @@ ORACLES: dict[str, str] = {
     "next_keys": """
         SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY user_id, event_id) AS o_orderkey,
                event_id, user_id AS o_custkey
-        FROM events WHERE event_type = 'purchase'
+        FROM events
     """,
     "synth_activities": _SYNTH,
+    "decimal_unsigned": """
+        SELECT o_orderkey, o_orderkey % 65536 AS two_bytes, o_orderkey AS nine_bytes FROM orders
+    """,
+    "publish_one_file": f"SELECT c_custkey, distance_km, coherence_distance, pratique_sportive_annuelle FROM ({_SILVER})",
+    "publish_at_start": f"SELECT c_custkey, distance_km, coherence_distance, pratique_sportive_annuelle FROM ({_SILVER})",
+    "silver_lineage": "SELECT c_custkey, 7 AS batch_id, true AS has_time FROM customer",
+    "dq_in_set_null": _check(
+        _IN_SET, "event_type", "events", "event_type NOT IN ('click', 'view')", "event_type IS NULL"
+    ),
+    "stream_bronze_scale": f"SELECT event_id AS kafka_offset, {_CENTS} AS hundredths FROM events",
+    "stream_year": _LIVE_OF_YEAR,
     "stream_bronze": _BRONZE,
     "stream_silver": _LIVE_COUNT,
     "stream_incremental": _LIVE_COUNT,

@@ -14,22 +14,28 @@ _LOG = logging.getLogger(__name__)
 _VERSION = re.compile(r"version=(\d+)")
 
 
+LAYOUTS = ("folder", "file")
+
+
 class SnapshotStore:
     """A table written as a new version each time; readers of a version never see it change.
 
-    The newest version is also published at a fixed path: as a single file while it has at most
-    ``max_single_file_rows`` rows, beyond that as a folder of files, so that no one task has to write it all.
+    The newest version is published at a fixed path, which is always a file, whatever the size of the table. With the layout
+    ``folder`` it is a pointer, a line of text naming the version's folder. With ``file`` every version is one data file,
+    written by one task, and the fixed path is a copy of it, for readers that expect a single file.
     """
 
     def __init__(
-        self, spark: SparkSession, root: str, published: str = "silver_latest.parquet",
-        max_single_file_rows: int = 5_000_000, keep: int = 2,
+        self, spark: SparkSession, root: str, layout: str = "folder", published: str | None = None, keep: int = 2,
     ):
+        if layout not in LAYOUTS:
+            raise ValueError(f"unknown layout {layout!r}")
         self._spark = spark
         self._root = root
         self._files = HadoopFiles(spark, root)
-        self.published_path = f"{root}/{published}"
-        self._max_rows = max_single_file_rows
+        self._layout = layout
+        self.published_path = f"{root}/{published or ('silver_latest.path' if layout == 'folder' else 'silver_latest.parquet')}"
+        self._pointer = self.published_path if layout == "folder" else f"{root}/_published_version"
         self._keep = max(keep, 1)
 
     def _version_path(self, version: int) -> str:
@@ -50,7 +56,7 @@ class SnapshotStore:
         """Write the next version; its row count and sum are observed on the way, without a second job."""
         version = max(self.versions(), default=-1) + 1
         seen = Observation(f"version-{version}")
-        observed = table.observe(
+        observed = (table if self._layout == "folder" else table.coalesce(1)).observe(
             seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(total), F.lit(0)).cast("bigint").alias("total")
         )
         observed.write.mode("overwrite").parquet(self._version_path(version))
@@ -64,33 +70,29 @@ class SnapshotStore:
     def publish(self) -> str | None:
         """Put the newest version at the fixed path and return that path; None where there is no version yet.
 
-        Running it again gives the same result, so it also repairs a run that stopped between write and publication.
+        Nothing is written if that version is published already, so this also repairs a run that stopped before publication.
         """
-        newest = self.read()
-        if newest is None:
+        known = self.versions()
+        if not known:
             _LOG.warning("nothing to publish below %s", self._root)
             return None
-        staged = f"{self._root}/_staged"
-        single = newest.count() <= self._max_rows
-        (newest.coalesce(1) if single else newest).write.mode("overwrite").parquet(staged)
-        if single:
-            part = next(name for name in self._files.names(staged) if name.endswith(".parquet"))
-            if self._files.exists(self.published_path) and not self._files.is_file(self.published_path):
-                self._files.delete(self.published_path)
-            self._files.replace_file(f"{staged}/{part}", self.published_path)
-            self._files.delete(staged)
-        else:
-            # A folder cannot be replaced in one step; the old one stays readable aside until the new one is in place.
-            aside = f"{self._root}/_previous"
-            self._files.delete(aside)
-            if self._files.exists(self.published_path):
-                self._files.rename(self.published_path, aside)
-            self._files.rename(staged, self.published_path)
+        version = self._version_path(known[-1])
+        if self.is_published() and self._files.read_text(self._pointer) == version:
+            return self.published_path
+        if self._layout == "file":
+            part = next(name for name in self._files.names(version) if name.endswith(".parquet"))
+            staged = f"{self._root}/_staged"
+            self._files.copy_file(f"{version}/{part}", staged)
+            self._files.replace_file(staged, self.published_path)
+        staged = f"{self._root}/_pointer"
+        self._files.write_text(staged, version)
+        self._files.replace_file(staged, self._pointer)
         return self.published_path
 
     def is_published(self) -> bool:
         return self._files.exists(self.published_path)
 
     def read_published(self, *columns: str) -> DataFrame:
-        published = self._spark.read.parquet(self.published_path)
+        path = self.published_path if self._layout == "file" else self._files.read_text(self._pointer)
+        published = self._spark.read.parquet(path)
         return published.select(*columns) if columns else published

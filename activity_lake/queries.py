@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from activity_lake.operators.current_state import (
 from activity_lake.operators.keys import with_next_keys
 from activity_lake.operators.lookup import DistanceCache, lookup_keys
 from activity_lake.operators.synth import synthetic_activities
-from activity_lake.plans.gate import fingerprint
+from activity_lake.plans.gate import MODES, is_changed
 from activity_lake.plans.publish import SnapshotStore
+from activity_lake.plans.silver import with_lineage
 from activity_lake.session import scratch_dir
 from activity_lake.sinks.streams import as_topic_rows, each_batch
 from activity_lake.sources.files import columns_from_json, read_bronze, read_csv, stream_parquet
@@ -71,13 +73,28 @@ def bronze_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decimal_scales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Signed decimals whose scale changes from row to row."""
+    """Signed decimals whose scale changes from row to row, and the key times 2^160 at scale 48, of 49 digits and more."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", (F.col("o_orderkey") * 1000003 - 5000000000).alias("_unscaled"),
         (F.col("o_orderkey") % 7).cast("int").alias("_scale"),
     )
     value = decode_decimal(encode_integer(F.col("_unscaled")), F.col("_scale"), 38, 6)
-    return orders.select("o_orderkey", (value * 1000000).cast("bigint").alias("millionths"))
+    wide = F.base64(F.unhex(F.concat(F.lpad(F.hex("o_orderkey"), 16, "0"), F.lit("0" * 40))))
+    return orders.select(
+        "o_orderkey", (value * 1000000).cast("bigint").alias("millionths"),
+        decode_decimal(wide, F.lit(48), 38, 0).cast("bigint").alias("wide"),
+    )
+
+
+def decimal_unsigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two bytes read without a sign, and nine."""
+    low = F.col("o_orderkey") % 65536
+    two, nine = F.lpad(F.hex(low), 4, "0"), F.concat(F.lit("FF"), F.lpad(F.hex("o_orderkey"), 16, "0"))
+    decoded = [decode_decimal(F.base64(F.unhex(digits)), F.lit(0), 38, 0, signed=False) for digits in (two, nine)]
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", decoded[0].cast("bigint").alias("two_bytes"),
+        (decoded[1] - F.lit(Decimal(255 * 2**64))).cast("bigint").alias("nine_bytes"),
+    )
 
 
 def _state_columns(rows: DataFrame) -> DataFrame:
@@ -112,8 +129,12 @@ def change_stream_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def live_count_of_year(spark: SparkSession, sf_dir: str) -> DataFrame:
-    decoded = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
-    return live_counts(decoded, year=2024)
+    """The events are of one year, so a day shift by the key spreads the activities over three."""
+    return live_counts(bronze.to_bronze(_events_of_years(table(spark, sf_dir, "events"))), year=2024)
+
+
+def _events_of_years(events: DataFrame) -> DataFrame:
+    return as_topic(events, event_key(), date=micros("ts") + event_key() % 3 * F.lit(366 * 86_400_000_000))
 
 
 def total_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,7 +157,7 @@ def incremental_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts kept batch by batch, with the events arriving out of order."""
     paths = LakePaths(scratch_dir(spark, "incremental-count"))
     _bronze_out_of_order(spark, sf_dir, paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state, block_size=10_000)
+    state = IncrementalCounts(spark, paths.event_state)
     history = read_bronze(spark, paths.bronze)
     for batch in range(3):
         state.apply(history.filter(F.pmod(F.hash("kafka_offset"), F.lit(3)) == batch), batch)
@@ -168,7 +189,7 @@ def enrich_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("c_custkey"))
+    done = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
     return joins.with_count(enrich_back(spark, sf_dir), count_by(done, "c_custkey", COUNT), "c_custkey", COUNT)
 
 
@@ -176,27 +197,39 @@ def change_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each mode of the gate says about a copy whose distances changed and whose total did not."""
     new = silver(spark, sf_dir)
     old = new.withColumn("distance_km", F.col("distance_km") + 1)
-    both = fingerprint(new, COUNT).unionByName(fingerprint(old, COUNT))
+    return spark.createDataFrame([(mode, is_changed(new, old, COUNT, mode)) for mode in MODES], "gate string, is_changed boolean")
 
-    def differs(column: str) -> F.Column:
-        return F.min(column) != F.max(column)
 
-    verdicts = both.agg(
-        differs("total").alias("_total"), (differs("rows") | differs("total") | differs("row_hash")).alias("_any")
-    )
-    return verdicts.select(F.inline(F.array(
-        F.struct(F.lit("total").alias("gate"), F.col("_total").alias("is_changed")),
-        F.struct(F.lit("fingerprint").alias("gate"), F.col("_any").alias("is_changed")),
-    )))
+def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "folder")
 
 
-def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    store = SnapshotStore(spark, scratch_dir(spark, "silver"))
+def publish_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _published(spark, sf_dir, "file")
+
+
+def _published(spark: SparkSession, sf_dir: str, layout: str) -> DataFrame:
+    store = SnapshotStore(spark, scratch_dir(spark, "silver"), layout)
     store.write(silver(spark, sf_dir), COUNT)
     store.publish()
     return store.read_published("c_custkey", "distance_km", "coherence_distance", COUNT)
 
 
+def publish_at_start(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A version that was written but not published is published when the stream starts, without any new event."""
+    paths = LakePaths(scratch_dir(spark, "publish-at-start"))
+    refresh = SilverRefresh(spark, paths, lambda: None, lambda: None, lambda keys: None)
+    refresh.store.write(silver(spark, sf_dir), COUNT)
+    start_silver(spark, paths, refresh, interval=None).awaitTermination()
+    return refresh.store.read_published("c_custkey", "distance_km", "coherence_distance", COUNT)
+
+
+def silver_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch of every row, and that it has a time of processing."""
+    rows = with_lineage(enrich_back(spark, sf_dir), 7)
+    return rows.select("c_custkey", "batch_id", F.col("processing_time").isNotNull().alias("has_time"))
+
+
 # Quality
 
 
@@ -209,6 +242,11 @@ def dq_in_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_results(quality.run_suite(table(spark, sf_dir, "events"), [allowed]))
 
 
+def dq_in_set_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A NULL in the set lets nothing else pass."""
+    return _shown_results(quality.run_suite(table(spark, sf_dir, "events"), [quality.InSet("event_type", ("click", None, "view"))]))
+
+
 def _shown_results(results: DataFrame) -> DataFrame:
     return results.select(
         "expectation", "column_name", "success", "element_count", "missing_count", "unexpected_count",
@@ -220,7 +258,7 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = [
         quality.Between("value", 0.01, 400.0), quality.InSet("event_type", ("click", "purchase", "signup", "view")),
         quality.NotNull("user_id"), quality.Unique(("event_id",)),
-        quality.References("user_id", table(spark, sf_dir, "customer").filter("c_acctbal > 0"), "c_custkey", "customer"),
+        quality.References("event_id", table(spark, sf_dir, "customer"), "c_custkey", "customer"),
     ]
     return _shown_results(quality.run_suite(table(spark, sf_dir, "events"), checks))
 
@@ -257,36 +295,36 @@ def dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    solvent = table(spark, sf_dir, "supplier").filter("s_acctbal > 1000")
-    return joins.orphan_keys(table(spark, sf_dir, "lineitem"), solvent, "l_suppkey", "s_suppkey")
+    """Parts whose number no supplier has; there are more parts than suppliers."""
+    return joins.orphan_keys(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier"), "l_partkey", "s_suppkey")
 
 
 # Notification
 
 
 def _people(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers that have a name in the role of employees; every third is unknown."""
-    return table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(
+    """Customers in the role of employees. Events name their own number as employee, and not every number is a customer."""
+    return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("employe_id"), F.col("c_mktsegment").alias("prenom_employe"),
         F.col("c_name").alias("nom_employe"),
     )
 
 
 def notify_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = bronze.parse_changes(as_topic(table(spark, sf_dir, "events")))
+    parsed = bronze.parse_changes(as_topic(table(spark, sf_dir, "events"), owner=F.col("event_id")))
     return notify.messages(parsed, _people(spark, sf_dir)).select("kafka_offset", "employe_id", "message_text")
 
 
 def stream_outbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as a stream, delivered by a sender that refuses some of them."""
     paths = LakePaths(scratch_dir(spark, "outbox"))
-    topic = as_topic(stream_table(spark, sf_dir, "events"))
+    topic = as_topic(stream_table(spark, sf_dir, "events"), owner=F.col("event_id"))
 
     def send(texts: pd.Series) -> pd.Series:
         return texts.str.contains("view").map({True: 500, False: 200})
 
     start_notifications(topic, _people(spark, sf_dir), paths, interval=None, send=send).awaitTermination()
-    return spark.read.parquet(paths.outbox).select("kafka_offset", "employe_id", "status")
+    return spark.read.parquet(paths.outbox).select("kafka_offset", "employe_id", "status", "status_code")
 
 
 def lookup_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,9 +433,9 @@ def highest_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def next_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of one type appended to the orders as new rows."""
+    """All events appended to the orders as new rows."""
     orders = table(spark, sf_dir, "orders")
-    new = table(spark, sf_dir, "events").filter("event_type = 'purchase'").select("event_id", "user_id")
+    new = table(spark, sf_dir, "events").select("event_id", "user_id")
     return with_next_keys(new.withColumnRenamed("user_id", "o_custkey"), orders, "o_orderkey", ["o_custkey", "event_id"])
 
 
@@ -417,6 +455,26 @@ def stream_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown_bronze(read_bronze(spark, paths.bronze))
 
 
+def stream_bronze_scale(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze with distances of two decimals."""
+    paths = LakePaths(scratch_dir(spark, "bronze-scale"))
+    start_bronze(as_topic(stream_table(spark, sf_dir, "events")), paths, interval=None, precision=12, scale=2).awaitTermination()
+    rows = read_bronze(spark, paths.bronze, 12, 2)
+    return rows.select("kafka_offset", (F.col("distance_km") * 100).cast("bigint").alias("hundredths"))
+
+
+def stream_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental counts of one year, from a stream."""
+    paths = LakePaths(scratch_dir(spark, "year"))
+    files = max(_shuffle_partitions(spark), 4)
+    rows = bronze.to_bronze(_events_of_years(table(spark, sf_dir, "events")))
+    rows.repartition(files, "kafka_offset").write.parquet(paths.bronze)
+    state = IncrementalCounts(spark, paths.event_state, year=2024)
+    stream = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=files // 2)
+    each_batch(stream, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
+    return state.counts()
+
+
 def stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live counts after a stream of Bronze files in no order, recounted from the whole history for each batch."""
     paths = LakePaths(scratch_dir(spark, "recount"))
@@ -436,7 +494,7 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the batches alone."""
     paths = LakePaths(scratch_dir(spark, "incremental"))
     written = _bronze_out_of_order(spark, sf_dir, paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state, block_size=10_000)
+    state = IncrementalCounts(spark, paths.event_state)
     files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=written // 2)
     each_batch(files, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
     return state.counts()
@@ -480,6 +538,7 @@ QUERIES: dict[str, Query] = {
         dq_report, dq_required, dq_unique, dq_unique_composite, dq_orphans, dq_orphan_keys, notify_text, stream_outbox,
         lookup_default, memo_lookup, metrics_row, published_gauges, last_not_null, level_steps, column_json,
         csv_dimension, poll_envelope, topic_roundtrip, highest_key, next_keys, synth_activities, stream_bronze,
-        stream_silver, stream_incremental, stream_silver_table,
+        stream_silver, stream_incremental, stream_silver_table, decimal_unsigned, publish_one_file, publish_at_start,
+        silver_lineage, dq_in_set_null, stream_bronze_scale, stream_year,
     )
 }

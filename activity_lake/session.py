@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
 
 from pyspark.sql import SparkSession
 
+from activity_lake.sinks.hadoop import HadoopFiles
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -33,18 +35,23 @@ def build_session(app: str, master: str | None = None, extra: dict[str, str] | N
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder all executors see: ``spark.checkpoint.dir``, or a temporary one on a local master only."""
+    """The folder all executors see: ``spark.checkpoint.dir``, else one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="activity-lake-")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch").rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new path in the shared folder; nothing is created yet."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; nothing is created yet, and what is there when the session's process ends is removed."""
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    atexit.register(_remove, HadoopFiles(spark, path), path)
+    return path
+
+
+def _remove(files: HadoopFiles, path: str) -> None:
+    try:
+        files.delete(path)
+    except Exception:  # the JVM may be gone already; then the folder's owner cleans up
+        pass
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

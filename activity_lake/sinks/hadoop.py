@@ -1,4 +1,7 @@
-"""The few file operations a publication needs, on whatever Hadoop file system a path names."""
+"""The few file operations a publication needs, on whatever Hadoop file system a path names.
+
+They go through the driver's JVM, so a remote (Connect) session does not have them.
+"""
 
 from __future__ import annotations
 
@@ -42,8 +45,33 @@ class HadoopFiles:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not rename {source} to {target}")
 
+    def copy_file(self, source: str, target: str) -> None:
+        """Copy a file as it is, in the place of another if there is one."""
+        copied = self._jvm.org.apache.hadoop.fs.FileUtil.copy(
+            self._fs, self._path(source), self._fs, self._path(target), False, True, self._conf
+        )
+        if not copied:
+            raise OSError(f"could not copy {source} to {target}")
+
+    def write_text(self, path: str, text: str) -> None:
+        """A small file, replaced if it is there."""
+        stream = self._fs.create(self._path(path), True)
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+
+    def read_text(self, path: str) -> str | None:
+        if not self.exists(path):
+            return None
+        stream = self._fs.open(self._path(path))
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
     def replace_file(self, source: str, target: str) -> None:
-        """Put a file in the place of another in one step, so that a reader finds the old or the new one."""
+        """Put a file in the place of another: in one step where the file system renames, copied where it is an object store."""
         context = self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(target).toUri(), self._conf)
         option = self._jvm.org.apache.hadoop.fs.Options.Rename
         options = self._gateway.new_array(option, 1)

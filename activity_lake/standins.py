@@ -49,13 +49,15 @@ def keyed_state(events: DataFrame) -> DataFrame:
     )
 
 
-def as_topic(events: DataFrame, key: Column | None = None) -> DataFrame:
+def as_topic(
+    events: DataFrame, key: Column | None = None, owner: Column | None = None, date: Column | None = None,
+) -> DataFrame:
     """Events encoded as topic rows: JSON with epoch microseconds, a base64 decimal of scale 2 and a delete marker."""
     value = F.struct(
         (F.col("event_id") if key is None else key).alias("id_evenement_sportif"),
-        F.col("user_id").alias("employe_id"),
+        (F.col("user_id") if owner is None else owner).alias("employe_id"),
         F.col("event_type").alias("type_pratique_sportive"),
-        micros("ts").alias("date"),
+        (micros("ts") if date is None else date).alias("date"),
         F.struct(F.lit(2).alias("scale"), encode_integer(cents()).alias("value")).alias("distance"),
         (prop_k() * 97).alias("temps_ecoule"),
         F.col("props").alias("commentaire"),

@@ -1,10 +1,11 @@
 """Live counts kept up to date batch by batch, equal to a recount of the whole history.
 
-    base/upto=<batch>/block=<n>/     newest event per activity
-    deltas/batch=<batch>/block=<n>/  newest event of each activity a batch touched, and what it counted for before
-    counts/batch=<batch>/            live activities per owner after a batch
+    base/upto=<batch>/bucket=<n>/     newest event per activity
+    deltas/batch=<batch>/bucket=<n>/  newest event of each activity a batch touched, and what it counted for before
+    counts/batch=<batch>/             live activities per owner after a batch
 
-A batch reads the state of the activities it touches, and only in the blocks of keys these lie in. Delete markers stay,
+Buckets are hash ranges of the key, a fixed number of them, so the number of files does not depend on the keys. A batch reads
+the state of the activities it touches, and only in the buckets these lie in. Delete markers stay,
 so that an older event arriving later cannot revive a deleted activity. When the deltas outgrow a share of the base,
 they are folded into a new base, so a row is rewritten a bounded number of times on average.
 
@@ -24,27 +25,29 @@ from activity_lake.sinks.hadoop import HadoopFiles
 KEY = "id_evenement_sportif"
 OWNER = "employe_id"
 COUNT = "pratique_sportive_annuelle"
-_STATE = (KEY, OWNER, "is_deleted", *EVENT_ORDER)
+_STATE = (KEY, OWNER, "is_deleted", "date", *EVENT_ORDER)
 # Declared, so that opening the files needs no job to look into them.
 _STATE_SCHEMA = (
-    f"{KEY} BIGINT, {OWNER} BIGINT, is_deleted BOOLEAN, kafka_ts TIMESTAMP, kafka_partition INT, kafka_offset BIGINT, "
-    "block BIGINT"
+    f"{KEY} BIGINT, {OWNER} BIGINT, is_deleted BOOLEAN, date TIMESTAMP, kafka_ts TIMESTAMP, kafka_partition INT, kafka_offset BIGINT, "
+    "bucket INT"
 )
-_DELTA_SCHEMA = f"{_STATE_SCHEMA}, old_owner BIGINT, old_deleted BOOLEAN"
+_DELTA_SCHEMA = f"{_STATE_SCHEMA}, old_owner BIGINT, old_live BIGINT"
 _COUNT_SCHEMA = f"{OWNER} BIGINT, {COUNT} BIGINT"
-_MAX_BLOCK_LIST = 10_000
 _KEPT_COUNTS = 3
 _LAST = 1 << 62
 
 
 class IncrementalCounts:
-    """A block holds ``block_size`` consecutive keys; keys are given out in order, so recent ones share few blocks."""
+    """State in ``buckets`` parts, which must stay the same for a root; with ``year`` only activities dated in it count."""
 
-    def __init__(self, spark: SparkSession, root: str, block_size: int = 1_000_000, fold_share: float = 0.25):
+    def __init__(
+        self, spark: SparkSession, root: str, buckets: int = 64, fold_share: float = 0.25, year: int | None = None,
+    ):
         self._spark = spark
         self._root = root
         self._files = HadoopFiles(spark, root)
-        self._block_size = block_size
+        self._buckets = buckets
+        self._year = year
         self._fold_share = fold_share
 
     # Layout
@@ -81,20 +84,26 @@ class IncrementalCounts:
             return None
         return self._spark.read.schema(_STATE_SCHEMA).option("basePath", f"{self._root}/deltas").parquet(*paths)
 
-    def _block(self) -> Column:
-        return F.floor(F.col(KEY) / self._block_size)
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(KEY), F.lit(self._buckets)).cast("int")
 
-    def _write_blocks(self, rows: DataFrame, path: str) -> None:
-        """One file per block, which has at most ``block_size`` rows because a key is in it once."""
-        blocks = rows.withColumn("block", self._block()).repartition("block")
-        blocks.write.mode("overwrite").partitionBy("block").parquet(path)
+    def _write_buckets(self, rows: DataFrame, path: str) -> None:
+        """One file per bucket; a key is in it once."""
+        rows.withColumn("bucket", self._bucket()).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+    def _live(self) -> Column:
+        """1 for a row that counts, else 0."""
+        counts = F.col("is_deleted") == F.lit(False)
+        if self._year is not None:
+            counts = counts & (F.year("date") == self._year)
+        return F.when(counts, 1).otherwise(0).cast("bigint")
 
     # One batch
 
     def _stored(self, before: int) -> DataFrame | None:
         """All state before a batch, with several rows for some keys."""
         parts = [part for part in (self._base(before), self._deltas(before)) if part is not None]
-        rows = [part.select(*_STATE, "block") for part in parts]
+        rows = [part.select(*_STATE, "bucket") for part in parts]
         return None if not rows else rows[0] if len(rows) == 1 else rows[0].unionByName(rows[1])
 
     def _predecessors(self, touched: DataFrame, batch_id: int) -> DataFrame:
@@ -102,10 +111,9 @@ class IncrementalCounts:
         stored = self._stored(batch_id)
         if stored is None:
             return touched.select(*_STATE).limit(0)
-        # Folders to read, where the list is short enough to hand around; else all of them.
-        blocks = touched.select(self._block().alias("block")).distinct().limit(_MAX_BLOCK_LIST + 1).collect()
-        if len(blocks) <= _MAX_BLOCK_LIST:
-            stored = stored.filter(F.col("block").isin([row["block"] for row in blocks]))
+        # Folders to read: at most one number per bucket, whatever the batch.
+        buckets = touched.select(F.sort_array(F.collect_set(self._bucket())).alias("buckets")).first()["buckets"]
+        stored = stored.filter(F.col("bucket").isin(buckets))
         return stored.select(*_STATE).join(touched.select(KEY), KEY, "left_semi")
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
@@ -120,11 +128,11 @@ class IncrementalCounts:
             order = order_value(EVENT_ORDER)
             merged = candidates.groupBy(KEY).agg(
                 F.max_by(state, order).alias("now"),
-                F.max_by(F.struct(OWNER, "is_deleted"), F.when(F.col("_old"), order)).alias("was"),
+                F.max_by(F.struct(OWNER, self._live().alias("live")), F.when(F.col("_old"), order)).alias("was"),
             )
-            self._write_blocks(
+            self._write_buckets(
                 merged.select(
-                    KEY, "now.*", F.col(f"was.{OWNER}").alias("old_owner"), F.col("was.is_deleted").alias("old_deleted")
+                    KEY, "now.*", F.col(f"was.{OWNER}").alias("old_owner"), F.col("was.live").alias("old_live")
                 ),
                 self._path("deltas", batch_id),
             )
@@ -138,8 +146,8 @@ class IncrementalCounts:
     def _count(self, batch_id: int) -> None:
         """Counts after the batch: those before it, plus what changed."""
         delta = self._spark.read.schema(_DELTA_SCHEMA).parquet(self._path("deltas", batch_id))
-        now = F.struct(F.col(OWNER).alias(OWNER), _live("is_deleted").alias(COUNT))
-        was = F.struct(F.col("old_owner").alias(OWNER), (-_live("old_deleted")).alias(COUNT))
+        now = F.struct(F.col(OWNER).alias(OWNER), self._live().alias(COUNT))
+        was = F.struct(F.col("old_owner").alias(OWNER), (-F.coalesce("old_live", F.lit(0))).alias(COUNT))
         changes = delta.select(F.inline(F.array(now, was))).filter(f"{COUNT} <> 0 AND {OWNER} IS NOT NULL")
         summed = self.counts(batch_id - 1).unionByName(changes).groupBy(OWNER).agg(F.sum(COUNT).alias(COUNT))
         summed.filter(F.col(COUNT) > 0).write.mode("overwrite").parquet(self._path("counts", batch_id))
@@ -167,13 +175,9 @@ class IncrementalCounts:
         if stored is None or not self._delta_paths(batch_id + 1):
             return
         previous = self._base_batch(batch_id + 1)
-        self._write_blocks(latest_by_max(stored.select(*_STATE), [KEY]), self._path("base", batch_id))
+        self._write_buckets(latest_by_max(stored.select(*_STATE), [KEY]), self._path("base", batch_id))
         # The previous base and the deltas after it stay: a repeated batch and readers still need them.
         for number in self._complete("base", previous):
             self._files.delete(self._path("base", number))
         for number in self._complete("deltas", previous + 1):
             self._files.delete(self._path("deltas", number))
-
-
-def _live(flag: str) -> Column:
-    return F.when(F.col(flag) == F.lit(False), 1).otherwise(0).cast("bigint")

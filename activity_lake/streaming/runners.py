@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import logging
+from collections import deque
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from activity_lake.config import METRICS_INTERVAL, TRIGGER_INTERVAL, LakePaths, MobilityRules
 from activity_lake.operators import notify
 from activity_lake.operators.bronze import parse_changes, to_bronze
 from activity_lake.operators.current_state import grand_total, live_counts
-from activity_lake.operators.joins import broadcast_if_small
 from activity_lake.operators.lookup import DistanceCache, Resolver
-from activity_lake.operators.metrics import append_gauges, gauges
+from activity_lake.operators.metrics import append_gauges, gauges, run_log
 from activity_lake.plans.gate import is_changed
 from activity_lake.plans.publish import SnapshotStore
 from activity_lake.plans.silver import COUNT, LINEAGE, resolve_commutes, silver_table, with_commutes
@@ -28,13 +29,18 @@ from activity_lake.streaming.incremental import IncrementalCounts
 ReadTable = Callable[[], DataFrame]
 
 _LOG = logging.getLogger(__name__)
+_KEPT_RUNS = 100
 
 
 def start_bronze(
     topic: DataFrame, paths: LakePaths, interval: str | None = TRIGGER_INTERVAL, by_day: bool = False,
+    precision: int = 10, scale: int = 0,
 ) -> StreamingQuery:
-    """Decode a topic into Bronze, rejects included; ``by_day`` stores it in a folder per broker day."""
-    rows = to_bronze(topic)
+    """Decode a topic into Bronze, rejects included; ``by_day`` stores it in a folder per broker day.
+
+    ``precision`` and ``scale`` are those of the distance; whoever reads this Bronze must name the same.
+    """
+    rows = to_bronze(topic, precision, scale)
     if not by_day:
         return append_parquet(rows, paths.bronze, paths.checkpoint("bronze"), interval)
     rows = rows.withColumn("ingest_date", F.to_date("kafka_ts"))
@@ -44,14 +50,15 @@ def start_bronze(
 class SilverRefresh:
     """Handler of Bronze micro-batches. A batch is only the trigger: the table follows from the whole history.
 
-    ``counts="recount"`` reads all of Bronze for each batch. ``counts="incremental"`` reads the batch and the state
-    of the keys it touches, and gives the same counts.
+    ``counts="incremental"`` reads the batch and the state of the keys it touches. ``counts="recount"`` reads all of Bronze
+    for each batch and gives the same counts. With ``year`` only activities dated in it count. Every batch leaves its run in
+    the metrics table; ``log`` keeps the last ones at hand.
     """
 
     def __init__(
         self, spark: SparkSession, paths: LakePaths, read_employees: ReadTable, read_modes: ReadTable,
-        resolver: Resolver, rules: MobilityRules | None = None, gate: str = "total", counts: str = "recount",
-        parallel_calls: int = 8,
+        resolver: Resolver, rules: MobilityRules | None = None, gate: str = "total", counts: str = "incremental",
+        parallel_calls: int = 8, precision: int = 10, scale: int = 0, year: int | None = None, layout: str = "folder",
     ):
         if counts not in ("recount", "incremental"):
             raise ValueError(f"unknown way to count {counts!r}")
@@ -64,9 +71,15 @@ class SilverRefresh:
         self._gate = gate
         self._parallel_calls = parallel_calls
         self._cache = DistanceCache(spark, paths.distance_cache)
-        self._state = IncrementalCounts(spark, paths.event_state) if counts == "incremental" else None
-        self.store = SnapshotStore(spark, paths.silver)
-        self.log: list[dict] = []
+        self._decimal = (precision, scale)
+        self._year = year
+        self._state = IncrementalCounts(spark, paths.event_state, year=year) if counts == "incremental" else None
+        self.store = SnapshotStore(spark, paths.silver, layout)
+        self.log: deque[dict] = deque(maxlen=_KEPT_RUNS)
+
+    @property
+    def bronze_schema(self) -> StructType:
+        return bronze_schema(*self._decimal)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -78,12 +91,12 @@ class SilverRefresh:
     def _counts(self, batch_id: int) -> DataFrame:
         if self._state is not None:
             return self._state.counts(batch_id)
-        return live_counts(read_bronze(self._spark, self._paths.bronze))
+        return live_counts(read_bronze(self._spark, self._paths.bronze, *self._decimal), year=self._year)
 
     def refresh(self, batch_id: int) -> None:
         """Recompute the table and publish it where it has changed."""
         employees = self._read_employees()
-        modes = broadcast_if_small(self._read_modes())
+        modes = self._read_modes()
         counts = self._counts(batch_id).persist()
         held = None
         try:
@@ -114,6 +127,7 @@ class SilverRefresh:
     def _record(self, batch_id: int, total: int, rows: int | None = None) -> None:
         """What a batch came to: the total, and the rows of the table if it was written."""
         self.log.append({"batch_id": batch_id, "written": rows is not None, "total": total, "rows": rows})
+        append_gauges(run_log(self._spark, batch_id, total, rows), self._paths.metrics)
         if rows is None:
             _LOG.info("batch %d: table is up to date, %d activities", batch_id, total)
         else:
@@ -126,7 +140,7 @@ def start_silver(
 ) -> StreamingQuery:
     """Refresh Silver for each set of new Bronze files. What is there already is published at once."""
     HadoopFiles(spark, paths.bronze).make_folder(paths.bronze)
-    stream = stream_parquet(spark, paths.bronze, bronze_schema(), max_files)
+    stream = stream_parquet(spark, paths.bronze, handler.bronze_schema, max_files)
     handler.store.publish()
     return each_batch(stream, handler, paths.checkpoint("silver"), interval)
 

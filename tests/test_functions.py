@@ -1,6 +1,6 @@
 import base64
 import datetime
-from decimal import ROUND_HALF_UP, Decimal, localcontext
+from decimal import ROUND_HALF_UP, Context, Decimal, localcontext
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -42,6 +42,22 @@ def test_rounding_is_half_up_and_happens_once(spark):
     assert decoded(spark, rows, 10, 0) == [4, 3, -4, 0, 500]
 
 
+def test_any_number_of_digits_if_the_result_fits(spark):
+    values = [5 * 10**40, -5 * 10**40, 10**60 + 10**58, 2**400, -(2**400), -(2**127), 2**127 - 1, 2**119, -(2**120)]
+    scales = [40, 40, 58, 115, 115, 30, 30, 20, 20]
+    want = [Decimal(v).scaleb(-s, Context(prec=200)).quantize(Decimal("0.001"), ROUND_HALF_UP, Context(prec=200)) for v, s in zip(values, scales)]
+    assert decoded(spark, list(zip(map(packed, values), scales)), 38, 3) == want
+    assert decoded(spark, [(packed(10**38), 0), (packed(10**41), 2)]) == [None, None]
+    wide = base64.b64encode(b"\xff" * 20).decode()
+    assert decoded(spark, [(wide, 20)], 38, 0, signed=False) == [Decimal(2**160 - 1).scaleb(-20, Context(prec=200)).quantize(Decimal(1), ROUND_HALF_UP, Context(prec=200))]
+
+
+def test_days_just_before_midnight(spark):
+    for micros, day in ((32503679999999999, "31/12/2999"), (12622780799999999, "31/12/2369"), (253402300799999999, "31/12/9999"),
+                        (-1, "31/12/1969"), (-62135596800000000, "01/01/0001")):
+        assert spark.range(1).select(format_day(F.lit(str(micros)))).first()[0] == day
+
+
 def test_what_cannot_be_decoded_is_null(spark):
     rows = [(None, 0), ("", 0), ("not base64", 0), ("BQ==", None), (packed(10**10), 0), (packed(2**130), 0), (packed(10**38), 0)]
     assert decoded(spark, rows, 10, 0) == [None] * len(rows)

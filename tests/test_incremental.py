@@ -1,6 +1,7 @@
 import tempfile
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -35,7 +36,7 @@ EVENTS = [
 
 @pytest.mark.parametrize("fold_share", [0.0, 0.5, 1e9])
 def test_each_batch_equals_a_recount(spark, fold_share):
-    state = new_state(spark, block_size=2, fold_share=fold_share)
+    state = new_state(spark, buckets=2, fold_share=fold_share)
     for batch in range(5):
         state.apply(bronze_rows(spark, EVENTS[batch * 2:batch * 2 + 2]), batch)
         assert kept(state) == recounted(spark, EVENTS[:batch * 2 + 2])
@@ -77,11 +78,32 @@ def test_unfinished_fold_is_ignored(spark):
 
 
 def test_only_touched_folders_are_read(spark):
-    state = new_state(spark, block_size=10)
+    state = new_state(spark, buckets=10)
     state.apply(bronze_rows(spark, [(n, 1, False, n, 0, n) for n in range(100)]), 0)
     touched = bronze_rows(spark, [(42, 1, True, 500, 0, 500)])
     plan = state._predecessors(touched, 1)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(block" in plan and "block#" in plan and "= 4" in plan
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "bucket#" in plan
+
+
+def test_files_do_not_depend_on_the_keys(spark):
+    import glob
+    files = []
+    for step in (1, 10**12 + 39):
+        state = new_state(spark, buckets=8)
+        state.apply(bronze_rows(spark, [(n * step, 1, False, n, 0, n) for n in range(300)]), 0)
+        files.append(len(glob.glob(f"{state._root}/deltas/batch=0/bucket=*/*.parquet")))
+        assert kept(state) == {1: 300}
+    assert files == [8, 8]
+
+
+def test_only_a_year_counts(spark):
+    state = new_state(spark, year=2025)
+    rows = bronze_rows(spark, EVENTS)
+    other = rows.withColumn("date", F.when(F.col("id_evenement_sportif") == 2, F.col("date") + F.expr("INTERVAL 2 YEARS")).otherwise(F.col("date")))
+    for batch in range(3):
+        state.apply(other.filter(f"kafka_offset % 3 = {batch}"), batch)
+    counts = as_dict(live_counts(other, year=2025), "employe_id", COUNT)
+    assert kept(state) == {employee: count for employee, count in counts.items() if count and employee is not None} != recounted(spark, EVENTS)
 
 
 rows = st.tuples(
@@ -96,7 +118,7 @@ def test_any_arrival_in_any_batches(spark, drawn, batches, random):
     events = [(*row, offset) for offset, row in enumerate(drawn)]
     expected = recounted(spark, events)
     random.shuffle(events)
-    state = new_state(spark, block_size=3, fold_share=0.5)
+    state = new_state(spark, buckets=3, fold_share=0.5)
     for batch in range(batches):
         state.apply(bronze_rows(spark, events[batch::batches]), batch)
     assert kept(state) == expected

@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from activity_lake.config import SPORTS
 from activity_lake.operators import quality
-from activity_lake.operators.joins import broadcast_if_small, orphans, with_lookup
+from activity_lake.operators.joins import orphans, with_lookup
 from activity_lake.schemas import TABLES
 from tests.data import as_dict, employees, modes
 
@@ -77,10 +77,14 @@ def test_declared_constraints(spark):
     assert sum(len(table.foreign_keys) for table in TABLES.values()) == 5
 
 
-def test_lookup_default_and_checked_broadcast(spark):
+def test_null_in_a_set_passes_nothing(spark):
+    rows = spark.createDataFrame([("a",), ("zz",), (None,)], "v string")
+    for values, bad in ((("a", None), 1), ((None,), 2), (("a", "zz"), 0)):
+        result = quality.run_suite(rows, [quality.InSet("v", values)]).first()
+        assert (result["unexpected_count"], result["missing_count"], result["success"]) == (bad, 1, bad == 0)
+
+
+def test_lookup_default(spark):
     rows = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
     labels = spark.createDataFrame([(1, 7)], "k bigint, q int")
     assert as_dict(with_lookup(rows, labels, "k", "q", "none"), "k", "q") == {1: "7", 2: "none", None: "none"}
-    big = spark.range(100)
-    assert "broadcast" in broadcast_if_small(big, 100)._jdf.queryExecution().toString()
-    assert "broadcast" not in broadcast_if_small(big, 99)._jdf.queryExecution().toString()

@@ -82,11 +82,20 @@ def test_a_move_of_house_is_noticed(spark, folder):
     assert as_dict(moved, "employe_id", "distance_km") == {1: 12.0}
 
 
-def test_unanswered_keys_are_asked_for_again(spark, folder):
+def test_unanswered_keys_are_asked_for_again_but_not_in_every_batch(spark, folder):
     people = employees(spark, [(7, "unknown", 2)])
     assert commutes(spark, folder, people).first()["distance_km"] is None
-    later = commutes(spark, folder, people, lambda keys: pd.Series([2000.0] * len(keys)), 1)
+    assert commutes(spark, folder, people, no_calls, 1).first()["distance_km"] is None
+    later = commutes(spark, folder, people, lambda keys: pd.Series([2000.0] * len(keys)), 100)
     assert later.first()["distance_km"] == 2.0
+    assert commutes(spark, folder, people, no_calls, 300).first()["distance_km"] == 2.0
+
+
+def test_unanswered_keys_may_never_be_asked_for_again(spark, folder):
+    keys = lookup_keys(add_lookup_mode(soft_mobility(employees(spark, [(7, "unknown", 2)]), modes(spark), RULES), RULES))
+    cache = DistanceCache(spark, f"{folder}/cache", retry_after=None)
+    cache.fill(keys, by_address, 0)
+    cache.fill(keys, no_calls, 10**6)
 
 
 def test_retried_batch_leaves_one_answer_per_key(spark, folder):
@@ -96,7 +105,7 @@ def test_retried_batch_leaves_one_answer_per_key(spark, folder):
     cache.remember(answers, 0)
     cache.remember(answers, 0)
     assert cache.read().count() == 4
-    assert cache.missing(keys).count() == 0
+    assert cache.missing(keys, 1).count() == 0
 
 
 def table(spark, rows):
@@ -132,8 +141,9 @@ def test_fingerprint_sees_where_nulls_are_and_counts_copies(spark):
     assert of([(1, 2, 0), (3, 4, 0)]) == of([(3, 4, 0), (1, 2, 0)])
 
 
-def test_publication(spark, folder):
-    store = SnapshotStore(spark, f"{folder}/silver", keep=2)
+@pytest.mark.parametrize("layout", ["folder", "file"])
+def test_publication(spark, folder, layout):
+    store = SnapshotStore(spark, f"{folder}/silver", layout, keep=2)
     assert store.read() is None and store.publish() is None
     for version, rows in enumerate([[(1, "a", 2, 0)], [(1, "a", 5, 1), (2, "b", 1, 1)], [(1, "a", 6, 2)]]):
         seen = store.write(table(spark, rows), COUNT)
@@ -164,19 +174,20 @@ def test_unfinished_version_is_not_read(spark, folder):
     assert store.read().first()[COUNT] == 2
 
 
-def test_large_snapshot_is_a_folder_and_back(spark, folder):
+@pytest.mark.parametrize("layout", ["folder", "file"])
+def test_fixed_path_is_a_file_at_any_size(spark, folder, layout):
     import os
-    large = SnapshotStore(spark, f"{folder}/silver", max_single_file_rows=10)
-    rows = [(n, "a", 1, 0) for n in range(50)]
-    for _ in range(2):
-        large.write(table(spark, rows).repartition(4), COUNT)
-        large.publish()
-        assert os.path.isdir(large.published_path) and large.read_published().count() == 50
-    small = SnapshotStore(spark, f"{folder}/silver", max_single_file_rows=100)
-    small.publish()
-    assert os.path.isfile(small.published_path) and small.read_published().count() == 50
-    large.publish()
-    assert os.path.isdir(large.published_path) and large.read_published().count() == 50
+    store = SnapshotStore(spark, f"{folder}/silver", layout)
+    for n in (1, 5000):
+        store.write(table(spark, [(k, "a", 1, 0) for k in range(n)]).repartition(4), COUNT)
+        store.publish()
+        assert os.path.isfile(store.published_path) and store.read_published().count() == n
+    before = os.stat(store.published_path).st_mtime_ns
+    assert store.publish() == store.published_path and os.stat(store.published_path).st_mtime_ns == before
+    if layout == "file":
+        assert spark.read.parquet(store.published_path).count() == 5000
+    with pytest.raises(ValueError):
+        SnapshotStore(spark, folder, "rows")
 
 
 def test_paths_come_from_the_environment(monkeypatch):
