@@ -157,7 +157,7 @@ def incremental_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The counts kept batch by batch, with the events arriving out of order."""
     paths = LakePaths(scratch_dir(spark, "incremental-count"))
     _bronze_out_of_order(spark, sf_dir, paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state)
+    state = IncrementalCounts(spark, paths.event_state, buckets=8)
     history = read_bronze(spark, paths.bronze)
     for batch in range(3):
         state.apply(history.filter(F.pmod(F.hash("kafka_offset"), F.lit(3)) == batch), batch)
@@ -469,7 +469,7 @@ def stream_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = max(_shuffle_partitions(spark), 4)
     rows = bronze.to_bronze(_events_of_years(table(spark, sf_dir, "events")))
     rows.repartition(files, "kafka_offset").write.parquet(paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state, year=2024)
+    state = IncrementalCounts(spark, paths.event_state, buckets=8, year=2024)
     stream = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=files // 2)
     each_batch(stream, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
     return state.counts()
@@ -494,7 +494,7 @@ def stream_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same from the batches alone."""
     paths = LakePaths(scratch_dir(spark, "incremental"))
     written = _bronze_out_of_order(spark, sf_dir, paths.bronze)
-    state = IncrementalCounts(spark, paths.event_state)
+    state = IncrementalCounts(spark, paths.event_state, buckets=8)
     files = stream_parquet(spark, paths.bronze, bronze_schema(), max_files=written // 2)
     each_batch(files, state.apply, paths.checkpoint("silver"), interval=None).awaitTermination()
     return state.counts()

@@ -57,7 +57,7 @@ class SilverRefresh:
 
     def __init__(
         self, spark: SparkSession, paths: LakePaths, read_employees: ReadTable, read_modes: ReadTable,
-        resolver: Resolver, rules: MobilityRules | None = None, gate: str = "total", counts: str = "incremental",
+        resolver: Resolver, rules: MobilityRules | None = None, gate: str = "total", counts: str = "incremental", buckets: int = 64,
         parallel_calls: int = 8, precision: int = 10, scale: int = 0, year: int | None = None, layout: str = "folder",
     ):
         if counts not in ("recount", "incremental"):
@@ -73,7 +73,7 @@ class SilverRefresh:
         self._cache = DistanceCache(spark, paths.distance_cache)
         self._decimal = (precision, scale)
         self._year = year
-        self._state = IncrementalCounts(spark, paths.event_state, year=year) if counts == "incremental" else None
+        self._state = IncrementalCounts(spark, paths.event_state, buckets, year=year) if counts == "incremental" else None
         self.store = SnapshotStore(spark, paths.silver, layout)
         self.log: deque[dict] = deque(maxlen=_KEPT_RUNS)
 

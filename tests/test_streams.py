@@ -121,7 +121,7 @@ def test_a_new_checkpoint_does_not_count_twice(spark, folder, counts):
 def test_empty_batch_does_nothing(spark, folder):
     refresh = handler(spark, LakePaths(f"{folder}/lake"))
     refresh(bronze_rows(spark, []), 0)
-    assert refresh.log == [] and refresh.store.read() is None
+    assert not refresh.log and refresh.store.read() is None
 
 
 def test_first_run_without_activities_writes_once(spark, folder):
@@ -184,7 +184,7 @@ def test_metrics_of_the_published_snapshot(spark, folder):
 
     paths = LakePaths(f"{folder}/lake")
     bronze_rows(spark, [(1, 1, False, 0, 0, 0), (2, 1, False, 1, 0, 1)]).write.parquet(paths.bronze)
-    refresh = handler(spark, paths)
+    refresh = handler(spark, paths, counts="recount")
     assert not sample_metrics(refresh.store, paths)
     refresh.refresh(0)
     query = start_metrics(spark, refresh.store, paths, "1 second")
@@ -195,5 +195,8 @@ def test_metrics_of_the_published_snapshot(spark, folder):
             time.sleep(0.5)
     finally:
         query.stop()
-    values = as_dict(spark.read.parquet(paths.metrics), "metric", "value")
+    stored = spark.read.parquet(paths.metrics)
+    runs = as_dict(stored.filter("metric LIKE 'silver_run%'"), "metric", "value")
+    assert runs == {"silver_run_batch_id": 0, "silver_run_activities": 2, "silver_run_rows_written": 3}
+    values = as_dict(stored.filter("metric NOT LIKE 'silver_run%'"), "metric", "value")
     assert values["pipeline_silver_activites_total"] == 2 and values["pipeline_silver_employes_total"] == 3
