@@ -10,7 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows with whole texts that an executor and its Python worker pass at a time; Spark's default is ten times as many.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session pass rows on to Python in batches that suit whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -21,10 +31,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame, purpose: str) -> DataFrame:
-    """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage behind it."""
+    """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage behind it.
+
+    Then nothing needs the shuffle files of the step any more. Spark removes them when the driver's JVM finds that out in a
+    garbage collection, which is asked for here: the disks hold one step at a time.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,7 @@ Two suffixes matter to each other if their first ``LENGTH`` bytes agree. Suffixe
 refined until that is decided, and a bucket that holds one document's suffixes is done and goes no further:
 
 1. Initial buckets by a gram of GRAM bytes. Of the grams inside a string of LENGTH bytes the one with the least hash stands
-   for it, so equal strings choose the same gram at the same place, and one suffix in 18 or so is an anchor. An anchor keeps
+   for it, so equal strings choose the same gram at the same place, and one suffix in 16 or so is an anchor. An anchor keeps
    a pointer to the run of strings it stands for, and the hash of the bytes they cover.
 2. In a bucket whose anchors agree in that hash, the runs are equal byte for byte: all but those of the smallest document
    are repetitions. Buckets of one document need nothing. In a bucket with several hashes the first document of each goes on.
@@ -20,6 +20,7 @@ compressed arrays, texts as compressed blocks.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -27,17 +28,22 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import cut, pack, power_of_two, text_bytes, unpack_all
+from activity_lake.llm.common import cut, pack, power_of_two, text_bytes, unpack, unpack_all
 from activity_lake.llm.hashing import BYTE_CODES, Powers, Spans, grams, mixed, sliding_min
 
 LENGTH = 50
-GRAM = 16
+GRAM = 20
 #: Text in one partition of buckets or documents. Larger parts mean fewer, longer rows; a task holds one part.
-PART_BYTES = 16 << 20
-PIECE = 1 << 19  # windows hashed together; positions take 20 bits
-TOGETHER = 1 << 22  # bytes of documents looked at together
+PART_BYTES = 8 << 20
+PIECE = 1 << 17  # windows hashed together; positions take 20 bits
+TOGETHER = 1 << 20  # bytes of documents looked at together
+SETTLED = 4 << 20  # bytes of documents whose anchors are settled together before anything is sent
 NO_ID = np.iinfo(np.int64).max  # a null doc_id is larger than every other
 
+#: A bucket is known by so many bits more than the corpus has (log2 of its bytes), and by as many of a second hash: chance
+#: agreements of both stay below one in 10 ** 9 for any size.
+SPARE_BITS, SECOND_BITS = 14, 48
+
 ROW = "kind string, part long, block binary"
 QUESTION = ("u8", "u8", "i8", "u4", "u1", "u1")  # gram (as differences), run hash, document, start, further starts, notice
 RUN = ("i8", "u4", "u1")  # document, start, further starts
@@ -52,10 +58,25 @@ def frame(rows: list[dict]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["kind", "part", "block"]).astype({"part": "int64"})
 
 
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    """Equal ranges of 64-bit keys."""
-    bits = parts.bit_length() - 1
-    return (keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)
+@dataclass(frozen=True)
+class Layout:
+    """Partitions, a power of two, and the bits of a bucket identifier, whose first bits name the partition."""
+
+    parts: int
+    bits: int
+
+    def bucket(self, keys: np.ndarray) -> np.ndarray:
+        return keys >> np.uint64(64 - self.bits)
+
+    def of_bucket(self, buckets: np.ndarray) -> np.ndarray:
+        return (buckets >> np.uint64(self.bits - self.parts.bit_length() + 1)).astype(np.int64)
+
+    def of_document(self, docs: np.ndarray) -> np.ndarray:
+        return self.of_bucket(self.bucket(mixed(docs.view(np.uint64))))
+
+
+def second(keys: np.ndarray) -> np.ndarray:
+    return keys & np.uint64((1 << SECOND_BITS) - 1)
 
 
 def dealt(kind: str, parts: np.ndarray, arrays: tuple[np.ndarray, ...]) -> Iterator[dict]:
@@ -65,15 +86,15 @@ def dealt(kind: str, parts: np.ndarray, arrays: tuple[np.ndarray, ...]) -> Itera
     cuts = np.flatnonzero(np.diff(at)) + 1
     for piece in np.split(order, cuts) if len(order) else ():
         block = [a[piece] for a in arrays]
-        if kind == "question":  # sorted by gram: differences are short
+        if kind in ("question", "string"):  # sorted by bucket: differences are short
             block[0] = np.diff(block[0], prepend=np.uint64(0))
         yield row(kind, int(parts[piece[0]]), pack(*block))
 
 
-def runs_by_document(kind: str, docs: np.ndarray, starts: np.ndarray, more: np.ndarray, parts: int) -> Iterator[dict]:
+def runs_by_document(kind: str, docs: np.ndarray, starts: np.ndarray, more: np.ndarray, layout: Layout) -> Iterator[dict]:
     order = np.lexsort((starts, docs))
     docs, starts, more = docs[order], starts[order].astype(np.uint32), more[order].astype(np.uint8)
-    yield from dealt(kind, part_of(mixed(docs.view(np.uint64)), parts), (docs, starts, more))
+    yield from dealt(kind, layout.of_document(docs), (docs, starts, more))
 
 
 def anchors(block: np.ndarray, of: np.ndarray, powers: Powers) -> Iterator[tuple[np.ndarray, ...]]:
@@ -96,7 +117,8 @@ def anchors(block: np.ndarray, of: np.ndarray, powers: Powers) -> Iterator[tuple
         last = np.flatnonzero(valid & np.concatenate([~same, [True]]))
         place = at[first]
         shape = ((place - first) * 64 + (last - first)).astype(np.uint64)
-        yield first + a, last + a, gram[place], mixed(spans.of(first, last + LENGTH) ^ (shape << np.uint64(40)))
+        # Chosen for being small, the hashes are not uniform any more; mixed again they fill all partitions alike.
+        yield first + a, last + a, mixed(~gram[place]), mixed(spans.of(first, last + LENGTH) ^ (shape << np.uint64(40)))
 
 
 def firsts(keys: list[np.ndarray], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -136,41 +158,45 @@ def settle(gram: np.ndarray, run: np.ndarray, docs: np.ndarray, notice: np.ndarr
     return order[repeated], order[go_on], order[rest], g[go_on]
 
 
-def find_anchors(parts: int):
+def find_anchors(layout: Layout):
     """Documents (id, bytes) to questions by gram, and runs that are settled or mixed already."""
 
+    def settled(found: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+        gram, run, docs, starts, more = (np.concatenate(x) for x in zip(*found))
+        found.clear()
+        order = np.argsort(gram, kind="stable")
+        g = gram[order]
+        edge = np.ones(len(g) + 1, bool)
+        edge[1:-1] = g[1:] != g[:-1]
+        single, shared = order[edge[1:] & edge[:-1]], order[~(edge[1:] & edge[:-1])]
+        hit, go_on, rest, mixed_grams = settle(gram[shared], run[shared], docs[shared])
+        asked, notices = np.concatenate([single, shared[rest]]), np.unique(mixed_grams)
+        by_gram = np.argsort(np.concatenate([gram[asked], notices]), kind="stable")
+        extend = lambda a, fill=0: np.concatenate([a[asked], np.full(len(notices), fill, a.dtype)])[by_gram]
+        columns = (np.concatenate([gram[asked], notices])[by_gram], extend(run), extend(docs), extend(starts), extend(more),
+                   extend(np.zeros(len(gram), np.uint8), 1))
+        out = list(dealt("question", layout.of_bucket(columns[0]), columns))
+        for kind, at in (("hit", shared[hit]), ("mixed", shared[go_on])):
+            out += runs_by_document(kind, docs[at], starts[at], more[at], layout)
+        return frame(out)
+
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers = Powers()
+        found: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
-            found: list[tuple[np.ndarray, ...]] = []
             for ids, offsets, block in together(batch):
-                lengths = np.diff(offsets)
-                of = np.repeat(np.arange(len(ids), dtype=np.int32), lengths)
+                size += len(block)
+                of = np.repeat(np.arange(len(ids), dtype=np.int32), np.diff(offsets))
                 for first, last, gram, run in anchors(block, of, powers):
                     doc = of[first]
-                    found.append((gram, run, ids[doc], (first - offsets[doc]).astype(np.uint32), (last - first).astype(np.uint8)))
-            if not found:
-                continue
-            gram, run, docs, starts, more = (np.concatenate(x) for x in zip(*found))
-            order = np.argsort(gram, kind="stable")
-            g = gram[order]
-            edge = np.ones(len(g) + 1, bool)
-            edge[1:-1] = g[1:] != g[:-1]
-            single, shared = order[edge[1:] & edge[:-1]], order[~(edge[1:] & edge[:-1])]
-            hit, go_on, rest, mixed_grams = settle(gram[shared], run[shared], docs[shared])
-            asked = np.concatenate([single, shared[rest]])
-            notices = np.unique(mixed_grams)
-            none = np.zeros(len(notices), np.uint64)
-            columns = [np.concatenate(x) for x in (
-                (gram[asked], notices), (run[asked], none), (docs[asked], none.astype(np.int64)),
-                (starts[asked], none.astype(np.uint32)), (more[asked], none.astype(np.uint8)),
-                (np.zeros(len(asked), np.uint8), np.ones(len(notices), np.uint8)))]
-            by_gram = np.argsort(columns[0], kind="stable")
-            columns = [c[by_gram] for c in columns]
-            out = list(dealt("question", part_of(columns[0], parts), tuple(columns)))
-            for kind, at in (("hit", shared[hit]), ("mixed", shared[go_on])):
-                out += runs_by_document(kind, docs[at], starts[at], more[at], parts)
-            yield frame(out)
+                    found.append((layout.bucket(gram), second(run), ids[doc], (first - offsets[doc]).astype(np.uint32),
+                                  (last - first).astype(np.uint8)))
+                if found and size >= SETTLED:
+                    yield settled(found)
+                    size = 0
+        if found:
+            yield settled(found)
 
     return find
 
@@ -188,30 +214,30 @@ def together(batch: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.n
             held, size, begin = [], 0, i + 1
 
 
-def refine(parts: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def refine(layout: Layout) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """One partition's buckets of grams; runs that were settled before pass through."""
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[rows["kind"] != "question"].to_dict("records")
         blocks = rows.loc[rows["kind"] == "question", "block"].tolist()
         if blocks:
-            gram, run, docs, starts, more, notice = unpack_questions(blocks)
+            gram, run, docs, starts, more, notice = unpack_buckets(blocks, *QUESTION)
             hit, go_on, _, _ = settle(gram, run, docs, notice)
-            out += runs_by_document("hit", docs[hit], starts[hit], more[hit], parts)
-            out += runs_by_document("mixed", docs[go_on], starts[go_on], more[go_on], parts)
+            out += runs_by_document("hit", docs[hit], starts[hit], more[hit], layout)
+            out += runs_by_document("mixed", docs[go_on], starts[go_on], more[go_on], layout)
         return frame(out)
 
     return reduce
 
 
-def unpack_questions(blocks: list[bytes]) -> list[np.ndarray]:
-    parts = [unpack_all([block], *QUESTION) for block in blocks]
+def unpack_buckets(blocks: list[bytes], *kinds: str) -> list[np.ndarray]:
+    parts = [unpack(block, *kinds) for block in blocks]
     for columns in parts:
         columns[0] = np.cumsum(columns[0], dtype=np.uint64)
     return [np.concatenate(x) for x in zip(*parts)]
 
 
-def text_blocks(parts: int):
+def text_blocks(layout: Layout):
     """Documents as compressed blocks by the partition of their id."""
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -219,7 +245,7 @@ def text_blocks(parts: int):
         for batch in batches:
             ids = batch["doc_id"].to_numpy(np.int64)
             texts = [text if text is not None else b"" for text in batch["text"]]
-            part = part_of(mixed(ids.view(np.uint64)), parts)
+            part = layout.of_document(ids)
             out = []
             for p in np.unique(part):
                 at = np.flatnonzero(part == p)
@@ -255,7 +281,7 @@ def placed(ids: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return entry, order[left[entry] + nth]
 
 
-def expand(parts: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def expand(layout: Layout) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """The strings of mixed runs with their two bucket identifiers, a document's own repetitions settled."""
     half = LENGTH // 2
 
@@ -281,29 +307,29 @@ def expand(parts: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
                 continue
             some = order[low:high]
             bucket = mixed(grams(BYTE_CODES[text[a:a + TOGETHER + LENGTH]], half))
-            one[some], two[some] = bucket[at[some] - a], mixed(bucket[at[some] - a + half])
+            one[some], two[some] = layout.bucket(bucket[at[some] - a]), second(bucket[at[some] - a + half])
         order, _, least = firsts([one, two], doc)
         repeated = doc[order] > least
         asked = order[~repeated]
         hit = order[repeated]
-        out = list(dealt("string", part_of(one[asked], parts), (one[asked], two[asked], doc[asked], start[asked])))
-        out += runs_by_document("hit", doc[hit], start[hit], np.zeros(len(hit), np.uint8), parts)
+        out = list(dealt("string", layout.of_bucket(one[asked]), (one[asked], two[asked], doc[asked], start[asked])))
+        out += runs_by_document("hit", doc[hit], start[hit], np.zeros(len(hit), np.uint8), layout)
         return frame(out)
 
     return strings
 
 
-def decide(parts: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def decide(layout: Layout) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """One partition's buckets of whole strings."""
 
     def reduce(rows: pd.DataFrame) -> pd.DataFrame:
         out = rows[rows["kind"] != "string"].to_dict("records")
         blocks = rows.loc[rows["kind"] == "string", "block"].tolist()
         if blocks:
-            one, two, docs, starts = unpack_all(blocks, *STRING)
+            one, two, docs, starts = unpack_buckets(blocks, *STRING)
             order, _, least = firsts([one, two], docs)
             hit = order[docs[order] > least]
-            out += runs_by_document("hit", docs[hit], starts[hit], np.zeros(len(hit), np.uint8), parts)
+            out += runs_by_document("hit", docs[hit], starts[hit], np.zeros(len(hit), np.uint8), layout)
         return frame(out)
 
     return reduce
@@ -341,12 +367,14 @@ def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     document, and their texts are taken to agree: if they don't, runs found in one are cut from all that are long enough.
     """
     lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    parts = power_of_two(text_bytes(docs, "text"), part_bytes)
-    found = lean.mapInPandas(find_anchors(parts), ROW)
-    first = cut(found.groupBy("part").applyInPandas(refine(parts), ROW), "suffix-grams")
-    texts = lean.mapInPandas(text_blocks(parts), ROW)
-    asked = texts.unionByName(first.filter("kind = 'mixed'")).groupBy("part").applyInPandas(expand(parts), ROW)
-    second = cut(asked.groupBy("part").applyInPandas(decide(parts), ROW), "suffix-strings")
+    size = text_bytes(docs, "text")
+    parts = power_of_two(size, part_bytes)
+    layout = Layout(parts, min(64, size.bit_length() + SPARE_BITS))
+    found = lean.mapInPandas(find_anchors(layout), ROW)
+    first = cut(found.groupBy("part").applyInPandas(refine(layout), ROW), "suffix-grams")
+    texts = lean.mapInPandas(text_blocks(layout), ROW)
+    asked = texts.unionByName(first.filter("kind = 'mixed'")).groupBy("part").applyInPandas(expand(layout), ROW)
+    second = cut(asked.groupBy("part").applyInPandas(decide(layout), ROW), "suffix-strings")
     hits = first.filter("kind = 'hit'").unionByName(second)
     return texts.unionByName(hits).groupBy("part").applyInPandas(remove, RESULT)
 
