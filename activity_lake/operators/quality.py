@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from activity_lake.operators.joins import orphan_keys
 from activity_lake.schemas import Table
 
+# Fixed values in this module: the names of the expectations and the marks of the report.
+
 _RESULT = (
     "expectation", "column_name", "parameters", "element_count", "missing_count", "unexpected_count",
 )

@@ -16,6 +16,8 @@ def _struct(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
+# The column names and types of the tables and messages below.
+
 # One change event, flattened: the row itself plus a textual delete marker.
 CHANGE_VALUE = _struct(
     id_evenement_sportif=LONG, employe_id=LONG, type_pratique_sportive=TEXT, date=TEXT,
