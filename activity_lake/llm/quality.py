@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from activity_lake.llm.common import unused
+from activity_lake.llm.common import cut, unused
 
 #: The classifier is fitted on at most so many labelled documents, those with the smallest hashes of their ids.
 LABELLED_SAMPLE = 20_000
@@ -161,7 +161,8 @@ def assess(docs: DataFrame, classifier: Classifier, out: str = "quality", levels
     scored = docs.withColumns({e: evidence(classifier)(F.col("text").cast("binary")), **dict(zip(keys, sites))})
     p = unused(docs, "p_")
     good = 1 / (1 + F.exp(-F.col(e)))
-    finest = scored.groupBy(*keys).agg(F.sum(good).alias("good"), F.count("*").alias("n"))
+    # One row a path. Written, as it is summed in several ways and the texts should be read for it once.
+    finest = cut(scored.groupBy(*keys).agg(F.sum(good).alias("good"), F.count("*").alias("n")), "paths")
     overall = finest.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     total_n, total = overall["n"] or 0, overall["good"] or 0.0
     base = (total + 1) / (total_n + 2)
@@ -180,7 +181,8 @@ def assess(docs: DataFrame, classifier: Classifier, out: str = "quality", levels
     table = table.withColumnsRenamed({"good": f"good{last}", "n": f"n{last}"})
     row = unused(docs, "site_")
     packed = table.select(*keys, F.struct(*(c for c in table.columns if c not in keys)).alias(row))
-    joined = scored.withColumn(p, good).join(packed, keys)
+    # Written, so that Spark knows its size: a small table of sites is broadcast, and the texts stay where they are.
+    joined = scored.withColumn(p, good).join(cut(packed, "sites"), keys)
     rate = F.lit(base)
     for i in range(len(keys)):  # each level without the document itself, drawn towards the one above
         rate = (F.col(f"{row}.good{i}") - F.col(p) + strengths[i] * rate) / (F.col(f"{row}.n{i}") - 1 + F.lit(strengths[i]))
