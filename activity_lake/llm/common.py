@@ -15,8 +15,9 @@ BATCH_ROWS = 1_000
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Let the session pass rows on to Python in batches that suit whole texts."""
+    """Let the session read rows and pass them on to Python in batches that suit whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", BATCH_ROWS // 2)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,15 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
-def cut(df: DataFrame, purpose: str) -> DataFrame:
+def cut(df: DataFrame, purpose: str, packed: bool = False) -> DataFrame:
     """Write the rows as Parquet in the shared folder and read them back: computed once, no lineage behind it.
 
     Then nothing needs the shuffle files of the step any more. Spark removes them when the driver's JVM finds that out in a
-    garbage collection, which is asked for here: the disks hold one step at a time.
+    garbage collection, which is asked for here: the disks hold one step at a time. Packed blocks are compressed already and
+    long; another codec and long pages would only take memory.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.option("parquet.page.size.row.check.min", 1)
+    (writer.option("compression", "uncompressed") if packed else writer).parquet(path)
     spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 

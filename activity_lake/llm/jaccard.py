@@ -31,7 +31,8 @@ from activity_lake.llm.common import cut, pack, power_of_two, text_bytes, unpack
 from activity_lake.llm.hashing import Powers, Spans, mixed
 
 PART_BYTES = 16 << 20
-TOGETHER = 1 << 22  # bytes of documents looked at together
+TOGETHER = 1 << 19  # bytes of documents looked at together
+SENT_TOGETHER = 4_000  # documents whose prefix entries are packed together
 SKETCH_BITS = 20  # counters of the sketch: 4 MB, whatever the corpus
 SKETCH_SLICES = 16
 CHUNK = 4_096  # sets of a hub in one task
@@ -152,19 +153,9 @@ def find_prefixes(parts: int, words: int, limit: Threshold, counts):
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         powers, order = Powers(), pickle.loads(counts.value)
-        for batch in batches:
-            rows, seen, entries = [], set(), []
-            for keys, offsets, block in together(batch):
-                for key, tokens in zip(keys, shingle_sets(offsets, block, words, powers)):
-                    size = len(tokens)
-                    sid = set_id(tokens) if size else None
-                    rows.append(("doc", 0, None, int(key), size, sid))
-                    if not size or sid in seen:
-                        continue
-                    seen.add(sid)
-                    rank = order[(tokens & np.uint64(len(order) - 1)).astype(np.int64)]
-                    prefix = tokens[np.argsort(rank, kind="stable")[:limit.prefix(size)]]
-                    entries.append((prefix, sid, size))
+        rows, seen, entries = [], set(), []
+
+        def taken() -> pd.DataFrame:
             if entries:
                 lengths = [len(p) for p, _, _ in entries]
                 token = np.concatenate([p for p, _, _ in entries])
@@ -179,7 +170,27 @@ def find_prefixes(parts: int, words: int, limit: Threshold, counts):
                     rows.append(("list", int(part[i]), pack(np.diff(tokens, prepend=np.uint64(0)), *rest), None, None, None))
             columns = zip(*rows) if rows else [()] * 6
             kinds = (object, "int64", object, "Int64", "Int64", "Int64")  # Int64: with nulls, not by way of doubles
-            yield pd.DataFrame({c.split()[0]: pd.Series(x, dtype=k) for c, x, k in zip(ROW.split(", "), columns, kinds)})
+            made = pd.DataFrame({c.split()[0]: pd.Series(x, dtype=k) for c, x, k in zip(ROW.split(", "), columns, kinds)})
+            for held in (rows, seen, entries):
+                held.clear()
+            return made
+
+        for batch in batches:
+            for keys, offsets, block in together(batch):
+                for key, tokens in zip(keys, shingle_sets(offsets, block, words, powers)):
+                    size = len(tokens)
+                    sid = set_id(tokens) if size else None
+                    rows.append(("doc", 0, None, int(key), size, sid))
+                    if not size or sid in seen:
+                        continue
+                    seen.add(sid)
+                    rank = order[(tokens & np.uint64(len(order) - 1)).astype(np.int64)]
+                    prefix = tokens[np.argsort(rank, kind="stable")[:limit.prefix(size)]]
+                    # Among equally rare ones small hashes are chosen; mixed again they fill all partitions alike.
+                    entries.append((mixed(~prefix), sid, size))
+            if len(rows) >= SENT_TOGETHER:
+                yield taken()
+        yield taken()
 
     return find
 
@@ -376,7 +387,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, part_byt
     parts = power_of_two(text_bytes(docs, "text"), part_bytes)
     lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.col("text").cast("binary").alias("text"))
     counts = spark.sparkContext.broadcast(cloudpickle.dumps(sketch(lean, words)))
-    first = cut(lean.mapInPandas(find_prefixes(parts, words, limit, counts), ROW), "prefixes")
+    first = cut(lean.mapInPandas(find_prefixes(parts, words, limit, counts), ROW), "prefixes", packed=True)
     rows = first.filter("kind = 'doc'").select("doc_id", "n", "set_id")
     sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("key"))
     found = cut(first.filter("kind = 'list'").select("part", "block").groupBy("part").applyInPandas(

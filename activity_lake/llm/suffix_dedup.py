@@ -371,10 +371,10 @@ def remove_repeats(docs: DataFrame, part_bytes: int = PART_BYTES) -> DataFrame:
     parts = power_of_two(size, part_bytes)
     layout = Layout(parts, min(64, size.bit_length() + SPARE_BITS))
     found = lean.mapInPandas(find_anchors(layout), ROW)
-    first = cut(found.groupBy("part").applyInPandas(refine(layout), ROW), "suffix-grams")
+    first = cut(found.groupBy("part").applyInPandas(refine(layout), ROW), "suffix-grams", packed=True)
     texts = lean.mapInPandas(text_blocks(layout), ROW)
     asked = texts.unionByName(first.filter("kind = 'mixed'")).groupBy("part").applyInPandas(expand(layout), ROW)
-    second = cut(asked.groupBy("part").applyInPandas(decide(layout), ROW), "suffix-strings")
+    second = cut(asked.groupBy("part").applyInPandas(decide(layout), ROW), "suffix-strings", packed=True)
     hits = first.filter("kind = 'hit'").unionByName(second)
     return texts.unionByName(hits).groupBy("part").applyInPandas(remove, RESULT)
 

@@ -14,7 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from activity_lake.llm import decontamination, jaccard, mixing, quality, sharding
-from activity_lake.llm.common import shared_folder, table
+from activity_lake.llm.common import shared_folder, small_batches, table
 
 SHARDS = 8
 
@@ -24,6 +24,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
