@@ -6,8 +6,9 @@ LT. Its density is characters per tag, adjusted for links:
     density = C/T * log(C * T / (LC * LT)) to the base ln(C/nLC * LC + LCb/Cb * C + e)
 
 with nLC = C - LC and b the body. A node's density sum is the sum of its children's densities. The subtree with the largest
-sum holds the article; the least density on the path from it up to the body is the threshold: among the children of that
-path, subtrees at or above it that hold their own maximum-sum node are content too. Headers, menus and the like are
+sum holds the article, which is all of the <article> or <main> around it, or of the parents that hold text of the article
+only. The least density on the path up to the body is the threshold: headings, paragraphs, lists and quotes beside that path
+are content too, and parts made of these that reach it, are sections or have a heading. Headers, menus and the like are
 dropped by their elements and roles before that, since a page with a short article can have longer notices than text.
 """
 
@@ -43,6 +44,8 @@ ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"o
 LIST_OF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
            "option": {"select"}}
 CONTAINERS = {"article", "body", "div", "main", "section", "td"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
+TEXT = HEADINGS | {"p", "blockquote", "pre", "ul", "ol", "dl", "table", "figure", "details"}
 # Words of class and id names, and of roles, that mark what isn't the article.
 ROLES = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|"
@@ -191,31 +194,48 @@ def content_roots(body: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
     order = measure(body)
     best = max(order, key=lambda node: node.total)  # the first of equals
-    path, node = [], best
-    while node is not None:
-        path.append(node)
-        node = node.parent
+    path = [best, *ancestors(best)]
     threshold = min(node.density for node in path)
-    on_path = {id(node) for node in path}
-    while best.parent is not None and best.tag not in CONTAINERS:
-        best = best.parent  # paragraphs beside the densest one belong to the same article
-    roots = [best]
-    for up in path:
-        if up is best:
-            continue
-        for part in up.parts:
-            # Beside the article only what is dense on its own and has paragraphs counts; not its ancestors.
-            if isinstance(part, Node) and not part.junk and id(part) not in on_path and part is not best:
-                if part.density >= threshold and part.tag in CONTAINERS and holds_text(part, threshold):
-                    roots.append(part)
+    root = best
+    while root.parent is not None and root.tag not in CONTAINERS:
+        root = root.parent  # paragraphs beside the densest one belong to the same article
+    named = [node for node in path if node.tag in ("article", "main")]
+    if named:
+        root = named[-1]
+    while root.parent is not None and all(belongs(part, threshold, root.parent is body) for part in beside(root)):
+        root = root.parent  # nothing but the article in it
+    roots, at = [root], root
+    while at.parent is not None:
+        roots += [part for part in beside(at) if belongs(part, threshold, True)]
+        at = at.parent
     marked = {id(node) for node in roots}
-    return [node for node in order if id(node) in marked and not any(id(a) in marked for a in ancestors(node))]
+    return [node for node in order if id(node) in marked]
+
+
+def beside(node: Node) -> list[Node]:
+    """The other elements with text of a node's parent."""
+    return [part for part in node.parent.parts if isinstance(part, Node) and part is not node and not part.junk and part.chars]
 
 
-def holds_text(node: Node, threshold: float) -> bool:
-    """Whether paragraphs make up most of the subtree."""
-    inside = sum(part.chars for part in node.parts if isinstance(part, Node) and part.tag in ("p", "blockquote", "pre", "ul", "ol"))
-    return node.density >= threshold and 2 * inside >= node.chars and node.link_chars * 3 < node.chars
+def belongs(node: Node, threshold: float, strict: bool) -> bool:
+    """Whether what stands beside the article is text of it: a heading, paragraph, list or quote, or a part made of these.
+
+    A strict answer is for places where notices stand too: a plain part must also be dense or have a heading.
+    """
+    if node.link_chars * 3 >= node.chars:
+        return False
+    if node.tag in TEXT:
+        return True
+    inside, heading, todo = 0, False, [node]
+    while todo:
+        for part in todo.pop().parts:
+            if isinstance(part, Node) and not part.junk:
+                if part.tag in TEXT:
+                    inside += part.chars
+                    heading |= part.tag in HEADINGS
+                else:
+                    todo.append(part)
+    return 2 * inside >= node.chars and (not strict or heading or node.tag in ("article", "section") or node.density >= threshold)
 
 
 def ancestors(node: Node) -> Iterator[Node]:

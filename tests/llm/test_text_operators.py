@@ -36,6 +36,27 @@ def test_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+LONG = [f"{word} paragraph " + "of the article, as long as others, " * 8 + "ends." for word in ("first", "second", "third", "fourth", "fifth")]
+INNER = "<div>" + "".join(f"<p>{x}</p>" for x in LONG) + "</div>"
+LINKS = "<div><a href=1>one two three four</a> <a href=2>five six seven eight</a></div>"
+
+
+@pytest.mark.parametrize("page, text", [
+    (f"<article><h1>A headline of thirty characters</h1>{INNER}</article>", ["A headline of thirty characters", *LONG]),
+    (f"{LINKS}<main><h1>Title</h1><p>Lead.</p>{INNER}<ul><li>item</li></ul><blockquote>quote</blockquote><p>End.</p></main><div>(c) us</div>",
+     ["Title", "Lead.", *LONG, "item", "quote", "End."]),
+    (f"{LINKS}<div><h1>Title</h1><p>Lead.</p>{INNER}<p>End.</p></div><div>(c) us</div>", ["Title", "Lead.", *LONG, "End."]),
+    (f"{LINKS}<h1>Title</h1>{INNER}<p>End.</p><div>(c) us</div>", ["Title", *LONG, "End."]),
+    (f"<article>{INNER}<section><h2>Short</h2><p>{'x' * 100}</p></section></article>", [*LONG, "Short", "x" * 100]),
+    (f"{LINKS}<section><h2>Long</h2>{INNER}</section><section><h2>Short</h2><p>{'x' * 100}</p></section>",
+     ["Long", *LONG, "Short", "x" * 100]),
+    (f"<main><h1>Title</h1><article>{INNER}</article><article><h2>Other</h2><p>short one</p></article></main>",
+     ["Title", *LONG, "Other", "short one"]),
+])
+def test_whole_articles(page, text):
+    assert html_text.main_text(f"<body>{page}</body>").split("\n") == text
+
+
 def test_deep_and_repeated_markup():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert html_text.main_text("<p>" * 20_000 + "x") == "x"
