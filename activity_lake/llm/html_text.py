@@ -10,6 +10,7 @@ sum holds the article, which is all of the <article> or <main> around it, or of
 only. The least density on the path up to the body is the threshold: headings, paragraphs, lists and quotes beside that path
 are content too, and parts made of these that reach it, are sections or have a heading. Headers, menus and the like are
 dropped by their elements and roles before that, since a page with a short article can have longer notices than text.
+Names of class and id are less certain: what they call junk is dropped unless it is measured to hold the article.
 """
 
 from __future__ import annotations
@@ -44,13 +45,18 @@ ENDS_SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "option": {"o
 LIST_OF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"},
            "option": {"select"}}
 CONTAINERS = {"article", "body", "div", "main", "section", "td"}
+ARTICLE = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 TEXT = HEADINGS | {"p", "blockquote", "pre", "ul", "ol", "dl", "table", "figure", "details"}
 # Words of class and id names, and of roles, that mark what isn't the article.
-ROLES = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert\w*|banner|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|popup|modal|newsletter|"
-    r"subscribe|sidebar|side-bar|widget|menu|nav|navbar|navigation|breadcrumb\w*|footer|header|masthead|comment\w*|reply|replies|"
-    r"disqus|social|share|sharing|related|recommended|login|signup|search|complementary|contentinfo|dialog|alert)(?:$|[\s_-])")
+BOXES = (r"ad|ads|advert\w*|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|newsletter|comment\w*|reply|replies|disqus|"
+         r"related|recommended")  # such boxes can have long texts of their own
+LAYOUT = (r"banner|popup|modal|subscribe|sidebar|widget|menu|nav|navbar|navigation|breadcrumb\w*|footer|header|masthead|"
+          r"social|share|sharing|login|signup|search|complementary|contentinfo|dialog|alert")
+ROLES = re.compile(rf"{BOXES}|{LAYOUT}")
+OWN_TEXT = re.compile(BOXES)
+NEGATIONS = {"has", "have", "no", "non", "not", "with", "without"}
+HEADERS = {"header", "masthead"}
 
 TOKEN = re.compile(
     r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
@@ -63,19 +69,20 @@ ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(
 class Node:
     """An element: its children in order, texts among them; totals are filled in by ``measure``."""
 
-    __slots__ = ("tag", "parent", "parts", "junk", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "parts", "junk", "named", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, junk: bool = False):
-        self.tag, self.parent, self.junk = tag, parent, junk
+    def __init__(self, tag: str, parent: Node | None, junk: bool = False, named: str = ""):
+        self.tag, self.parent, self.junk, self.named = tag, parent, junk, named
         self.parts: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
 def is_junk(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Whether an element, its role or its being hidden says that it's not the article."""
     if tag in NOT_TEXT or tag == "header" and not inside_article:
         return True
-    if not attributes or tag in ("body", "html", "article", "main"):
+    if not attributes or tag in {"body", "html"} | ARTICLE:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
@@ -83,11 +90,31 @@ def is_junk(tag: str, attributes: str, inside_article: bool) -> bool:
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
             return True
-        if name in ("class", "id", "role") and ROLES.search(value):
+        if name == "role" and any(ROLES.fullmatch(word) for word in re.split(r"[\s_-]+", value)):
             return True
     return False
 
 
+def is_named(tag: str, attributes: str, inside_article: bool) -> str:
+    """What class and id say: "" nothing, "junk", or "wrapper" if the word only describes a part of the layout (search-page)."""
+    found = ""
+    if not attributes or tag in {"body", "html"} | ARTICLE:
+        return found
+    for attribute, value in ATTRIBUTE.findall(attributes):
+        if attribute.lower() not in ("class", "id"):
+            continue
+        for name in value.strip("\"'").lower().replace("side-bar", "sidebar").split():
+            words = [word for word in re.split(r"[_-]+", name) if word]
+            negated = next((i for i, word in enumerate(words) if word in NEGATIONS), len(words))
+            marks = [word for word, after in zip(words[:negated], [*words[1:], ""]) if ROLES.fullmatch(word) and after != "free"]
+            if not marks or HEADERS.issuperset(marks) and (inside_article or words[0] in ("article", "entry", "post", "story")):
+                continue
+            if ROLES.fullmatch(words[-1]) or negated < len(words) or any(map(OWN_TEXT.fullmatch, marks)):
+                return "junk"
+            found = "wrapper"
+    return found
+
+
 def tree(page: str) -> Node:
     """The body of a page. Broken markup gives some tree: unknown ends are skipped, open elements end with the page."""
     root = node = Node("body", None)
@@ -109,10 +136,10 @@ def tree(page: str) -> Node:
                 continue
             while node.tag != tag:
                 stack[node.tag] -= 1
-                depth_article -= node.tag == "article"
+                depth_article -= node.tag in ARTICLE
                 node = node.parent
             stack[tag] -= 1
-            depth_article -= tag == "article"
+            depth_article -= tag in ARTICLE
             node = node.parent or root
             continue
         if tag in ("html", "body"):
@@ -143,12 +170,13 @@ def tree(page: str) -> Node:
             end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
-        made = Node(tag, node, is_junk(tag, match[3], depth_article > 0))
+        inside = depth_article > 0
+        made = Node(tag, node, is_junk(tag, match[3], inside), is_named(tag, match[3], inside))
         node.parts.append(made)
         if tag not in VOID and not match[3].endswith("/"):
             node = made
             stack[tag] = stack.get(tag, 0) + 1
-            depth_article += tag == "article"
+            depth_article += tag in ARTICLE
     if at < len(page):
         node.parts.append(page[at:])
     return root
@@ -182,6 +210,60 @@ def measure(body: Node) -> list[Node]:
     return order
 
 
+def settle_names(body: Node) -> None:
+    """Make junk of what class and id call so, but not of what holds the densest subtree as its article.
+
+    A box with long text of its own isn't that if an article stands outside: text of an <article> or <main>, or paragraphs,
+    unless the only headline is in the box. For a part of the layout only an <article> or <main> beside it counts.
+    """
+    order, todo = [], [(body, False, False, False, False)]
+    prose = headline = False
+    clean: dict[int, int] = {}  # text outside of named elements, links and headings
+    marked: set[int] = set()  # elements with an article or headline in them
+    while todo:
+        node, under, in_text, in_heading, in_link = todo.pop()
+        order.append(node)
+        under, in_link = under or bool(node.named), in_link or node.tag == "a"
+        in_heading, in_text = in_heading or node.tag in HEADINGS, in_text or node.tag in TEXT
+        own = any(isinstance(part, str) and not part.isspace() for part in node.parts)
+        clean[id(node)] = int(own and not (under or in_heading or in_link))
+        prose |= in_text and clean[id(node)] > 0
+        headline |= own and not under and node.tag == "h1"
+        if node.tag == "h1" or node.tag in ARTICLE:
+            marked.add(id(node))
+        todo += [(part, under, in_text, in_heading, in_link) for part in reversed(node.parts) if isinstance(part, Node) and not part.junk]
+    if not any(node.named for node in order):
+        return
+    for node in reversed(order[1:]):
+        clean[id(node.parent)] += clean[id(node)]
+        if id(node) in marked:
+            marked.add(id(node.parent))
+    around = {id(body): 0}  # articles with clean text from the body down to the node
+    for node in order[1:]:
+        around[id(node)] = around[id(node.parent)] + (node.tag in ARTICLE and clean[id(node)] > 0)
+    articles = sum(node.tag in ARTICLE and clean[id(node)] > 0 for node in order)
+    asked = []
+    for node in order:
+        if node.named == "wrapper" and articles == around[id(node)] or node.named == "junk" and not articles and (
+                not prose or id(node) in marked and not headline):
+            asked.append(node)
+        elif node.named:
+            node.junk = True
+    if not asked:
+        return
+    held = measure(body)
+    best = max(held, key=lambda node: node.total)
+    holds = {id(node) for node in (best, *ancestors(best))}
+    while inner := [part for part in best.parts if isinstance(part, Node) and not part.junk and part.chars]:
+        best = max(inner, key=lambda part: part.density)
+        holds.add(id(best))
+    for node in asked:
+        node.junk = id(node) not in holds
+    for node in held:
+        node.chars = node.tags = node.link_chars = node.link_tags = 0
+        node.density = node.total = 0.0
+
+
 def density(node: Node, body: Node) -> float:
     if not node.chars:
         return 0.0
@@ -192,6 +274,7 @@ def density(node: Node, body: Node) -> float:
 
 def content_roots(body: Node) -> list[Node]:
     """The subtrees that hold the article, in page order."""
+    settle_names(body)
     order = measure(body)
     best = max(order, key=lambda node: node.total)  # the first of equals
     path = [best, *ancestors(best)]
@@ -199,7 +282,7 @@ def content_roots(body: Node) -> list[Node]:
     root = best
     while root.parent is not None and root.tag not in CONTAINERS:
         root = root.parent  # paragraphs beside the densest one belong to the same article
-    named = [node for node in path if node.tag in ("article", "main")]
+    named = [node for node in path if node.tag in ARTICLE]
     if named:
         root = named[-1]
     while root.parent is not None and all(belongs(part, threshold, root.parent is body) for part in beside(root)):

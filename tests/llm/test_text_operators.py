@@ -57,6 +57,24 @@ def test_whole_articles(page, text):
     assert html_text.main_text(f"<body>{page}</body>").split("\n") == text
 
 
+@pytest.mark.parametrize("page, text", [
+    *((f"<nav>menu</nav><div {names}><h1>Title</h1>{INNER}</div><footer>us</footer>", ["Title", *LONG]) for names in (
+        "class='content has-sidebar'", "class=no-sidebar", "class='post ad-free'", "class='page with-comments'",
+        "id='search-result-page'", "class='layout--without-nav'", "class='nav-content'", "class='search'")),
+    (f"<div id=search-result-page>{INNER}</div><p>Home</p>", [*LONG, "Home"]),
+    (f"<div id=search-result-page>text without tags</div>", ["text without tags"]),
+    (f"<article><div class='entry-header'><h1>Title</h1></div>{INNER}</article>", ["Title", *LONG]),
+    (f"<div><div class='entry-header'><h1>Title</h1></div>{INNER}</div>", ["Title", *LONG]),
+    (f"<main><header><h1>Title</h1></header>{INNER}</main>", ["Title", *LONG]),
+    (f"<article><h1>Title</h1><p>short text</p></article><div class='site-footer'>{INNER}</div>", ["Title", "short text"]),
+    (f"<article><h1>Title</h1><p>short text</p></article><div class='sidebar-content'>{INNER}</div>", ["Title", "short text"]),
+    (f"<div><h1>Title</h1><p>short text</p></div><div class='comment-list'>{INNER}</div>", ["Title", "short text"]),
+    (f"<article><h1>Title</h1><p>short text</p><div class='comments'>{INNER}</div></article>", ["Title", "short text"]),
+])
+def test_names_of_wrappers(page, text):
+    assert html_text.main_text(f"<body>{page}</body>").split("\n") == text
+
+
 def test_deep_and_repeated_markup():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert html_text.main_text("<p>" * 20_000 + "x") == "x"
