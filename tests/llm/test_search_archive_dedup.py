@@ -7,6 +7,7 @@ import os
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from activity_lake.llm import jaccard, knn, suffix_dedup, warc
@@ -150,6 +151,33 @@ def test_repeats_of_awkward_tables(spark):
     assert suffix_dedup.op9_repeats(docs.limit(0)).count() == 0
 
 
+def shared_ids(rng):
+    """Long different texts under null and repeated ids, with passages of smaller ids and of each other in them."""
+    letters = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    common, docs = [letters(120) for _ in range(6)], []
+    for i in range(60):
+        text = letters(rng.randint(200, 500)) + rng.choice(common)[rng.randint(0, 40):] + letters(rng.randint(0, 300))
+        docs.append((rng.choice([None, None, 5, 7, 7, 2 ** 40, i + 10]), text))
+    return docs + [docs[0], docs[1], (None, None), (7, None), (7, common[0][:60]), (None, common[1][:49])]
+
+
+@pytest.mark.parametrize("part_bytes", [1_000, suffix_dedup.PART_BYTES])
+def test_repeats_of_rows_that_share_an_id(spark, part_bytes):
+    docs = shared_ids(random.Random(8))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    made = suffix_dedup.remove_repeats(df, part_bytes)
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], hashlib.sha256(r["kept"]).hexdigest()) for r in made.collect()]
+    assert brute.in_order(got) == brute.in_order(brute.repeats(docs))
+
+
+def test_rows_that_share_an_id_are_spread(spark):
+    layout = suffix_dedup.Layout(16, 64)
+    batch = pd.DataFrame({"doc_id": [suffix_dedup.NO_ID] * 400 + [1, 2], "id_bit": 0, "text_hash": np.random.default_rng(1).integers(0, 2 ** 62, 402)})
+    ids, keys = suffix_dedup.RowKeys(None).of(batch)
+    assert keys[400:].tolist() == [0, 0]
+    assert np.bincount(layout.of_document(ids, keys)[:400], minlength=16).max() < 60
+
+
 @pytest.mark.parametrize("words_, percent, chunk", [(3, 90, 4096), (5, 80, 4096), (2, 75, 12), (1, 60, 5)])
 def test_links_against_brute_force(spark, words_, percent, chunk, monkeypatch):
     monkeypatch.setattr(jaccard, "CHUNK", chunk)
