@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by bucket-pointer refinement of the corpus' suffixes.
+"""Removal of repeated byte strings by buckets of the corpus' suffixes, in place of recursive bucket-pointer refinement.
 
 Two suffixes matter to each other if their first ``LENGTH`` bytes agree. Suffixes are put into buckets, the buckets are
 refined until that is decided, and a bucket that holds one document's suffixes is done and goes no further:
