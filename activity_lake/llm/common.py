@@ -68,6 +68,28 @@ def text_bytes(df: DataFrame, column: str) -> int:
     return df.agg(F.coalesce(F.sum(F.octet_length(F.col(column))), F.lit(0)).alias("n")).first()["n"]
 
 
+#: A key is hot that holds more than this share of the rows; there can't be more hot keys than its inverse.
+HOT_SHARE = 1_000
+
+
+def join_spread(rows: DataFrame, lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of rows to a lookup of one row a key, where a few keys may hold much of the rows.
+
+    Rows of hot keys are dealt to as many parts as keep each below a thousandth of all rows, and the lookup's rows of these
+    keys are repeated for the parts. At most a thousand keys can be hot: they are sent to all tasks, and the lookup grows by
+    two thousand rows at most. Both tables are read twice, so they should be written ones. Null keys meet nothing.
+    """
+    total, parts, salt = rows.count(), unused(rows, "parts_"), unused(rows, "salt_")
+    hot = F.broadcast(rows.groupBy(*keys).agg(F.ceil(F.count("*") * HOT_SHARE / F.lit(max(total, 1))).cast("int").alias(parts))
+                      .filter(F.col(parts) > 1))
+    rest = [c for c in rows.columns if c not in keys]
+    dealt = rows.join(hot, keys, "left").withColumn(
+        salt, F.when(F.col(parts).isNull(), 0).otherwise(F.pmod(F.xxhash64(*rest) if rest else F.spark_partition_id(), F.col(parts))).cast("int")).drop(parts)
+    repeated = lookup.join(hot, keys, "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(parts), F.lit(1)) - 1))).drop(parts)
+    return dealt.join(repeated, [*keys, salt], "left").drop(salt)
+
+
 def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of one length in one compressed block; each column is laid out byte plane by byte plane."""
     planes = [np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.dtype.itemsize).T.tobytes() for a in arrays]

@@ -18,7 +18,7 @@ from tests.oracle import SF_DIR, assert_same, connect
 
 def test_registered():
     assert set(LLM_QUERIES) <= set(registry.queries())
-    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)} | {"pipeline"}
+    assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 14)} | {"pipeline"}
     assert set(LLM_ORACLES) <= set(LLM_QUERIES)
 
 
