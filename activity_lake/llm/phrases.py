@@ -12,21 +12,33 @@ check of what lies inside a longer phrase needs the ends of paths only, not both
 
 from __future__ import annotations
 
+import functools
 import re
-from collections import Counter
-from collections.abc import Iterator
+from array import array
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import cut, join_spread
+from activity_lake.llm.common import cut, join_spread, pack, power_of_two, text_bytes, unpack_all
+from activity_lake.llm.hashing import mixed
 
 LONGEST, LEAST, SHARE, KEPT = 3, 10, 50, 2_000
 PIECE_ENDS = re.compile("[.,;:!?\x0a-\x0d]")
-#: Different grams that a task counts in memory before it passes them on.
-GRAMS_HELD = 400_000
+#: Word occurrences that a task holds, as numbers, before it counts their grams and passes them on.
+WORDS_HELD = 2_000_000
+#: Word occurrences behind one part of the grams; a part is added up by one task.
+WORDS_PER_PART = 1_000_000
+WORD_BYTES = 6
 SCORE = 1_000_000
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def pieces(text: str) -> Iterator[list[str]]:
@@ -37,36 +49,142 @@ def pieces(text: str) -> Iterator[list[str]]:
             yield found
 
 
-def grams(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
-    """lang, gram (space-joined), n: edges and piece ends, counted within tasks only."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-
-        def release() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                kept = list(counts.items())
-                for start in range(0, len(kept), 50_000):
-                    names, numbers = zip(*kept[start:start + 50_000])
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.string()), pa.array(numbers, pa.int64())],
-                        names=["lang", "gram", "n"])
-            held.clear()
+def packed(lang: str, grams: pa.Array, hashes: np.ndarray, numbers: np.ndarray, parts: int) -> pd.DataFrame:
+    """Grams by part of their hash: one compressed block a part, its texts in the order they came."""
+    part = (hashes >> np.uint64(64 - (parts.bit_length() - 1))).astype(np.int64) if parts > 1 else np.zeros(len(hashes), np.int64)
+    by = np.argsort(part, kind="stable")
+    part, numbers, grams = part[by], numbers[by], grams.take(pa.array(by))
+    edge = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(edge, pa.int64()), grams), pa.scalar("\n", pa.large_string()))
+    press = zstandard.ZstdCompressor(level=3)
+    blocks = [press.compress(text.as_buffer()) for text in joined]
+    return pd.DataFrame({"lang": lang, "part": part[edge[:-1]], "grams": blocks,
+                         "numbers": [pack(numbers[i:j]) for i, j in zip(edge, edge[1:])]})
+
+
+def unpacked(rows: pd.DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """All grams of some blocks, each once, and their summed numbers."""
+    unpress = zstandard.ZstdDecompressor()
+    texts = [text for block in rows["grams"] for text in unpress.decompress(block).decode().split("\n")]
+    table = pa.table({"gram": pa.array(texts, pa.large_string()), "n": unpack_all(list(rows["numbers"]), "i8")[0]})
+    summed = table.group_by("gram").aggregate([("n", "sum")]).combine_chunks()
+    return summed["gram"].chunk(0), summed["n_sum"].to_numpy()
+
+
+class Walks:
+    """Pieces of one language as runs of word numbers, each closed by a zero."""
+
+    def __init__(self):
+        self.numbers: dict[str, int] = defaultdict(lambda: len(self.numbers) + 1)
+        self.at = array("i")
+
+    def add(self, words: list[str]) -> None:
+        self.at.extend(map(self.numbers.__getitem__, words))
+        self.at.append(0)
+
+    def counted(self, longest: int) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        """The grams that start at each word, each once, in the order of their words, with hashes and numbers."""
+        at = np.concatenate([np.frombuffer(self.at, np.int32), np.zeros(longest, np.int32)]).astype(np.int64)
+        starts = np.flatnonzero(at)
+        size = bits = len(self.numbers).bit_length()
+        key, going = at[starts], np.ones(len(starts), bool)
+        for k in range(1, longest):
+            step = np.where(going, at[starts + k], 0)
+            going &= step > 0
+            if size + bits > 62:
+                key = np.unique(key, return_inverse=True)[1]
+                size = len(starts).bit_length()
+            key, size = (key << bits) | step, size + bits
+        _, first, numbers = np.unique(key, return_index=True, return_counts=True)
+        names = pa.array([None, *self.numbers], pa.large_string())
+        hashes = np.array([0, *map(word_hash, self.numbers)], np.uint64)
+        total, words, going = np.zeros(len(first), np.uint64), [], np.ones(len(first), bool)
+        for k in range(longest):
+            word = np.where(going, at[starts[first] + k], 0)
+            going &= word > 0
+            words.append(names.take(pa.array(word)))
+            total = mixed(total * STEP + hashes[word])
+        return pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()), null_handling="skip"), total, numbers.astype(np.int64)
+
+
+def word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
+BLOCK = "lang string, part long, grams binary, numbers binary"
+
+
+def grams(docs: DataFrame, longest: int, parts: int) -> DataFrame:
+    """Blocks of edges and piece ends, counted within tasks only."""
+
+    def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, Walks] = defaultdict(Walks)
+        n = 0
+
+        def release() -> Iterator[pd.DataFrame]:
+            for lang in list(held):
+                yield packed(lang, *held.pop(lang).counted(longest), parts)
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                counts = held.setdefault(lang, Counter())
-                for found in pieces(text.as_py()):
-                    counts.update(map(" ".join, zip(*(found[k:] for k in range(longest)))))
-                    counts.update(" ".join(found[k:]) for k in range(max(len(found) - longest + 1, 0), len(found)))
-                    if len(counts) >= GRAMS_HELD:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                for found in pieces(text):
+                    held[lang].add(found)
+                    n += len(found)
+                    if n >= WORDS_HELD:
                         yield from release()
-                        counts = held.setdefault(lang, Counter())
+                        n = 0
         yield from release()
 
     texts = docs.filter(F.col("text").isNotNull()).select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(work, "lang string, gram string, n long")
+    return texts.mapInPandas(work, BLOCK)
+
+
+def level(words: int, least: int, parts: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """One part of the grams of up to so many words: complete counts of those with so many, and blocks of what flows on.
+
+    A gram of ``words`` words is counted here and flows on to the node it starts with; a shorter one is a piece end that
+    waits for its level. At the last level the sum of all is the number of words.
+    """
+
+    def read(rows: pd.DataFrame) -> pd.DataFrame:
+        made = []
+        for lang, own in rows.groupby("lang", sort=False):
+            found, numbers = unpacked(own)
+            here = pc.equal(pc.count_substring(found, " "), words - 1).to_numpy(zero_copy_only=False)
+            often = here & (numbers >= least)
+            made.append(pd.DataFrame({"lang": lang, "m": words, "gram": found.filter(pa.array(often)).to_pylist(), "n": numbers[often]}))
+            if words == 1:
+                made.append(pd.DataFrame({"lang": [lang], "m": 0, "gram": "", "n": numbers.sum()}))
+                continue
+            on = [gram.rpartition(" ")[0] if whole else gram for gram, whole in zip(found.to_pylist(), here.tolist())]
+            hashes = np.fromiter(map(word_hash, on), np.uint64, len(on))
+            made.append(packed(lang, pa.array(on, pa.large_string()), hashes, numbers, parts))
+        columns = {c.split()[0]: None for c in LEVEL.split(", ")}
+        return pd.concat([x.assign(**{c: None for c in columns if c not in x}) for x in made])[list(columns)].astype({"m": "Int32", "n": "Int64", "part": "Int64"})
+
+    return read
+
+
+LEVEL = f"{BLOCK}, m int, gram string, n long"
+
+
+def counts(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, words_per_part: int = WORDS_PER_PART) -> DataFrame:
+    """lang, gram, m (its words), n: all grams of up to ``longest`` words that occur ``least`` times.
+
+    Edges are added up over all tasks. Then, level by level, a gram's count is the flow of those that start with it plus the
+    piece ends that are it. Grams travel in compressed blocks, dealt by their hash, after a task has added up its own, so
+    a frequent gram is one entry a task; the number of parts follows the size of the texts. The gram of no words has the
+    number of all words.
+    """
+    parts = power_of_two(text_bytes(docs, "text") // WORD_BYTES, words_per_part, 64)
+    rows, made = grams(docs, longest, parts), []
+    for words in range(longest, 0, -1):
+        rows = cut(rows.groupBy("part").applyInPandas(level(words, least, parts), LEVEL), "phrase-level", packed=True)
+        made.append(rows.filter("gram is not null").select("lang", "gram", "m", "n"))
+        rows = rows.filter("gram is null").select("lang", "part", "grams", "numbers")
+    often = functools.reduce(DataFrame.unionByName, made)
+    return often.filter("m > 0").unionByName(often.filter("m = 0").groupBy("lang", "gram", "m").agg(F.sum("n").alias("n")))
 
 
 def length(gram: Column) -> Column:
@@ -81,13 +199,6 @@ def last_words(gram: Column, n: int) -> Column:
     return F.substring_index(gram, " ", -n)
 
 
-def prefix_counts(edges: DataFrame, longest: int = LONGEST, least: int = LEAST) -> DataFrame:
-    """lang, gram, n of all grams shorter than an edge that occur ``least`` times: flow of the node plus its piece ends."""
-    prefixes = F.array(*(F.when(length(F.col("gram")) >= m, first_words(F.col("gram"), m)) for m in range(1, longest)))
-    return (edges.select("lang", F.explode(F.array_compact(prefixes)).alias("gram"), "n")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-
-
 def inner_nodes(strong: DataFrame, nodes: DataFrame, longest: int = LONGEST) -> DataFrame:
     """lang, before, after: pairs of edges joined by a node through which the whole count of both, and of the node, passes.
 
@@ -137,12 +248,11 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, share:
     weakest cut, ``a * a / (l * r)`` in millionths, in exact decimals; it goes if a longer phrase has ``share`` percent of
     its occurrences. Null and empty texts have no words, repeated rows count each, and without phrases there are no rows.
     """
-    edges = cut(grams(docs, longest).groupBy("lang", "gram").agg(F.sum("n").alias("n")), "phrase-edges")
-    totals = edges.groupBy("lang").agg(F.sum("n").alias("total"))
-    shorter = cut(prefix_counts(edges, longest, least), "phrase-nodes")
-    strong = cut(edges.filter((F.col("n") >= least) & (length(F.col("gram")) == longest)), "phrase-strong")
-    sized = shorter.withColumn("m", length(F.col("gram")))
-    paths = cut(compact(strong, sized.filter(F.col("m") == longest - 1).drop("m"), longest), "phrase-paths")
+    often = cut(counts(docs, longest, least), "phrase-counts")
+    totals = often.filter("m = 0").select("lang", F.col("n").alias("total"))
+    shorter = often.filter(F.col("m").between(1, longest - 1))
+    strong, nodes = (often.filter(F.col("m") == m).drop("m") for m in (longest, longest - 1))
+    paths = cut(compact(strong, nodes, longest), "phrase-paths")
 
     # phrases of full length are the windows of the paths; what lies inside a path has its weight, so ends and inner nodes
     # of paths mark all nodes that a full-length phrase covers
@@ -151,7 +261,7 @@ def phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, share:
         F.array(F.array_join(F.slice("words", 1, longest - 1), " "), F.array_join(F.slice("words", -(longest - 1), longest - 1), " ")),
         F.coalesce(windows("words", longest - 1, 1, 1), F.array().cast("array<string>")))).alias("gram"), "n")
     for m in range(longest - 1, 1, -1):
-        own = sized.filter(F.col("m") == m).select("lang", "gram", F.col("n").alias("a"))
+        own = shorter.filter(F.col("m") == m).select("lang", "gram", F.col("n").alias("a"))
         covered = marks.groupBy("lang", "gram").agg(F.max("n").alias("most"))
         candidates = candidates.unionByName(own.join(covered, ["lang", "gram"], "left").filter(
             F.coalesce(100 * F.col("most") < share * F.col("a"), F.lit(True))).drop("most"))

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from activity_lake.llm import phrases, secrets, whitening
+from activity_lake.llm.common import cut
 from tests.llm.brute import lower
 from tests.llm.data import documents
 
@@ -207,7 +208,7 @@ def phrase_rows(seed):
 
 @pytest.mark.parametrize(("longest", "least", "share", "kept"), [(3, 10, 50, 2000), (3, 2, 80, 7), (4, 3, 50, 2000), (2, 5, 50, 2000), (5, 4, 100, 500)])
 def test_phrases_against_brute_force(spark, monkeypatch, longest, least, share, kept):
-    monkeypatch.setattr(phrases, "GRAMS_HELD", 100)
+    monkeypatch.setattr(phrases, "WORDS_HELD", 500)
     rows = phrase_rows(longest * 7 + least)
     made = phrases.phrases(documents(spark, rows), longest, least, share, kept)
     assert made.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -216,9 +217,8 @@ def test_phrases_against_brute_force(spark, monkeypatch, longest, least, share,
 
 def test_paths_are_whole(spark):
     rows = phrase_rows(4)
-    edges = phrases.grams(documents(spark, rows)).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    strong = edges.filter((F.col("n") >= 3) & (phrases.length(F.col("gram")) == 3))
-    nodes = phrases.prefix_counts(edges, 3, 3).filter(phrases.length(F.col("gram")) == 2)
+    often = cut(phrases.counts(documents(spark, rows), 3, 3, 500), "counts")
+    strong, nodes = (often.filter(F.col("m") == m).drop("m") for m in (3, 2))
     paths = phrases.compact(strong, nodes).collect()
     spread = sorted((r["lang"], " ".join(r["words"][i:i + 3]), r["n"]) for r in paths for i in range(len(r["words"]) - 2))
     assert spread == sorted(tuple(r) for r in strong.collect())
