@@ -297,6 +297,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, longest: int = 2 * WIND
     without a hit, null and empty texts stay as they are.
     """
     leaks = unused(docs, "leaks_")
+    groups = item_groups(benchmark, GROUP_BYTES)
+    first = next(groups, [])
+    if next(groups, None) is None:
+        # one automaton: texts are scanned, judged and cut in one call
+        judge = judge_column(docs.sparkSession, ItemAutomaton(first, WINDOW), longest, coverage)
+        judged = docs.withColumn(leaks, judge(F.col("text").cast("binary"))).filter(f"{leaks}.keep")
+        return judged.withColumn("text", F.coalesce(F.col(f"{leaks}.text"), "text")).select(*docs.columns)
     found = find_leaks(docs, benchmark, leaks)
     hit = F.aggregate(F.arrays_zip(f"{leaks}.starts", f"{leaks}.ends"), F.lit(0).cast("long"),
                       lambda total, run: total + run["ends"] - run["starts"])
@@ -307,22 +314,44 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, longest: int = 2 * WIND
     return kept.withColumn("text", text).select(*docs.columns)
 
 
+def judge_column(spark, automaton: ItemAutomaton, longest: int, coverage: float):
+    """A function of a binary text column: whether the document stays, and its text without hit runs (null: unchanged).
+
+    It counts as not deterministic, so that a filter on its result doesn't scan the texts a second time.
+    """
+    shared = spark.sparkContext.broadcast(cloudpickle.dumps(automaton))
+
+    @F.pandas_udf("keep boolean, text string")
+    def judge(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        items = pickle.loads(shared.value)
+        for batch in texts:
+            rows = []
+            for text in batch:
+                n, spans, _ = items.scan(text) if text is not None else (0, [], ())
+                runs = [b - a for a, b in spans]
+                keep = max(runs, default=0) <= longest and sum(runs) <= coverage * n
+                rows.append((keep, without(text, *zip(*spans)) if keep and spans else None))
+            yield pd.DataFrame(rows, columns=["keep", "text"])
+
+    return judge.asNondeterministic()
+
+
+def without(raw: bytes, starts, ends) -> str:
+    """A text without runs of words, from the first byte of the first to the last of the last."""
+    clean = np.frombuffer(b" " + raw.translate(WORD_TABLE) + b" ", np.uint8) != 32
+    change = np.diff(clean.astype(np.int8))
+    first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    keep, at = [], 0
+    for x, y in zip(starts, ends):
+        keep.append(raw[at:first[x]])
+        at = last[y - 1]
+    return b"".join([*keep, raw[at:]]).decode()
+
+
 @F.pandas_udf(T.StringType())
 def cut_words(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
-    def cut(text: str | None, a: np.ndarray, b: np.ndarray) -> str | None:
-        if text is None or not len(a):
-            return text
-        raw = text.encode()
-        clean = np.frombuffer(b" " + raw.translate(WORD_TABLE) + b" ", np.uint8) != 32
-        change = np.diff(clean.astype(np.int8))
-        first, last = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
-        keep, at = [], 0
-        for x, y in zip(a, b):
-            keep.append(raw[at:first[x]])
-            at = last[y - 1]
-        return b"".join([*keep, raw[at:]]).decode()
-
-    return pd.Series([cut(*row) for row in zip(texts, starts, ends)], dtype=object)
+    return pd.Series([text if text is None or not len(a) else without(text.encode(), a, b)
+                      for text, a, b in zip(texts, starts, ends)], dtype=object)
 
 
 _WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

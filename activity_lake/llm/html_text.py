@@ -50,11 +50,13 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6", "hgroup"}
 TEXT = HEADINGS | {"p", "blockquote", "pre", "ul", "ol", "dl", "table", "figure", "details"}
 # Words of class and id names, and of roles, that mark what isn't the article.
 BOXES = (r"ad|ads|advert\w*|promo\w*|sponsor\w*|cookie\w*|consent|gdpr|notice|newsletter|comment\w*|reply|replies|disqus|"
-         r"related|recommended")  # such boxes can have long texts of their own
+         r"related|recommended|responses?|paywall")  # such boxes can have long texts of their own
 LAYOUT = (r"banner|popup|modal|subscribe|sidebar|widget|menu|nav|navbar|navigation|breadcrumb\w*|footer|header|masthead|"
           r"social|share|sharing|login|signup|search|complementary|contentinfo|dialog|alert")
 ROLES = re.compile(rf"{BOXES}|{LAYOUT}")
 OWN_TEXT = re.compile(BOXES)
+REPLIES = re.compile(r"comment\w*|reply|replies|responses?|disqus|discussion")
+TEASERS = re.compile(r"you-(?:may|might)-(?:also-)?like|also-like|read-(?:more|next)|more-(?:stories|articles|news)")
 NEGATIONS = {"has", "have", "no", "non", "not", "with", "without"}
 HEADERS = {"header", "masthead"}
 
@@ -63,7 +65,8 @@ TOKEN = re.compile(
     r"|<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|</?[a-zA-Z][^>]*(?:>|\Z)",  # a tag with an open quote: skipped
     re.DOTALL)
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+# One attribute after the other, so that words in a value are never taken for a name.
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 
 
 class Node:
@@ -86,6 +89,8 @@ def is_junk(tag: str, attributes: str, inside_article: bool) -> bool:
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").lower()
+        if name not in ("hidden", "aria-hidden", "style", "role"):
+            continue
         if name == "hidden" or name == "aria-hidden" and value == "true":
             return True
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
@@ -95,16 +100,36 @@ def is_junk(tag: str, attributes: str, inside_article: bool) -> bool:
     return False
 
 
-def is_named(tag: str, attributes: str, inside_article: bool) -> str:
-    """What class and id say: "" nothing, "junk", or "wrapper" if the word only describes a part of the layout (search-page)."""
+def is_named(tag: str, attributes: str, inside_article: bool, in_article: bool = False) -> str:
+    """What class and id say: "" nothing, "junk", or "wrapper" if the word only describes a part of the layout (search-page).
+
+    An id is an anchor as often as a role: that of a heading, paragraph, list or section says nothing, unless it names
+    reader comments outside of an <article>. The class of a heading or paragraph counts as a whole only (ad, not ad-hoc).
+    An <article> in the article is a part of it or a reader's comment, and only the latter's names count.
+    """
     found = ""
-    if not attributes or tag in {"body", "html"} | ARTICLE:
+    if not attributes or tag in {"body", "html"} or tag in ARTICLE and not inside_article:
         return found
     for attribute, value in ATTRIBUTE.findall(attributes):
-        if attribute.lower() not in ("class", "id"):
+        attribute = attribute.lower()
+        if attribute not in ("class", "id"):
             continue
         for name in value.strip("\"'").lower().replace("side-bar", "sidebar").split():
             words = [word for word in re.split(r"[_-]+", name) if word]
+            if tag in ARTICLE:
+                if words and (REPLIES.fullmatch(words[0]) or REPLIES.fullmatch(words[-1])):
+                    return "junk"
+                continue
+            if attribute == "id" and (tag in TEXT or tag == "section"):
+                if tag == "section" and not in_article and REPLIES.fullmatch(name):
+                    return "junk"
+                continue
+            if TEASERS.fullmatch("-".join(words)):
+                return "junk"
+            if tag in HEADINGS or tag == "p":
+                if ROLES.fullmatch(name) and not HEADERS.issuperset({name}):
+                    return "junk"
+                continue
             negated = next((i for i, word in enumerate(words) if word in NEGATIONS), len(words))
             marks = [word for word, after in zip(words[:negated], [*words[1:], ""]) if ROLES.fullmatch(word) and after != "free"]
             if not marks or HEADERS.issuperset(marks) and (inside_article or words[0] in ("article", "entry", "post", "story")):
@@ -171,7 +196,7 @@ def tree(page: str) -> Node:
             at = end.end() if end else len(page)
             continue
         inside = depth_article > 0
-        made = Node(tag, node, is_junk(tag, match[3], inside), is_named(tag, match[3], inside))
+        made = Node(tag, node, is_junk(tag, match[3], inside), is_named(tag, match[3], inside, stack.get("article", 0) > 0))
         node.parts.append(made)
         if tag not in VOID and not match[3].endswith("/"):
             node = made

@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import cut, pack, power_of_two, text_bytes, unpack, unpack_all
+from activity_lake.llm.common import cut, pack, power_of_two, text_bytes, unpack, unpack_all, unused
 from activity_lake.llm.hashing import Powers, Spans, mixed
 
 PART_BYTES = 16 << 20
@@ -37,6 +37,7 @@ SKETCH_BITS = 20  # counters of the sketch: 4 MB, whatever the corpus
 SKETCH_SLICES = 16
 CHUNK = 4_096  # sets of a hub in one task
 POSITION_BLOCKS = 64
+BROADCAST_ROWS = 200_000  # keys of repeated rows that are sent to all tasks; more are joined by shuffling
 NO_ID = np.iinfo(np.int64).max
 
 LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -430,16 +431,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, part_byt
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """Of each component the document with the smallest id, columns as they came.
+    """Of each component one document, columns as they came: that with the smallest id, without one only if none has one.
 
-    Documents without an id can't be told apart and stay. Of rows that repeat an id one stays.
+    Rows are told apart by id and text together, so rows that share an id but not their text are documents of their own, and
+    copies without ids are copies like others. Of rows equal in id and text one stays, the same in every run. Documents
+    without words are linked with nothing: they stay, once for each id and text.
     """
-    found = near_duplicates(docs, words, percent)
-    kept = docs.join(found.filter("doc_id = component_id").select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1")
-    if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+    row = unused(docs, "row_")
+    keyed = docs.withColumn(row, F.xxhash64("doc_id", F.col("doc_id").isNull(), "text", F.col("text").isNull()))
+    lean = keyed.select("doc_id", F.col(row).alias("row"))
+    found = near_duplicates(keyed.select(F.col(row).alias("doc_id"), "text"), words, percent).select(
+        F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    chosen = cut(lean.distinct().join(found.distinct(), "row").groupBy("component").agg(first.alias("x")).select(
+        F.col("x.row").alias(row)), "kept")
+    kept = keyed.join(chosen, row, "left_semi")
+    repeated = lean.groupBy("row").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("row").alias(row))
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    # only rows that repeat are compared; their other columns decide by hash
+    again = F.broadcast(repeated) if repeated.count() <= BROADCAST_ROWS else repeated
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    single = kept.join(again, row, "left_anti").select(*docs.columns)
+    one = kept.join(again, row, "left_semi").groupBy(row).agg(F.min_by(whole, F.xxhash64(*docs.columns)).alias("x")).select("x.*")
+    return single.unionByName(one)
 
 
 def op10_components(docs: DataFrame) -> DataFrame:

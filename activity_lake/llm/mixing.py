@@ -103,12 +103,15 @@ def size_class(size: Column) -> Column:
 
 
 def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
-    """The mixed documents themselves: each as often as its step crosses a boundary, columns as they came."""
-    n, order = unused(docs, "n_words"), [F.col("doc_id")]
-    counted = copies(docs.withColumn(n, word_count(F.col("text"))), n, shuffle_key(seed, F.col("doc_id"), F.col(n)),
-                     order, seed, weights, most)
-    emitted = counted.filter("copies > 0").withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return emitted.select(*docs.columns)
+    """The mixed documents themselves: each as often as its step crosses a boundary, all columns as they came.
+
+    The rows travel as one column, so theirs may have any names. Nulls, repeated rows and empty tables: see ``copies``.
+    """
+    held = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row_"), "doc_id", "source",
+                       word_count(F.col("text")).alias("n_words"))
+    counted = copies(held, "n_words", shuffle_key(seed, F.col("doc_id"), F.col("n_words")), [F.col("doc_id")], seed, weights, most)
+    emitted = counted.filter("copies > 0").select("row_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return emitted.select("row_.*")
 
 
 def op7_mixture(docs: DataFrame, seed: str = SEED) -> DataFrame:

@@ -173,32 +173,61 @@ def parse(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 PARTS = ("kind string, origin string, number int, total long, page_id string, url string, digest string, "
-         "refers_to string, block binary")
+         "refers_to string, payload binary, n long, block binary")
+#: Bytes of payloads and blocks that a task holds before it passes them on.
+HELD_BYTES = 1 << 22
 
 
-def read_parts(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record. An archive is read by one task; the writer bounds its size, as crawlers do."""
+def payload_of(block: bytes) -> bytes:
+    """The payload of an HTTP message, transfer coding undone."""
+    head, _, body = block.partition(END)
+    return from_chunks(body) if re.search(rb"(?im)^transfer-encoding:[^\r\n]*\bchunked\b", head) else body
+
+
+def checked(block: bytes, digest: str, page_id: str | None) -> tuple[bytes, str]:
+    """The payload and its digest, which must be the record's, if the record has one."""
+    payload = payload_of(block)
+    own = base64.b32encode(hashlib.sha1(payload).digest()).decode()
+    if digest and digest != own:
+        raise ValueError(f"wrong digest of page {page_id or 'null'}")
+    return payload, own
+
+
+def read_parts(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """One row per record. An archive is read by one task; the writer bounds its size, as crawlers do.
+
+    Records of one part are decoded, measured and compared with their digest on the spot, and have their payload if
+    ``payloads``; only parts of segmented records carry blocks.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for content in batch["content"]:
                 rows, size = [], 0
                 for f, block in parse(content):
-                    origin = f.get("warc-segment-origin-id") or f["warc-record-id"]
-                    rows.append((f["warc-type"], origin, int(f.get("warc-segment-number", 0)),
+                    kind, number = f["warc-type"], int(f.get("warc-segment-number", 0))
+                    page_id, digest = f.get("page-id") or None, re.sub("^sha1:", "", f.get("warc-payload-digest", ""))
+                    payload = n = None
+                    if not number and kind == "response":
+                        payload, digest = checked(block, digest, page_id)
+                        n = len(payload)
+                    if not payloads:
+                        payload = None
+                    rows.append((kind, f.get("warc-segment-origin-id") or f["warc-record-id"], number,
                                  int(f["warc-segment-total-length"]) if "warc-segment-total-length" in f else None,
-                                 f.get("page-id") or None, f.get("warc-target-uri"),
-                                 re.sub("^sha1:", "", f.get("warc-payload-digest", "")), f.get("refers-to-page-id"), block))
-                    size += len(block)
-                    if size > 1 << 23:
+                                 page_id, f.get("warc-target-uri"), digest, f.get("refers-to-page-id"), payload, n,
+                                 block if number else None))
+                    size += len(payload or b"") + (len(block) if number else 0)
+                    if size > HELD_BYTES or len(rows) >= 1000:
                         yield frame(rows)
                         rows, size = [], 0
                 if rows:
                     yield frame(rows)
 
     def frame(rows: list[tuple]) -> pd.DataFrame:
-        made = pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")])
-        return made.astype({"number": "int32"}).assign(total=pd.Series([x[3] for x in rows], dtype="Int64"))
+        made = pd.DataFrame(rows, columns=[c.split()[0] for c in PARTS.split(", ")], dtype=object)
+        return made.astype({"number": "int32"}).assign(
+            total=pd.Series([x[3] for x in rows], dtype="Int64"), n=pd.Series([x[9] for x in rows], dtype="Int64"))
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt*").load(path).select("content")
     return files.mapInPandas(read, PARTS)
@@ -206,53 +235,44 @@ def read_parts(spark: SparkSession, path: str) -> DataFrame:
 
 @F.pandas_udf(T.StructType([
     T.StructField("payload", T.BinaryType()), T.StructField("n", T.LongType()), T.StructField("digest", T.StringType())]))
-def payloads(blocks: pd.Series) -> pd.DataFrame:
-    """The payload of HTTP messages, transfer coding undone, and its digest."""
+def reassembled(parts: pd.Series, digests: pd.Series, page_ids: pd.Series) -> pd.DataFrame:
+    """Payload, size and digest of segmented records from their blocks in order."""
     rows = []
-    for block in blocks:
-        if block is None:
-            rows.append((None, None, None))
-            continue
-        head, _, body = bytes(block).partition(END)
-        chunked = re.search(rb"(?im)^transfer-encoding:[^\r\n]*\bchunked\b", head)
-        body = from_chunks(body) if chunked else body
-        rows.append((body, len(body), base64.b32encode(hashlib.sha1(body).digest()).decode()))
-    lengths = pd.Series([x[1] for x in rows], dtype="Int64")
-    return pd.DataFrame(rows, columns=["payload", "n", "digest"]).assign(n=lengths)
-
-
-@F.pandas_udf(T.BinaryType())
-def joined(parts: pd.Series) -> pd.Series:
-    return parts.map(b"".join)
+    for blocks, digest, page_id in zip(parts, digests, page_ids):
+        payload, own = checked(b"".join(blocks), digest, page_id)
+        rows.append((payload, len(payload), own))
+    return pd.DataFrame(rows, columns=["payload", "n", "digest"])
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
     """page_id, url, record_type, payload and payload_bytes (both null for revisits), payload_digest, refers_to.
 
-    A segmented record that lacks a part, whose length differs from the declared total, or whose payload differs from its
-    digest raises an error. No archives: no rows. Page ids are the texts of the archive, as 64-bit numbers.
+    A segmented record that lacks a part, whose length differs from the declared total, or any record whose payload differs
+    from its digest raises an error; a record without a digest gets that of its payload. No archives: no rows. Page ids are
+    the texts of the archive, as 64-bit numbers. The archives are read once; without ``payloads`` the payloads are null and
+    the records, cut in the shared folder, are small rows.
     """
-    parts = read_parts(spark, path)
+    parts = read_parts(spark, path, payloads)
+    if not payloads:
+        parts = cut(parts, "warc-parts")
     whole = parts.filter("number = 0 and kind in ('response', 'revisit')").select(
-        "kind", "page_id", "url", "digest", "refers_to", F.when(F.col("kind") == "response", F.col("block")).alias("block"))
+        "kind", "page_id", "url", "digest", "refers_to", "payload", "n")
     # Only records that were split travel; a group is one record's parts.
     split = (parts.filter("number > 0").groupBy("origin")
              .agg(F.sort_array(F.collect_list(F.struct("number", "block"))).alias("s"), F.max("total").alias("total"),
                   *(F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("kind", "page_id", "url", "digest"))))
     complete = (F.col("s")[F.size("s") - 1]["number"] == F.size("s")) & (
         F.aggregate("s", F.lit(0).cast("long"), lambda n, x: n + F.length(x["block"])) == F.col("total"))
+    blocks = F.when(F.coalesce(complete, F.lit(False)), F.col("s.block")).otherwise(
+        F.raise_error(F.concat(F.lit("segments missing of "), "origin")).cast("array<binary>"))
     rebuilt = split.select(
-        F.when(F.coalesce(complete, F.lit(False)), F.lit("response"))
-        .otherwise(F.raise_error(F.concat(F.lit("segments missing of "), "origin"))).alias("kind"),
-        "page_id", "url", "digest", F.lit(None).cast("string").alias("refers_to"), joined(F.col("s.block")).alias("block"))
-    read = whole.unionByName(rebuilt).withColumn("p", payloads("block"))
-    right = F.col("p.digest").isNull() | (F.col("p.digest") == F.col("digest"))
-    return read.select(
-        F.col("page_id").cast("long"), "url", F.col("kind").alias("record_type"), F.col("p.payload").alias("payload"),
-        F.col("p.n").alias("payload_bytes"),
-        F.when(right, F.col("digest"))
-        .otherwise(F.raise_error(F.concat(F.lit("wrong digest of page "), F.coalesce("page_id", F.lit("null")))))
-        .alias("payload_digest"), F.col("refers_to").cast("long"))
+        F.lit("response").alias("kind"), "page_id", "url", F.lit(None).cast("string").alias("refers_to"),
+        reassembled(blocks, "digest", "page_id").alias("p")).select(
+        "kind", "page_id", "url", F.col("p.digest").alias("digest"), "refers_to",
+        (F.col("p.payload") if payloads else F.lit(None).cast("binary")).alias("payload"), F.col("p.n").alias("n"))
+    return whole.unionByName(rebuilt).select(
+        F.col("page_id").cast("long"), "url", F.col("kind").alias("record_type"), "payload", F.col("n").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"), F.col("refers_to").cast("long"))
 
 
 def sized(records: DataFrame) -> DataFrame:
@@ -269,11 +289,11 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def op8_archives(pages: DataFrame) -> DataFrame:
-    """Write and read the whole table; the records without payloads are cut, as their sizes are joined to them."""
+    """Write and read the whole table; only small rows without payloads are joined."""
     spark = pages.sparkSession
     path = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path)
-    lean = cut(read_records(spark, path).drop("payload", "url"), "warc-records")
+    lean = cut(read_records(spark, path, payloads=False).drop("payload", "url"), "warc-records")
     return sized(lean).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

@@ -217,6 +217,16 @@ def test_components_skip_only_what_is_known():
         assert jaccard.components(sets, jaccard.Threshold(80)).tolist() == parent
 
 
+def test_keep_one_tells_rows_of_an_id_apart(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(1, a, "x"), (1, b, "x"), (1, b, "x"), (1, b, "y"), (2, a, "x"), (None, a, "x"), (None, c, "x"), (None, c, "x"), (None, None, "x"), (3, "", "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_ string").repartition(3)
+    made = sorted(map(tuple, jaccard.keep_one(docs).collect()), key=str)
+    others = [r for r in made if r[:2] == (1, b)]
+    assert len(others) == 1 and made == sorted(map(tuple, jaccard.keep_one(docs.repartition(5)).collect()), key=str)
+    assert [r for r in made if r[:2] != (1, b)] == sorted([(1, a, "x"), (None, c, "x"), (None, None, "x"), (3, "", "z")], key=str)
+
+
 def test_keep_one(spark):
     docs = documents(spark)
     made = jaccard.keep_one(docs)

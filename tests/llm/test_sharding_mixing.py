@@ -83,6 +83,14 @@ def test_mix_emits_copies(spark):
     assert mixing.mix(docs.limit(0)).count() == 0 and len(CLASHING) > 3
 
 
+def test_mix_keeps_values_of_clashing_columns(spark):
+    docs = documents(spark).withColumn("target", F.concat(F.lit("t"), "doc_id")).withColumn("source_size", F.lit("x")).withColumn("copies", F.col("text"))
+    made = mixing.mix(docs)
+    assert made.schema == docs.schema
+    rows = Counter(map(tuple, docs.collect()))
+    assert all(n <= 3 * rows[row] for row, n in Counter(map(tuple, made.collect())).items())
+
+
 def test_main_path_has_no_python(spark):
     plan = mixing.mix(documents(spark, clashing=False).coalesce(1).drop("x"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan

@@ -75,6 +75,35 @@ def test_names_of_wrappers(page, text):
     assert html_text.main_text(f"<body>{page}</body>").split("\n") == text
 
 
+@pytest.mark.parametrize("around", [
+    "<div data-state='not hidden'>{}</div>", "<div title='a hidden gem' data-id=search data-class='sidebar'>{}</div>",
+    "<section id='related-work'>{}</section>", "<article><section id=discussion>{}</section></article>", "<div onclick=\"x('class=nav')\">{}</div>",
+])
+def test_words_in_other_attributes_and_anchors(around):
+    assert html_text.main_text(f"<body>{around.format('<h1>Title</h1>' + INNER)}</body>").split("\n") == ["Title", *LONG]
+
+
+@pytest.mark.parametrize("part, text", [
+    ("<p title='a hidden gem'>gem</p>", "gem"), ("<p>a <a href='/the/hidden/path'>link</a> in it</p>", "a link in it"),
+    ("<p>a <a href='/x?id=search'>link</a> in it</p>", "a link in it"), ("<h2 id=search>Search</h2>", "Search"),
+    ("<h2 id=navigation>Navigation</h2>", "Navigation"), ("<p class='ad-hoc'>ad hoc</p>", "ad hoc"), ("<p data-id=search>found</p>", "found"),
+    ("<p class=ad>buy</p>", None), ("<div class=paywall>Subscribe to read more</div>", None), ("<div class='you-may-also-like'>Other</div>", None),
+    ("<p class=notice>cookies</p>", None), ("<p hidden>no</p>", None),
+])
+def test_parts_of_an_article(part, text):
+    wanted = ["Title", *LONG] + ([text] if text else [])
+    assert html_text.main_text(f"<body><article><h1>Title</h1>{INNER}{part}</article></body>").split("\n") == wanted
+
+
+@pytest.mark.parametrize("comments", [
+    f"<article class='comment'>{INNER}</article>", f"<section class='responses'>{INNER}</section>", f"<section id='discussion'>{INNER}</section>",
+    f"<ul class='comment-list'><li>{INNER}</li></ul>",
+])
+def test_reader_comments_go(comments):
+    page = f"<body><main><article><h1>Title</h1><p>short text</p></article>{comments}</main></body>"
+    assert html_text.main_text(page).split("\n") == ["Title", "short text"]
+
+
 def test_deep_and_repeated_markup():
     assert html_text.main_text("<div>" * 20_000 + "x") == "x"
     assert html_text.main_text("<p>" * 20_000 + "x") == "x"
