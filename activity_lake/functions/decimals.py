@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _TWO_64 = Decimal(2**64)
-_LIMB = 10**9
+_PARSER = "org.apache.commons.lang3.math.NumberUtils"
 
 
 def decode_base64(text: Column) -> Column:
@@ -43,36 +43,17 @@ def big_endian_integer(raw: Column, signed: bool = True) -> Column:
 def integer_text(raw: Column, signed: bool = True) -> Column:
     """Decimal digits of big-endian bytes of any length, NULL for empty bytes.
 
-    The number is kept as digits to the base 10^9, lowest first; each step multiplies it by 2^28 and adds seven hex digits.
+    The magnitude is written in hex digits and read by the JVM's number parser, which has no limit of length.
     """
     digits = F.hex(raw)
-    negative = F.substring(digits, 1, 1) >= "8" if signed else F.lit(False)
-    magnitude = F.when(negative, F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210")).otherwise(digits)
-    steps = F.ceil(F.length(magnitude) / 7).cast("int")
-    padded = F.lpad(magnitude, steps * 7, F.lit("0"))
-    chunks = F.transform(
-        F.sequence(F.lit(0), steps - 1), lambda at: F.conv(F.substring(padded, at * 7 + 1, F.lit(7)), 16, 10).cast("bigint")
-    )
-
-    def next_number(number: Column, factor: int, add: Column) -> Column:
-        empty = F.array().cast("array<bigint>")
-
-        def next_digit(state: Column, digit: Column) -> Column:
-            value = digit * factor + state["carry"]
-            return F.struct(
-                F.call_function("div", value, F.lit(_LIMB)).alias("carry"),
-                F.concat(state["done"], F.array(F.pmod(value, F.lit(_LIMB)))).alias("done"),
-            )
-
-        state = F.aggregate(number, F.struct(add.alias("carry"), empty.alias("done")), next_digit)
-        return F.when(state["carry"] > 0, F.concat(state["done"], F.array(state["carry"]))).otherwise(state["done"])
-
-    zero = F.array(F.lit(0).cast("bigint"))
-    number = F.aggregate(chunks, zero, lambda number, chunk: next_number(number, 1 << 28, chunk))
-    # A negative number is minus (its complement plus one).
-    number = next_number(number, 1, F.when(negative, 1).otherwise(0).cast("bigint"))
-    text = F.array_join(F.transform(F.reverse(number), lambda digit: F.lpad(digit.cast("string"), 9, "0")), "")
-    return F.when(F.length(raw) > 0, F.concat(F.when(negative, "-").otherwise(""), text))
+    magnitude = F.concat(F.lit("0x"), digits)
+    if signed:
+        # A negative number is minus (its complement plus one): the last digit that is no F goes up, the Fs behind it are zeros.
+        head = F.rtrim(F.translate(digits, "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("F"))
+        raised = F.concat(F.substring(head, F.lit(1), F.length(head) - 1), F.translate(F.substring(head, -1, 1), "0123456789ABCDE", "123456789ABCDEF"))
+        negative = F.concat(F.lit("-0x"), F.rpad(raised, F.length(digits), F.lit("0")))
+        magnitude = F.when(F.substring(digits, 1, 1) >= "8", negative).otherwise(magnitude)
+    return F.when(F.length(raw) > 0, F.java_method(F.lit(_PARSER), F.lit("createBigInteger"), magnitude))
 
 
 def small_integer(raw: Column, signed: bool = True) -> Column:

@@ -84,18 +84,21 @@ class Unique:
     def column(self) -> str:
         return ",".join(self.columns)
 
-    def result(self, rows: DataFrame) -> DataFrame:
+    def key_counts(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("_rows"))
+
+    def of_counts(self, counts: DataFrame) -> DataFrame:
         complete = reduce(lambda left, right: left & right, [F.col(column).isNotNull() for column in self.columns])
         copies = F.col("_rows")
-        return (
-            rows.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("_rows"))
-            .agg(
-                _total(copies).alias("element_count"),
-                _total(F.when(~complete, copies)).alias("missing_count"),
-                _total(F.when(complete & (copies > 1), copies)).alias("unexpected_count"),
-            )
+        return counts.agg(
+            _total(copies).alias("element_count"),
+            _total(F.when(~complete, copies)).alias("missing_count"),
+            _total(F.when(complete & (copies > 1), copies)).alias("unexpected_count"),
         )
 
+    def result(self, rows: DataFrame) -> DataFrame:
+        return self.of_counts(self.key_counts(rows))
+
 
 @dataclass(frozen=True)
 class References:
@@ -111,16 +114,25 @@ class References:
     def parameters(self) -> str:
         return f"parent={self.parent_name}.{self.parent_key}"
 
-    def result(self, rows: DataFrame) -> DataFrame:
-        counted = rows.groupBy(self.column).agg(F.count(F.lit(1)).alias("_rows"))
+    @property
+    def columns(self) -> tuple[str, ...]:
+        return (self.column,)
+
+    def key_counts(self, rows: DataFrame) -> DataFrame:
+        return rows.groupBy(self.column).agg(F.count(F.lit(1)).alias("_rows"))
+
+    def of_counts(self, counts: DataFrame) -> DataFrame:
         known = self.parents.select(F.col(self.parent_key).alias(self.column)).distinct().withColumn("_known", F.lit(True))
         missing = F.col(self.column).isNull()
-        return counted.join(known, self.column, "left").agg(
+        return counts.join(known, self.column, "left").agg(
             _total(F.col("_rows")).alias("element_count"),
             _total(F.when(missing, F.col("_rows"))).alias("missing_count"),
             _total(F.when(~missing & F.col("_known").isNull(), F.col("_rows"))).alias("unexpected_count"),
         )
 
+    def result(self, rows: DataFrame) -> DataFrame:
+        return self.of_counts(self.key_counts(rows))
+
 
 def _total(count: Column) -> Column:
     return F.coalesce(F.sum(count), F.lit(0))
@@ -157,7 +169,11 @@ def run_suite(rows: DataFrame, expectations: Sequence, suite: str = "suite") ->
     by_row = [expectation for expectation in expectations if hasattr(expectation, "unexpected")]
     parts = [_row_results(rows, by_row)] if by_row else []
     parts += [_label(item.result(rows), item) for item in expectations if not hasattr(item, "unexpected")]
-    results = reduce(DataFrame.unionByName, parts).select(*_RESULT)
+    return judged(reduce(DataFrame.unionByName, parts).select(*_RESULT), suite)
+
+
+def judged(results: DataFrame, suite: str) -> DataFrame:
+    """Counts of expectations with whether they are met and the percentage of unexpected values."""
     checked = F.when(
         F.col("expectation") == NotNull.name, F.col("element_count")
     ).otherwise(F.col("element_count") - F.col("missing_count"))

@@ -304,4 +304,47 @@ ORACLES: dict[str, str] = {
             FROM customer
         ) LEFT JOIN ({_LIVE_COUNT}) n USING (employe_id)
     """,
+    "stream_state_counts": _LIVE_COUNT,
+    "stream_replay": _BRONZE,
+    "stream_interval": _BRONZE,
+    "publish_buckets_rewritten": """
+        SELECT DISTINCT CAST(c_custkey % 32 AS INTEGER) AS bucket FROM customer WHERE c_custkey % 64 IN (5, 41)
+    """,
+    "publish_buckets_content": f"""
+        SELECT c_custkey, distance_km, coherence_distance,
+               pratique_sportive_annuelle + CASE WHEN c_custkey % 64 = 5 THEN 1 ELSE 0 END AS pratique_sportive_annuelle
+        FROM ({_SILVER}) WHERE c_custkey % 64 <> 41
+    """,
+    "lookup_point": """
+        WITH last AS (SELECT max(o_orderkey) AS k FROM orders)
+        SELECT o_orderkey, o_custkey, o_totalprice, true AS few_scanned
+        FROM orders, last WHERE o_orderkey IN (k, k // 2, k // 3)
+    """,
+    "delivery_once": f"""
+        SELECT kafka_offset, employe_id, CASE WHEN event_type = 'view' THEN 'failed' ELSE 'sent' END AS status,
+               CASE WHEN event_type = 'view' THEN 500 ELSE 200 END AS status_code, CAST(1 AS BIGINT) AS sends
+        FROM ({_MESSAGE})
+    """,
+    "series_on_grid": """
+        WITH ticks AS (
+            SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-02-01', INTERVAL 1 HOUR)) AS t),
+        series AS (SELECT DISTINCT event_type FROM events), known AS (SELECT event_type, ts, value FROM events WHERE value >= 50)
+        SELECT s.event_type, epoch_us(t) AS tick, k.value
+        FROM (SELECT event_type, t FROM series CROSS JOIN ticks) s
+        ASOF LEFT JOIN known k ON k.event_type = s.event_type AND k.ts <= s.t
+    """,
+    "next_keys_two_writers": """
+        SELECT (SELECT max(o_orderkey) FROM orders) + row_number() OVER (ORDER BY event_type <> 'view', user_id, event_id) AS o_orderkey,
+               event_id, user_id AS o_custkey
+        FROM events
+    """,
+    "first_file": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 = 0",
+    "run_log": f"""
+        WITH seen AS (SELECT CAST(sum(pratique_sportive_annuelle) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS people FROM ({_SILVER}))
+        SELECT 'silver_run_batch_id' AS metric, b::DOUBLE AS value FROM (VALUES (0), (1)) AS x(b)
+        UNION ALL SELECT 'silver_run_activities', total FROM seen, (VALUES (0), (1))
+        UNION ALL SELECT 'silver_run_rows_written', people FROM seen
+        UNION ALL SELECT 'silver_run_rows_written', NULL
+    """,
 }
+ORACLES["dq_incremental"] = ORACLES["dq_suite"]

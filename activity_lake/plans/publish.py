@@ -56,7 +56,7 @@ class SnapshotStore:
         """Write the next version; its row count and sum are observed on the way, without a second job."""
         version = max(self.versions(), default=-1) + 1
         seen = Observation(f"version-{version}")
-        observed = (table if self._layout == "folder" else table.coalesce(1)).observe(
+        observed = (table if self._layout == "folder" else table.repartition(1)).observe(
             seen, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(total), F.lit(0)).cast("bigint").alias("total")
         )
         observed.write.mode("overwrite").parquet(self._version_path(version))

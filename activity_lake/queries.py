@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 from decimal import Decimal
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,21 +19,27 @@ from activity_lake.operators import bronze, joins, metrics, notify, quality
 from activity_lake.operators.current_state import (
     count_by, drop_deleted, grand_total, latest_by_hash, latest_by_max, latest_by_rank, live_counts,
 )
-from activity_lake.operators.keys import with_next_keys
+from activity_lake.operators.delivery import Delivery
+from activity_lake.operators.keys import KeyRanges, with_next_keys
 from activity_lake.operators.lookup import DistanceCache, lookup_keys
+from activity_lake.operators.quality_state import SuiteState
 from activity_lake.operators.synth import synthetic_activities
+from activity_lake.plans.buckets import BucketStore
 from activity_lake.plans.gate import MODES, is_changed
 from activity_lake.plans.publish import SnapshotStore
 from activity_lake.plans.silver import with_lineage
 from activity_lake.session import scratch_dir
 from activity_lake.sinks.streams import as_topic_rows, each_batch
-from activity_lake.sources.files import columns_from_json, read_bronze, read_csv, stream_parquet
+from activity_lake.sources.files import columns_from_json, first_data_file, read_bronze, read_csv, stream_parquet
+from activity_lake.sources.indexed import look_up_keys, rows_scanned, write_indexed
 from activity_lake.sources.polling import with_envelope
 from activity_lake.sources.relational import max_key
+from activity_lake.sources.topics import stream_topic_files
 from activity_lake.schemas import bronze_schema
 from activity_lake.standins import (
     DELETE_TYPE, SOFT_SEGMENTS, as_topic, cents, event_key, keyed_state, micros, stream_table, table,
 )
+from activity_lake.streaming import keyed_state as keyed_state_counts
 from activity_lake.streaming.incremental import IncrementalCounts
 from activity_lake.streaming.runners import SilverRefresh, start_bronze, start_notifications, start_silver
 
@@ -254,13 +263,16 @@ def _shown_results(results: DataFrame) -> DataFrame:
     )
 
 
-def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checks = [
+def _event_checks(spark: SparkSession, sf_dir: str) -> list:
+    return [
         quality.Between("value", 0.01, 400.0), quality.InSet("event_type", ("click", "purchase", "signup", "view")),
         quality.NotNull("user_id"), quality.Unique(("event_id",)),
         quality.References("event_id", table(spark, sf_dir, "customer"), "c_custkey", "customer"),
     ]
-    return _shown_results(quality.run_suite(table(spark, sf_dir, "events"), checks))
+
+
+def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _shown_results(quality.run_suite(table(spark, sf_dir, "events"), _event_checks(spark, sf_dir)))
 
 
 def dq_suite_success(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,6 +541,167 @@ def stream_silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.store.read_published("employe_id", "moyen_deplacement_id", "distance_km", "coherence_distance", COUNT)
 
 
+# Keyed state, replays, deliveries
+
+
+def _in_two_halves(spark: SparkSession, rows: DataFrame, path: str, first: F.Column) -> None:
+    rows.withColumn("_first", first).repartition(max(_shuffle_partitions(spark), 4), "kafka_offset").write.partitionBy("_first").parquet(path)
+
+
+def stream_state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live counts from state that the engine keeps per activity; events out of order, the stream restarted halfway."""
+    paths = LakePaths(scratch_dir(spark, "keyed-state"))
+    rows = bronze.to_bronze(as_topic(table(spark, sf_dir, "events"), event_key()))
+    _in_two_halves(spark, rows, f"{paths.root}/arriving", F.pmod(F.hash("kafka_offset"), F.lit(2)) == 0)
+    for first in (True, False):
+        arriving = spark.read.schema(bronze_schema()).parquet(f"{paths.root}/arriving/_first={str(first).lower()}")
+        arriving.write.mode("append").parquet(paths.bronze)
+        stream = stream_parquet(spark, paths.bronze, bronze_schema())
+        keyed_state_counts.start_count_changes(
+            spark, stream, f"{paths.root}/changes", paths.checkpoint("counts"), interval=None, buckets=32).awaitTermination()
+    return keyed_state_counts.counts(spark, f"{paths.root}/changes")
+
+
+def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a topic whose first half arrives again with the second, after a restart from the checkpoint."""
+    paths = LakePaths(scratch_dir(spark, "replay"))
+    events = table(spark, sf_dir, "events")
+    half = events.agg(((F.min(micros("ts")) + F.max(micros("ts"))) / 2).cast("bigint").alias("at")).first()["at"]
+    halves = [events.filter(condition) for condition in (micros("ts") <= half, micros("ts") > half)]
+    for arriving in ([halves[0]], halves):
+        for rows in arriving:
+            as_topic(rows).write.mode("append").parquet(f"{paths.root}/topic")
+        topic = stream_topic_files(spark, f"{paths.root}/topic")
+        start_bronze(topic, paths, interval=None, replay_within="40 days").awaitTermination()
+    return _shown_bronze(read_bronze(spark, paths.bronze))
+
+
+def stream_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze by a stream that looks for files at intervals, stopped when there are no more."""
+    paths = LakePaths(scratch_dir(spark, "interval"))
+    query = start_bronze(as_topic(stream_table(spark, sf_dir, "events")), paths, interval="1 second")
+    query.processAllAvailable()
+    query.stop()
+    return _shown_bronze(read_bronze(spark, paths.bronze))
+
+
+def _changed_silver(spark: SparkSession, sf_dir: str) -> tuple[BucketStore, dict]:
+    """Silver in 32 buckets by customer number, written again with some counts raised and some customers gone."""
+    store = BucketStore(spark, scratch_dir(spark, "buckets"), "c_custkey", by=F.col("c_custkey") % 32)
+    rows = silver(spark, sf_dir)
+    store.write(rows, COUNT)
+    part = F.col("c_custkey") % 64
+    changed = rows.filter(part != 41).withColumn(COUNT, F.col(COUNT) + F.when(part == 5, 1).otherwise(0))
+    return store, store.write(changed, COUNT)
+
+
+def publish_buckets_rewritten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The buckets that a known change has rewritten."""
+    _, seen = _changed_silver(spark, sf_dir)
+    return spark.createDataFrame([(bucket,) for bucket in seen["buckets"]], "bucket int")
+
+
+def publish_buckets_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after the change, most of it from files of the first version."""
+    store, _ = _changed_silver(spark, sf_dir)
+    return store.read_published("c_custkey", "distance_km", "coherence_distance", COUNT)
+
+
+def lookup_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by key from a table laid out for that, and that the scan has delivered less than 5 % of the table."""
+    orders, path = table(spark, sf_dir, "orders"), scratch_dir(spark, "orders-by-key")
+    write_indexed(orders, path, "o_orderkey", page_rows=20)
+    last = max_key(orders, "o_orderkey").first()["max_key"]
+    indexed = spark.read.parquet(path)
+    found = look_up_keys(indexed.select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey", [last, last // 2, last // 3])
+    few = rows_scanned(found) < 0.05 * indexed.count()
+    return found.withColumn("few_scanned", F.lit(few))
+
+
+def delivery_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages, sent by a sender that dies midway and is started again: outcomes, and how often each was sent.
+
+    The service is played by a folder that takes down what it has been sent.
+    """
+    root = scratch_dir(spark, "delivery")
+    received = f"{root.removeprefix('file:')}/received"
+    os.makedirs(received)
+    texts_of = lambda: as_topic(stream_table(spark, sf_dir, "events"), owner=F.col("event_id"))
+
+    def take(messages: pd.DataFrame) -> pd.Series:
+        codes = messages["message_text"].str.contains("view").map({True: 500, False: 200})
+        messages[["kafka_partition", "kafka_offset"]].assign(code=codes).to_csv(f"{received}/{uuid.uuid4().hex}.csv", index=False)
+        return codes
+
+    def die(messages: pd.DataFrame) -> pd.Series:
+        if (messages["kafka_offset"] % 7 == 0).any():
+            take(messages.iloc[: len(messages) // 2].reset_index(drop=True))
+            raise ConnectionError("the sender has died")
+        return take(messages)
+
+    def settle(keys: pd.DataFrame) -> pd.Series:
+        known = pd.concat([pd.read_csv(f"{received}/{name}") for name in os.listdir(received)] or [keys.iloc[:0].assign(code=0.0)])
+        return keys.merge(known, "left", ["kafka_partition", "kafka_offset"])["code"]
+
+    calls, people = _shuffle_partitions(spark), _people(spark, sf_dir)
+    for send in (die, take):
+        delivery = Delivery(spark, root, send, settle, wave_rows=20_000, parallel_calls=calls)
+        query = start_notifications(texts_of(), people, LakePaths(root), interval=None, delivery=delivery)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if send is take:
+                raise
+    sends = spark.read.option("header", True).schema("kafka_partition int, kafka_offset bigint, code int").csv(received).groupBy(
+        "kafka_offset").agg(F.count(F.lit(1)).alias("sends"))
+    return delivery.outbox().join(sends, "kafka_offset", "left").select("kafka_offset", "employe_id", "status", "status_code", "sends")
+
+
+def series_on_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last known value of every event type at every hour of January, where values below 50 are unknown."""
+    samples = table(spark, sf_dir, "events").select(
+        "event_type", "ts", F.when(F.col("value") >= 50, F.col("value")).alias("value"))
+    hour, first = 3_600_000_000, 1_704_067_200_000_000
+    return metrics.series_grid(samples, "event_type", "value", "ts", first, first + 31 * 24 * hour, hour, piece_steps=24)
+
+
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite of ``dq_suite`` from three batches, the second of them handed over twice."""
+    events = table(spark, sf_dir, "events")
+    state = SuiteState(spark, scratch_dir(spark, "suite"), _event_checks(spark, sf_dir), fold_after=2)
+    for batch in (0, 1, 1, 2):
+        state.apply(events.filter(F.pmod(F.hash("event_id"), F.lit(3)) == batch), batch)
+    return _shown_results(state.results())
+
+
+def next_keys_two_writers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two writers append events to the orders at a time; each takes its range of keys from the log."""
+    orders, events = table(spark, sf_dir, "orders"), table(spark, sf_dir, "events").select("event_id", F.col("user_id").alias("o_custkey"), "event_type")
+    ranges = KeyRanges(spark, scratch_dir(spark, "key-ranges"), max_key(orders, "o_orderkey").first()["max_key"])
+    view = F.col("event_type") == "view"
+    first, second = (
+        with_next_keys(rows.drop("event_type"), orders, "o_orderkey", ["o_custkey", "event_id"], ranges=ranges)
+        for rows in (events.filter(view), events.filter(~view)))
+    return second.unionByName(first)
+
+
+def first_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first data file of a table in four folders."""
+    path = scratch_dir(spark, "orders-in-parts")
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", (F.col("o_orderkey") % 4).alias("part"))
+    rows.repartition("part").write.partitionBy("part").parquet(path)
+    return spark.read.parquet(first_data_file(spark, path))
+
+
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs have come to, the second of which wrote nothing."""
+    path, rows = scratch_dir(spark, "runs"), silver(spark, sf_dir)
+    seen = metrics.volume(rows, COUNT).first()
+    metrics.append_gauges(metrics.run_log(spark, 0, seen["total_activities"], seen["total_people"]), path)
+    metrics.append_gauges(metrics.run_log(spark, 1, seen["total_activities"], None), path)
+    return spark.read.parquet(path).select("metric", "value")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -539,6 +712,8 @@ QUERIES: dict[str, Query] = {
         lookup_default, memo_lookup, metrics_row, published_gauges, last_not_null, level_steps, column_json,
         csv_dimension, poll_envelope, topic_roundtrip, highest_key, next_keys, synth_activities, stream_bronze,
         stream_silver, stream_incremental, stream_silver_table, decimal_unsigned, publish_one_file, publish_at_start,
-        silver_lineage, dq_in_set_null, stream_bronze_scale, stream_year,
+        silver_lineage, dq_in_set_null, stream_bronze_scale, stream_year, stream_state_counts, stream_replay, stream_interval,
+        publish_buckets_rewritten, publish_buckets_content, lookup_point, delivery_once, series_on_grid, dq_incremental,
+        next_keys_two_writers, first_file, run_log,
     )
 }

@@ -61,6 +61,26 @@ class HadoopFiles:
         finally:
             stream.close()
 
+    def create_text(self, path: str, text: str) -> bool:
+        """A small file that must be new; False if it is there already.
+
+        One of several writers wins where the file system creates files exclusively, as HDFS and the object stores with
+        conditional writes do.
+        """
+        from py4j.protocol import Py4JJavaError
+
+        try:
+            stream = self._fs.create(self._path(path), False)
+        except Py4JJavaError as error:
+            if self.exists(path):
+                return False
+            raise error
+        try:
+            stream.write(bytearray(text, "utf-8"))
+        finally:
+            stream.close()
+        return True
+
     def read_text(self, path: str) -> str | None:
         if not self.exists(path):
             return None

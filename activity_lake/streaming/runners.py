@@ -15,8 +15,10 @@ from activity_lake.config import METRICS_INTERVAL, TRIGGER_INTERVAL, LakePaths,
 from activity_lake.operators import notify
 from activity_lake.operators.bronze import parse_changes, to_bronze
 from activity_lake.operators.current_state import grand_total, live_counts
+from activity_lake.operators.delivery import Delivery
 from activity_lake.operators.lookup import DistanceCache, Resolver
 from activity_lake.operators.metrics import append_gauges, gauges, run_log
+from activity_lake.plans.buckets import BucketStore
 from activity_lake.plans.gate import is_changed
 from activity_lake.plans.publish import SnapshotStore
 from activity_lake.plans.silver import COUNT, LINEAGE, resolve_commutes, silver_table, with_commutes
@@ -25,6 +27,7 @@ from activity_lake.sinks.hadoop import HadoopFiles
 from activity_lake.sinks.streams import append_parquet, each_batch
 from activity_lake.sources.files import read_bronze, stream_parquet
 from activity_lake.streaming.incremental import IncrementalCounts
+from activity_lake.streaming.replay import once_per_position
 
 ReadTable = Callable[[], DataFrame]
 
@@ -34,13 +37,16 @@ _KEPT_RUNS = 100
 
 def start_bronze(
     topic: DataFrame, paths: LakePaths, interval: str | None = TRIGGER_INTERVAL, by_day: bool = False,
-    precision: int = 10, scale: int = 0,
+    precision: int = 10, scale: int = 0, replay_within: str | None = None,
 ) -> StreamingQuery:
     """Decode a topic into Bronze, rejects included; ``by_day`` stores it in a folder per broker day.
 
-    ``precision`` and ``scale`` are those of the distance; whoever reads this Bronze must name the same.
+    ``precision`` and ``scale`` are those of the distance; whoever reads this Bronze must name the same. With
+    ``replay_within`` positions that the topic delivers again are left out, see ``once_per_position``.
     """
     rows = to_bronze(topic, precision, scale)
+    if replay_within is not None:
+        rows = once_per_position(rows, replay_within)
     if not by_day:
         return append_parquet(rows, paths.bronze, paths.checkpoint("bronze"), interval)
     rows = rows.withColumn("ingest_date", F.to_date("kafka_ts"))
@@ -52,7 +58,8 @@ class SilverRefresh:
 
     ``counts="incremental"`` reads the batch and the state of the keys it touches. ``counts="recount"`` reads all of Bronze
     for each batch and gives the same counts. With ``year`` only activities dated in it count. Every batch leaves its run in
-    the metrics table; ``log`` keeps the last ones at hand.
+    the metrics table; ``log`` keeps the last ones at hand. With the layout ``buckets`` only key buckets with a changed row are
+    written; rows of the others keep the lineage of the batch that wrote them.
     """
 
     def __init__(
@@ -74,7 +81,10 @@ class SilverRefresh:
         self._decimal = (precision, scale)
         self._year = year
         self._state = IncrementalCounts(spark, paths.event_state, buckets, year=year) if counts == "incremental" else None
-        self.store = SnapshotStore(spark, paths.silver, layout)
+        if layout == "buckets":
+            self.store = BucketStore(spark, paths.silver, "employe_id", buckets, ignore=LINEAGE)
+        else:
+            self.store = SnapshotStore(spark, paths.silver, layout)
         self.log: deque[dict] = deque(maxlen=_KEPT_RUNS)
 
     @property
@@ -147,10 +157,15 @@ def start_silver(
 
 def start_notifications(
     topic: DataFrame, people: DataFrame, paths: LakePaths, interval: str | None = TRIGGER_INTERVAL,
-    send: notify.Sender | None = None, include_deleted: bool = False,
+    send: notify.Sender | None = None, include_deleted: bool = False, delivery: Delivery | None = None,
 ) -> StreamingQuery:
-    """One outbox row per activity event. Without a sender the messages are queued for one outside."""
+    """One outbox row per activity event. Without a sender the messages are queued for one outside.
+
+    With ``delivery`` a message is sent once even if senders die; its log is the outbox then.
+    """
     texts = notify.messages(parse_changes(topic), people, include_deleted)
+    if delivery is not None:
+        return each_batch(texts, delivery, paths.checkpoint("outbox"), interval)
     rows = notify.queued(texts) if send is None else notify.deliver(texts, send)
     return append_parquet(rows, paths.outbox, paths.checkpoint("outbox"), interval)
 
