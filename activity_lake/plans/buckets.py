@@ -1,7 +1,7 @@
 """A table in key buckets, of which a new version rewrites only those that have changed.
 
-    data/version=<n>/bucket=<b>/   rows of a bucket, as version n wrote them
-    manifests/<n>                  the folder, row count, total and fingerprint of every bucket of version n
+    data/version=<n>-<id>/bucket=<b>/   rows of a bucket, as a writer of version n wrote them
+    manifests/<n>                       the folder, row count, total and fingerprint of every bucket of version n
 
 Buckets are compared by a fingerprint that does not depend on the order of their rows: row count, sum of the total and sum of
 row hashes. A manifest is the commit: it is created as a new file, so that of two writers of one version only one succeeds,
@@ -11,6 +11,7 @@ and readers follow the newest one. Folders of buckets that no kept manifest name
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,7 +104,8 @@ class BucketStore:
         seen = {"rows": sum(row["rows"] for row in new.values()), "total": sum(row["total"] for row in new.values()), "buckets": changed}
         if known and not changed and set(old) == set(new) and held["schema"] == schema:
             return seen
-        folder = f"data/version={version}"
+        # of its own, so that writers of the same version don't touch each other's files
+        folder = f"data/version={version}-{uuid.uuid4().hex}"
         if changed:
             rows = table.withColumn(_BUCKET, self._by).filter(F.col(_BUCKET).isin(changed))
             rows.repartition(_BUCKET).write.mode("overwrite").partitionBy(_BUCKET).parquet(f"{self._root}/{folder}")
@@ -122,6 +124,8 @@ class BucketStore:
             self._files.delete(self._manifest_path(version))
         named = {entry["folder"] for version in known[-self._keep:] for entry in self.manifest(version)["buckets"].values()}
         for version in self._files.names(f"{self._root}/data"):
+            if int(version.removeprefix("version=").split("-")[0]) > known[-1]:
+                continue  # somebody is writing it
             folders = [name for name in self._files.names(f"{self._root}/data/{version}") if name.startswith(f"{_BUCKET}=")]
             unused = [name for name in folders if f"data/{version}/{name}" not in named]
             for name in [None] if len(unused) == len(folders) else unused:

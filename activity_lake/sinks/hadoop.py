@@ -5,6 +5,9 @@ They go through the driver's JVM, so a remote (Connect) session does not have th
 
 from __future__ import annotations
 
+import os
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -62,19 +65,26 @@ class HadoopFiles:
             stream.close()
 
     def create_text(self, path: str, text: str) -> bool:
-        """A small file that must be new; False if it is there already.
+        """A small file that must be new; False if it is there already. Of several writers one succeeds.
 
-        One of several writers wins where the file system creates files exclusively, as HDFS and the object stores with
-        conditional writes do.
+        HDFS and object stores with conditional writes create files exclusively. The local file system's Hadoop client looks
+        first and creates then, so that case goes through the driver's own.
         """
-        from py4j.protocol import Py4JJavaError
-
+        if self._fs.getUri().getScheme() == "file":
+            local = self._path(path).toUri().getPath()
+            os.makedirs(os.path.dirname(local), exist_ok=True)
+            try:
+                with open(local, "x", encoding="utf-8") as out:
+                    out.write(text)
+            except FileExistsError:
+                return False
+            return True
         try:
             stream = self._fs.create(self._path(path), False)
-        except Py4JJavaError as error:
+        except Py4JJavaError:
             if self.exists(path):
                 return False
-            raise error
+            raise
         try:
             stream.write(bytearray(text, "utf-8"))
         finally:
