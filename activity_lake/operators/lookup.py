@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from activity_lake.functions.rules import metres_to_km
-from activity_lake.sources.files import read_if_present
+from activity_lake.sinks.compaction import CompactedTable
 
 # address and mode of some keys -> metres, NaN where there is no answer
 Resolver = Callable[[pd.DataFrame], pd.Series]
@@ -51,23 +51,30 @@ def resolve_keys(keys: DataFrame, resolver: Resolver, parallel_calls: int) -> Da
 class DistanceCache:
     """Answers given so far, and keys without one, as a Parquet table that only grows.
 
-    A key without an answer is asked for again after ``retry_after`` batches; None means never.
+    A key without an answer is asked for again after ``retry_after`` batches; None means never. ``compact`` rewrites the many
+    small files of the batches as few, which readers then use.
     """
 
-    def __init__(self, spark: SparkSession, path: str, retry_after: int | None = 100):
+    def __init__(self, spark: SparkSession, path: str, retry_after: int | None = 100, min_files: int = 64):
         self._spark = spark
         self._path = path
         self._retry_after = retry_after
+        self._compacted = CompactedTable(
+            spark, path, f"{path}_compacted", spark.createDataFrame([], _CACHE).schema, min_files)
 
     def read(self) -> DataFrame:
         """One row per key with its last answer and when it was last asked for; a retried batch may have written twice."""
-        stored = read_if_present(self._spark, self._path)
-        if stored is None:
-            stored = self._spark.createDataFrame([], _CACHE)
-        return stored.groupBy(*KEY).agg(
+        return self._compacted.read().groupBy(*KEY).agg(
             F.max_by("km", F.when(F.col("km").isNotNull(), F.col("batch_id"))).alias("km"), F.max("batch_id").alias("asked")
         )
 
+    def compact(self) -> bool:
+        """Rewrite the files of past batches, if there are enough of them."""
+        return self._compacted.compact()
+
+    def file_count(self) -> int:
+        return self._compacted.file_count()
+
     def missing(self, keys: DataFrame, batch_id: int) -> DataFrame:
         """Keys to ask for in a batch: the new ones, and those whose last try without an answer is long enough ago."""
         settled = F.col("km").isNotNull()

@@ -338,6 +338,16 @@ ORACLES: dict[str, str] = {
                event_id, user_id AS o_custkey
         FROM events
     """,
+    "orphans_of_streams": """
+        SELECT event_id, user_id FROM events p WHERE event_type = 'purchase' AND NOT EXISTS (
+            SELECT 1 FROM events s WHERE s.event_type = 'signup' AND s.user_id = p.user_id
+                AND s.ts BETWEEN p.ts - INTERVAL 1 HOUR AND p.ts + INTERVAL 1 HOUR)
+    """,
+    "compacted_bronze": f"SELECT *, true AS few_files FROM ({_BRONZE})",
+    "compacted_cache": f"""
+        SELECT c_custkey AS employe_id, lookup_mode AS mode, c_custkey % 30 + 0.5::DOUBLE AS distance_km, true AS few_files
+        FROM ({_CHECKED})
+    """,
     "first_file": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 = 0",
     "run_log": f"""
         WITH seen AS (SELECT CAST(sum(pratique_sportive_annuelle) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS people FROM ({_SILVER}))

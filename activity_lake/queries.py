@@ -29,7 +29,8 @@ from activity_lake.plans.gate import MODES, is_changed
 from activity_lake.plans.publish import SnapshotStore
 from activity_lake.plans.silver import with_lineage
 from activity_lake.session import scratch_dir
-from activity_lake.sinks.streams import as_topic_rows, each_batch
+from activity_lake.sinks.compaction import CompactedTable
+from activity_lake.sinks.streams import append_parquet, as_topic_rows, each_batch
 from activity_lake.sources.files import columns_from_json, first_data_file, read_bronze, read_csv, stream_parquet
 from activity_lake.sources.indexed import look_up_keys, rows_scanned, write_indexed
 from activity_lake.sources.polling import with_envelope
@@ -41,6 +42,7 @@ from activity_lake.standins import (
 )
 from activity_lake.streaming import keyed_state as keyed_state_counts
 from activity_lake.streaming.incremental import IncrementalCounts
+from activity_lake.streaming.orphans import stream_orphans
 from activity_lake.streaming.runners import SilverRefresh, start_bronze, start_notifications, start_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -702,6 +704,58 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).select("metric", "value")
 
 
+def orphans_of_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases without a signup of their user within the hour before or after, where the signups arrive later."""
+    root = scratch_dir(spark, "orphans")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.timestamp_micros(micros("ts")).alias("at"))
+    # A row of nobody far ahead tells that nothing more will come.
+    end = spark.range(1).select(
+        F.lit(-1).cast("bigint").alias("event_id"), F.lit(-1).cast("bigint").alias("user_id"), F.lit("end").alias("event_type"),
+        F.lit("2100-01-01 00:00:00").cast("timestamp").alias("at"))
+    arrivals = (("children", events.filter("event_type = 'purchase'")), ("parents", events.filter("event_type = 'signup'")),
+                ("children", end), ("parents", end))
+    for step in range(0, 4):
+        name, rows = arrivals[step]
+        rows.write.mode("append").parquet(f"{root}/{name}")
+        if step == 0:
+            events.limit(0).write.mode("append").parquet(f"{root}/parents")
+        if step == 2:
+            continue
+        streams = [stream_parquet(spark, f"{root}/{name}", events.schema) for name in ("children", "parents")]
+        found = stream_orphans(streams[0], streams[1], "user_id", "user_id", "at", "at", "1 HOUR", "1 HOUR", "40 days")
+        append_parquet(found.select("event_id", "user_id"), f"{root}/orphans", f"{root}/check", None).awaitTermination()
+    return spark.read.schema("event_id bigint, user_id bigint").parquet(f"{root}/orphans")
+
+
+def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a topic in many small files, read from its compacted form, and that this is few files."""
+    paths = LakePaths(scratch_dir(spark, "compacted-bronze"))
+    rows = as_topic(table(spark, sf_dir, "events"))
+    rows.repartition(24, "offset").write.parquet(f"{paths.root}/topic")
+    compacted = CompactedTable(spark, paths.bronze, f"{paths.root}/compacted", bronze_schema(), min_files=8)
+    start_bronze(stream_topic_files(spark, f"{paths.root}/topic", max_files=12), paths, interval=None).awaitTermination()
+    compacted.compact()
+    as_topic(table(spark, sf_dir, "events").limit(0)).write.mode("append").parquet(f"{paths.root}/topic")
+    start_bronze(stream_topic_files(spark, f"{paths.root}/topic"), paths, interval=None).awaitTermination()
+    few = compacted.file_count() < 8
+    return _shown_bronze(compacted.read()).withColumn("few_files", F.lit(few))
+
+
+def compacted_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The distances of ``memo_lookup`` from a cache that has been filled in twelve batches and compacted on the way."""
+    people = threshold_check(spark, sf_dir).select(
+        F.col("c_custkey").alias("employe_id"), F.col("lookup_mode").alias("mode"),
+        F.format_string("Customer#%09d", "c_custkey").alias("adresse"),
+    )
+    cache = DistanceCache(spark, scratch_dir(spark, "compacted-cache"), min_files=3)
+    keys = lookup_keys(people).withColumn("km", (F.col("employe_id") % 30).cast("double") + 0.5)
+    for batch in range(12):
+        cache.remember(keys.filter(F.col("employe_id") % 12 == batch).coalesce(1), batch)
+        cache.compact()
+    few = cache.file_count() < 8
+    return cache.add_km(people).select("employe_id", "mode", "distance_km", F.lit(few).alias("few_files"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -714,6 +768,6 @@ QUERIES: dict[str, Query] = {
         stream_silver, stream_incremental, stream_silver_table, decimal_unsigned, publish_one_file, publish_at_start,
         silver_lineage, dq_in_set_null, stream_bronze_scale, stream_year, stream_state_counts, stream_replay, stream_interval,
         publish_buckets_rewritten, publish_buckets_content, lookup_point, delivery_once, series_on_grid, dq_incremental,
-        next_keys_two_writers, first_file, run_log,
+        next_keys_two_writers, first_file, run_log, orphans_of_streams, compacted_bronze, compacted_cache,
     )
 }

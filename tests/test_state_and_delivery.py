@@ -21,11 +21,14 @@ from activity_lake.operators.quality_state import SuiteState
 from activity_lake.plans.buckets import BucketStore
 from activity_lake.plans.silver import COUNT
 from activity_lake.schemas import bronze_schema
+from activity_lake.sinks.compaction import CompactedTable
 from activity_lake.sinks.hadoop import HadoopFiles
+from activity_lake.sinks.streams import append_parquet
 from activity_lake.sources.files import read_bronze, stream_parquet
 from activity_lake.sources.indexed import look_up_keys, rows_scanned, write_indexed
 from activity_lake.sources.topics import stream_topic_files
 from activity_lake.streaming import keyed_state
+from activity_lake.streaming.orphans import stream_orphans
 from activity_lake.streaming.runners import SilverRefresh, start_bronze, start_silver
 from tests.data import as_dict, bronze_rows, change, employees, modes, topic
 
@@ -277,3 +280,65 @@ def test_interleaved_appends_number_without_gaps(spark, folder):
     made = [with_next_keys(part, existing, "k", ["v"], partitions=3, ranges=ranges) for part in parts]
     rows = [(r["k"], r["v"]) for part in reversed(made) for r in part.collect()]
     assert sorted(rows) == [(8 + at, v) for at, v in enumerate([f"a{i}" for i in range(5)] + [f"c{i}" for i in range(9)])]
+
+
+# Orphans of streams
+
+
+def test_orphans_leave_when_no_parent_can_come(spark, folder):
+    row = "k long, at timestamp, name string"
+    at = lambda minute: datetime.datetime(2025, 1, 1, tzinfo=datetime.timezone.utc) + datetime.timedelta(minutes=minute)
+
+    def arrive(children, parents):
+        for name, rows in (("c", children), ("p", parents)):
+            spark.createDataFrame([(k, at(m), f"{k}-{m}") for k, m in rows], row).coalesce(1).write.mode("append").parquet(f"{folder}/{name}")
+        streams = [stream_parquet(spark, f"{folder}/{name}", spark.createDataFrame([], row).schema) for name in "cp"]
+        found = stream_orphans(*streams, "k", "k", "at", "at", "5 MINUTES", "10 MINUTES", "20 minutes")
+        append_parquet(found, f"{folder}/orphans", f"{folder}/check", None).awaitTermination()
+        return sorted(r["name"] for r in spark.read.schema(row).parquet(f"{folder}/orphans").collect())
+
+    assert arrive([(1, 0), (2, 0), (3, 1), (None, 1)], [(1, -3), (3, 12)]) == []  # 3 has its parent too late, but one may still come
+    assert arrive([(4, 20)], [(2, 9)]) == []  # a late parent
+    assert arrive([(5, 60)], [(9, 60)]) == ["3-1", "4-20"]
+    assert arrive([(98, 500)], [(99, 500)]) == ["3-1", "4-20", "5-60"]
+
+
+# Compaction
+
+
+def test_compaction_keeps_rows_and_readers(spark, folder):
+    schema = spark.createDataFrame([], "v long").schema
+    table = CompactedTable(spark, f"{folder}/t", f"{folder}/c", schema, min_files=3)
+    values = lambda frame: sorted(r["v"] for r in frame.collect())
+    assert values(table.read()) == [] and not table.compact()
+
+    def append(*numbers):
+        for number in numbers:
+            spark.createDataFrame([(number,)], schema).coalesce(1).write.mode("append").parquet(f"{folder}/t")
+
+    append(1, 2)
+    assert not table.compact() and values(table.read()) == [1, 2]
+    append(3, 3)
+    reader = table.read()
+    assert table.compact() and table.file_count() == 1 and values(table.read()) == [1, 2, 3, 3]
+    append(4)
+    older = table.read()
+    append(5, 6)
+    assert table.compact() and not table.compact()
+    assert values(reader) == [1, 2, 3, 3] and values(older) == [1, 2, 3, 3, 4] and values(table.read()) == [1, 2, 3, 3, 4, 5, 6]
+    monkey = [7]
+    for _ in range(8):
+        append(*(monkey[-1] + k for k in range(3)))
+        monkey.append(monkey[-1] + 3)
+        assert table.compact()
+    assert table.file_count() <= 8 and values(table.read()) == [1, 2, 3, 3, *range(4, monkey[-1])]
+    assert len(table.snapshots()) == 2
+
+
+def test_of_two_compactors_one_commits(spark, folder, monkeypatch):
+    schema = spark.createDataFrame([], "v long").schema
+    spark.range(4).toDF("v").repartition(4).write.parquet(f"{folder}/t")
+    one, two = (CompactedTable(spark, f"{folder}/t", f"{folder}/c", schema, min_files=2) for _ in "ab")
+    monkeypatch.setattr(two, "snapshots", lambda: [])
+    assert one.compact() and not two.compact()
+    assert sorted(r["v"] for r in one.read().collect()) == [0, 1, 2, 3] and one.file_count() == 1
