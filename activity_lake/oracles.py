@@ -348,6 +348,9 @@ ORACLES: dict[str, str] = {
         SELECT c_custkey AS employe_id, lookup_mode AS mode, c_custkey % 30 + 0.5::DOUBLE AS distance_km, true AS few_files
         FROM ({_CHECKED})
     """,
+    "column_json_one_document": """
+        SELECT o_orderkey, o_custkey, 'a,"' || o_orderpriority || '",\\{"0":{ ,' AS o_orderpriority FROM orders
+    """,
     "first_file": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 4 = 0",
     "run_log": f"""
         WITH seen AS (SELECT CAST(sum(pratique_sportive_annuelle) AS DOUBLE) AS total, CAST(count(*) AS DOUBLE) AS people FROM ({_SILVER}))

@@ -31,6 +31,7 @@ from activity_lake.plans.silver import with_lineage
 from activity_lake.session import scratch_dir
 from activity_lake.sinks.compaction import CompactedTable
 from activity_lake.sinks.streams import append_parquet, as_topic_rows, each_batch
+from activity_lake.sources.column_json import read_column_document
 from activity_lake.sources.files import columns_from_json, first_data_file, read_bronze, read_csv, stream_parquet
 from activity_lake.sources.indexed import look_up_keys, rows_scanned, write_indexed
 from activity_lake.sources.polling import with_envelope
@@ -756,6 +757,28 @@ def compacted_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cache.add_km(people).select("employe_id", "mode", "distance_km", F.lit(few).alias("few_files"))
 
 
+def column_json_one_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders as one column-oriented document, with commas, quotes and braces in its texts, and read back as rows."""
+    path = scratch_dir(spark, "one-document")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
+    first, last = orders.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    text = F.concat(F.lit('a,"'), F.col("o_orderpriority"), F.lit('",\\{"0":{ ,'))
+    cell = F.explode(F.array(
+        F.struct(F.lit(0).alias("c"), F.lit("o_custkey").alias("name"), F.col("o_custkey").cast("string").alias("value")),
+        F.struct(F.lit(1).alias("c"), F.lit("o_orderpriority").alias("name"), F.substring(F.to_json(F.array(text)), 2, 1 << 20).alias("value"))))
+    # the last bracket of the JSON array goes with it
+    rows = orders.select("o_orderkey", cell.alias("x")).select("o_orderkey", "x.c", "x.name", F.when(
+        F.col("x.c") == 1, F.expr("substring(x.value, 1, length(x.value) - 1)")).otherwise(F.col("x.value")).alias("value"))
+    begins, ends = F.col("o_orderkey") == first, F.col("o_orderkey") == last
+    written = rows.select("c", "o_orderkey", F.concat(
+        F.when(begins & (F.col("c") == 0), "{").otherwise(""), F.when(begins, F.concat(F.lit('"'), "name", F.lit('":{'))).otherwise(""),
+        F.lit('"'), "o_orderkey", F.lit('":'), "value", F.when(ends, "}").otherwise(""), F.when(ends & (F.col("c") == 1), "}").otherwise("")).alias("value"))
+    ranged = written.repartitionByRange(_shuffle_partitions(spark), "c", "o_orderkey").sortWithinPartitions("c", "o_orderkey")
+    ranged.select("value").write.option("lineSep", ",").text(path)
+    found = read_column_document(spark, path, {"o_custkey": "bigint", "o_orderpriority": "string"})
+    return found.withColumnRenamed("row_index", "o_orderkey")
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -769,5 +792,6 @@ QUERIES: dict[str, Query] = {
         silver_lineage, dq_in_set_null, stream_bronze_scale, stream_year, stream_state_counts, stream_replay, stream_interval,
         publish_buckets_rewritten, publish_buckets_content, lookup_point, delivery_once, series_on_grid, dq_incremental,
         next_keys_two_writers, first_file, run_log, orphans_of_streams, compacted_bronze, compacted_cache,
+        column_json_one_document,
     )
 }

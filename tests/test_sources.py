@@ -1,5 +1,6 @@
 import json
 import os
+import random
 
 import pytest
 
@@ -11,6 +12,7 @@ from activity_lake.schemas import EMPLOYEE_CSV, SURVEY_CSV, TABLES
 from activity_lake.session import scratch_dir
 from activity_lake.sinks.streams import as_topic_rows
 from activity_lake.sources import files, polling, relational, topics
+from activity_lake.sources.column_json import read_column_document
 from tests.data import as_dict
 from pyspark.sql import functions as F
 
@@ -164,3 +166,35 @@ def test_synthetic_activities(spark):
 
 def test_scratch_lies_in_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("block", [64, 1_000_000])
+def test_one_document_in_blocks(spark, folder, block):
+    rng = random.Random(block)
+    texts = ["", "a,b", '"', ',"', '\\\\",', "}{", '{"x":{', "é,\\n", None, 'end\\\\']
+    document = {"id": {str(i): i * 3 for i in range(60)}, "empty": {}, 'odd "name", {': {"1": 1},
+                "t": {str(i): rng.choice(texts) for i in range(50, -1, -1)}, "f": {"7": 1.5, "8": True, "61": None}}
+    for name, text in (("dense", json.dumps(document, separators=(",", ":"))), ("spaced", json.dumps(document, ensure_ascii=False) + "\n")):
+        os.makedirs(f"{folder}/{name}")
+        with open(f"{folder}/{name}/doc.json", "w", encoding="utf-8") as out:
+            out.write(text)
+        before = {key: spark.conf.get(key) for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+        try:
+            for key in before:
+                spark.conf.set(key, block)
+            made = read_column_document(spark, f"{folder}/{name}", {"id": "bigint", "t": "string", "f": "string"})
+            rows = {r["row_index"]: (r["id"], r["t"], r["f"]) for r in made.collect()}
+        finally:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+        show = {1.5: "1.5", True: "true", None: None}
+        want = {i: (document["id"].get(str(i)), document["t"].get(str(i)), show[document["f"].get(str(i))]) for i in [*range(60), 61]}
+        assert rows == want
+
+
+def test_empty_documents(spark, folder):
+    for name, text in (("a", "{}"), ("b", '{"id":{}}'), ("c", "")):
+        os.makedirs(f"{folder}/{name}")
+        with open(f"{folder}/{name}/doc.json", "w") as out:
+            out.write(text)
+        assert read_column_document(spark, f"{folder}/{name}", {"id": "bigint"}).count() == 0
