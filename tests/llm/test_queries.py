@@ -124,3 +124,21 @@ def test_pipeline_against_a_plain_chain(spark, folder, monkeypatch):
     slots = {k: sorted(r["slot"] for r in made if r["shard"] == k) for k in range(corpus_pipeline.SHARDS)}
     assert all(slot == list(range(len(slot))) for slot in slots.values())
     assert sum(map(len, slots.values())) == len(made) and max(map(len, slots.values())) - min(map(len, slots.values())) <= 1
+
+
+def test_pipeline_of_awkward_tables(spark, folder, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "shared_folder", lambda spark: folder)
+    docs = documents(spark).drop("shard", "slot")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(3, 60)], "doc_id long, quality int")
+    items = spark.createDataFrame([(1, None), (None, ""), (2, "not in any document of this table " * 3)], "item_id long, text string")
+    rows = {"docs": docs, "none": docs.limit(0)}
+    made = {}
+    for name, table in rows.items():
+        for kind, frame in (("documents", table), ("labels", labels), ("benchmark", items)):
+            frame.write.parquet(f"{folder}/{name}/{kind}.parquet")
+        made[name] = corpus_pipeline.run(spark, f"{folder}/{name}").collect()
+    assert made["none"] == []
+    given = Counter(tuple(r) for r in docs.collect())
+    found = Counter(tuple(r)[:-2] for r in made["docs"])
+    assert made["docs"][0].__fields__ == [*docs.columns, "shard", "slot"]
+    assert found and set(found) <= set(given) and max(found.values()) <= 3  # no value of any column has changed
