@@ -53,7 +53,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table: its columns, whatever their names, with shard and slot added or replaced.
+
+    Null and empty texts have no words: they are judged like other texts, linked with nothing, without leaks, and may be taken
+    into the mixture at no cost. A null source is a source of its own. Rows are told apart by id and text together: of rows
+    equal in both, null ids included, one stays, while texts that share an id are documents of their own. The mixture takes a
+    document up to three times, so ids repeat in the result. An empty table gives no rows.
+    """
     docs, folder = table(spark, sf_dir, "documents"), f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         path = f"{folder}/{name}"
