@@ -7,11 +7,14 @@ the language's share of the training texts. No segmentation is chosen and no tok
 Training is one step of expectation maximisation from equal piece probabilities: words are counted by language over all
 training texts, a forward-backward pass per different word gives the expected uses of its pieces, and their counts are
 summed by language. The vocabulary has all single bytes, so any word has a segmentation.
+
+Pieces and words may have any length. A word is a letter with the letters and combining marks that follow it.
 """
 
 from __future__ import annotations
 
 import base64
+import math
 import pickle
 import re
 from collections import Counter
@@ -19,120 +22,160 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
-LETTERS = re.compile(r"[^\W\d_]+")
-LONGEST_PIECE = 8  # bytes, which make one 64-bit key; longer pieces of the vocabulary are left out
-PORTION = 1 << 20  # characters of a text that are looked at together
-LONGEST_WORD = 24  # letters; longer runs are scored in parts of this length
+LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*+")
+ASCII_LETTERS = re.compile("[a-z]+")
+REST_OF_RUN = regex.compile(r"[\p{L}\p{M}]*+")
+PORTION = 1 << 20  # characters of a text that are looked at together, and those up to the end of the run of letters
+LONG_WORD = 96  # bytes; longer words are passed over one by one in logarithms, others together
 CACHED_WORDS = 300_000
+CACHED_LETTERS = 1 << 25  # of long words
 TOGETHER = 1 << 14  # words in one pass
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
 
 def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
-    """Pieces of a file of base64 pieces and ranks, read on the driver."""
+    """All pieces of a file of base64 pieces and ranks, and all single bytes, read on the driver."""
     with open(path, "rb") as lines:
-        pieces = [base64.b64decode(line.split()[0]) for line in lines if line.strip()]
-    kept = {p for p in pieces if len(p) <= LONGEST_PIECE and p[0]} | {bytes([b]) for b in range(256)}
-    return sorted(kept - {b"\0"})
+        pieces = {base64.b64decode(line.split()[0]) for line in lines if line.strip()}
+    return sorted((pieces | {bytes([b]) for b in range(256)}) - {b""})
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters, lower-cased; a text of at most a portion's length."""
-    words = LETTERS.findall(text.lower())
-    if len(text) > LONGEST_WORD and max(map(len, words), default=0) > LONGEST_WORD:
-        words = [word[i:i + LONGEST_WORD] for word in words for i in range(0, len(word), LONGEST_WORD)]
-    return words
+    """Letters with the letters and combining marks that follow them, lower-cased, of any length."""
+    text = text.lower()
+    return ASCII_LETTERS.findall(text) if text.isascii() else LETTERS.findall(text)
 
 
 def portions(text: str) -> Iterator[str]:
     """A long text in parts that end where a run of letters does."""
     at = 0
     while at < len(text):
-        end = min(at + PORTION, len(text))
-        while end < len(text) and text[end].isalpha():
-            end += 1
+        end = REST_OF_RUN.match(text, min(at + PORTION, len(text))).end()
         yield text[at:end]
         at = end
 
 
-class PieceTable:
-    """Pieces by their bytes, read as one number, in a table with open addressing."""
+def is_long(word: str) -> bool:
+    return 4 * len(word) > LONG_WORD and len(word.encode()) > LONG_WORD
+
+
+class PieceTrie:
+    """The beginnings of all pieces as numbered nodes, 0 for the empty one; a step is a node and the byte after it.
 
-    BITS = 18
+    Steps are kept in a table with open addressing, so pieces may have any length.
+    """
 
     def __init__(self, pieces: list[bytes]):
-        self.size = len(pieces)
-        self.keys = np.zeros((1 << self.BITS) + 64, np.uint64)
-        self.values = np.full(len(self.keys), self.size, np.int32)
+        self.size, self.longest = len(pieces), max(map(len, pieces))
+        steps: dict[int, int] = {}
+        piece_at = {}
         for i, piece in enumerate(pieces):
-            key = int.from_bytes(piece, "big")
-            at = int(self._slot(np.array([key], np.uint64))[0])
-            while self.keys[at]:
-                at += 1
-            self.keys[at], self.values[at] = key, i
+            node = 0
+            for byte in piece:
+                node = steps.setdefault(node << 8 | byte, len(steps) + 1)
+            piece_at[node] = i
+        self.steps = steps
+        #: The piece that ends at a node, or the number of pieces if none does.
+        self.piece = np.full(len(steps) + 1, self.size, np.int32)
+        self.piece[list(piece_at)] = list(piece_at.values())
+        self.bits = (2 * len(steps)).bit_length()
+        self.keys = np.zeros((1 << self.bits) + len(steps), np.uint64)
+        self.nodes = np.zeros(len(self.keys), np.int32)
+        keys = np.fromiter(steps, np.uint64, len(steps)) + np.uint64(1)
+        nodes = np.fromiter(steps.values(), np.int32, len(steps))
+        at, open_ = self._slot(keys), np.arange(len(steps))
+        while len(open_):
+            free = open_[self.keys[at[open_]] == 0]
+            self.keys[at[free]] = keys[free]  # of several for one slot the last is held
+            held = self.keys[at[open_]] == keys[open_]
+            self.nodes[at[open_[held]]] = nodes[open_[held]]
+            open_ = open_[~held]
+            at[open_] += 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The piece's number, or the number of pieces if there is none."""
+    def step(self, nodes: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
+        """The nodes one byte further, 0 where no piece goes on so."""
+        keys = (nodes.astype(np.uint64) << np.uint64(8) | bytes_) + np.uint64(1)
         at = self._slot(keys)
         held = self.keys[at]
-        found = np.where(held == keys, self.values[at], np.int32(self.size))
+        found = np.where(held == keys, self.nodes[at], np.int32(0))
         open_ = np.flatnonzero((held != keys) & (held != 0))
         while len(open_):
             at[open_] += 1
             held = self.keys[at[open_]]
             same = held == keys[open_]
-            found[open_[same]] = self.values[at[open_[same]]]
+            found[open_[same]] = self.nodes[at[open_[same]]]
             open_ = open_[~same & (held != 0)]
         return found
 
+    def pieces_from(self, raw: bytes, start: int) -> Iterator[tuple[int, int]]:
+        """End and number of every piece at one place."""
+        node = 0
+        for end in range(start, len(raw)):
+            node = self.steps.get(node << 8 | raw[end], 0)
+            if not node:
+                return
+            if (piece := self.piece[node]) < self.size:
+                yield end + 1, piece
+
+
+def spaced(word: str) -> bytes:
+    return b" " + word.encode()
+
 
 class Lattice:
     """All pieces at all places of some words, each with a space before it. Words are put in order of falling length."""
 
-    def __init__(self, words: list[str], table: PieceTable):
-        raw = [b" " + word.encode() for word in words]
+    def __init__(self, words: list[str], trie: PieceTrie):
+        raw = [spaced(word) for word in words]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         self.order = np.argsort(-lengths, kind="stable")
         self.lengths = lengths[self.order]
         self.longest = int(lengths.max())
         #: Words of at least so many bytes: they come first.
-        self.active = [int(np.searchsorted(-self.lengths, -j, "right")) for j in range(self.longest + 1)]
+        active = [int(np.searchsorted(-self.lengths, -j, "right")) for j in range(self.longest + 1)]
         filled = np.zeros((len(raw), self.longest), np.uint8)
         filled[np.arange(self.longest) < self.lengths[:, None]] = np.frombuffer(b"".join(raw[i] for i in self.order), np.uint8)
         columns = np.ascontiguousarray(filled.T).astype(np.uint64)
-        self.arcs: list[tuple[int, int, np.ndarray]] = []  # start, end, piece of the first words
+        self.arcs: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # start, end, words and the piece of each
         for start in range(self.longest):
-            keys = np.zeros(self.active[start], np.uint64)
-            for end in range(start + 1, min(start + LONGEST_PIECE, self.longest) + 1):
-                m = self.active[end]
-                keys = (keys[:m] << np.uint64(8)) | columns[end - 1][:m]
-                self.arcs.append((start, end, table.find(keys)))
+            rows, nodes = np.arange(active[start + 1]), np.zeros(active[start + 1], np.int32)
+            for end in range(start + 1, self.longest + 1):
+                m = np.searchsorted(rows, active[end])
+                rows = rows[:m]
+                nodes = trie.step(nodes[:m], columns[end - 1][rows])
+                going = np.flatnonzero(nodes)
+                if not len(going):
+                    break
+                rows, nodes = rows[going], nodes[going]
+                pieces = trie.piece[nodes]
+                whole = np.flatnonzero(pieces < trie.size)
+                if len(whole):
+                    self.arcs.append((start, end, rows[whole], pieces[whole]))
 
     def forward(self, weights: np.ndarray) -> np.ndarray:
-        """Per place the sum over segmentations up to it. weights: piece x columns, of zeros for no piece."""
+        """Per place the sum over segmentations up to it. weights: piece x columns."""
         sums = np.zeros((self.longest + 1, len(self.lengths), weights.shape[1]))
         sums[0] = 1.0
-        for start, end, pieces in self.arcs:
-            m = len(pieces)
-            sums[end, :m] += sums[start, :m] * weights[pieces]
+        for start, end, rows, pieces in self.arcs:
+            sums[end, rows] += sums[start, rows] * weights[pieces]
         return sums
 
     def backward(self, weights: np.ndarray) -> np.ndarray:
         sums = np.zeros((self.longest + 1, len(self.lengths), weights.shape[1]))
         sums[self.lengths, np.arange(len(self.lengths))] = 1.0
-        for start, end, pieces in reversed(self.arcs):
-            m = len(pieces)
-            sums[start, :m] += sums[end, :m] * weights[pieces]
+        for start, end, rows, pieces in reversed(self.arcs):
+            sums[start, rows] += sums[end, rows] * weights[pieces]
         return sums
 
     def ends(self, sums: np.ndarray) -> np.ndarray:
@@ -141,65 +184,103 @@ class Lattice:
 
 def _per_byte(pieces: list[bytes], by: float) -> np.ndarray:
     """Factors that keep sums over words of up to a hundred bytes within a double: ``by`` for every byte of a piece."""
-    return np.exp(by * np.array([*map(len, pieces), 0], float))[:, None]
+    return np.exp(by * np.array([*map(len, pieces)], float))[:, None]
+
+
+def _log_sum(a: float, b: float) -> float:
+    high, low = (a, b) if a > b else (b, a)
+    return high + math.log1p(math.exp(low - high)) if low > -math.inf else high
 
 
 class UniformUses:
     """Expected uses of pieces in words when every piece has the same chance."""
 
     def __init__(self, pieces: list[bytes]):
-        self.table = PieceTable(pieces)
+        self.trie = PieceTrie(pieces)
         self.weights = _per_byte(pieces, np.log(len(pieces)) / 3) / len(pieces)
-        self.weights[-1] = 0.0
 
     def add(self, words: list[str], counts: np.ndarray, total: np.ndarray) -> None:
-        lattice = Lattice(words, self.table)
+        counts = np.asarray(counts, float)
+        long = np.fromiter(map(is_long, words), bool, len(words))
+        for i in np.flatnonzero(long):
+            self._add_long(spaced(words[i]), counts[i], total)
+        short = np.flatnonzero(~long)
+        if not len(short):
+            return
+        lattice = Lattice([words[i] for i in short], self.trie)
         forward, backward = lattice.forward(self.weights)[..., 0], lattice.backward(self.weights)[..., 0]
-        share = np.asarray(counts, float)[lattice.order] / backward[0]
+        share = counts[short][lattice.order] / backward[0]
         found, uses = [], []
-        for start, end, pieces in lattice.arcs:
-            m = len(pieces)
+        for start, end, rows, pieces in lattice.arcs:
             found.append(pieces)
-            uses.append(forward[start, :m] * self.weights[pieces, 0] * backward[end, :m] * share[:m])
-        total += np.bincount(np.concatenate(found), np.concatenate(uses), self.table.size + 1)[:-1]
+            uses.append(forward[start, rows] * self.weights[pieces, 0] * backward[end, rows] * share[rows])
+        total += np.bincount(np.concatenate(found), np.concatenate(uses), self.trie.size)
+
+    def _add_long(self, raw: bytes, count: float, total: np.ndarray) -> None:
+        """The same in logarithms; two numbers a byte are held."""
+        chance = -math.log(self.trie.size)
+        forward, backward = ([-math.inf] * (len(raw) + 1) for _ in range(2))
+        forward[0] = backward[-1] = 0.0
+        for start in range(len(raw)):
+            for end, _ in self.trie.pieces_from(raw, start):
+                forward[end] = _log_sum(forward[end], forward[start] + chance)
+        for start in reversed(range(len(raw))):
+            for end, piece in self.trie.pieces_from(raw, start):
+                through = backward[end] + chance
+                backward[start] = _log_sum(backward[start], through)
+                total[piece] += count * math.exp(forward[start] + through - forward[-1])
 
 
 class Scorer:
-    """Log-likelihoods of words under every language; words seen before are kept, up to a bound."""
+    """Log-likelihoods of words under every language; short words seen before are kept, up to a bound."""
 
     SCALE = 5.0
 
     def __init__(self, pieces: list[bytes], logs: np.ndarray):
-        self.table, self.pieces, self.logs = PieceTable(pieces), pieces, logs
-        self.weights = np.vstack([np.exp(logs), np.zeros(logs.shape[1])]) * _per_byte(pieces, self.SCALE)
+        self.trie, self.logs = PieceTrie(pieces), logs
+        self.weights = np.exp(logs) * _per_byte(pieces, self.SCALE)
         self.known: dict[str, int] = {}
         self.rows = np.zeros((0, logs.shape[1]))
 
     def words(self, words: list[str]) -> np.ndarray:
         """words x languages."""
-        lattice = Lattice(words, self.table)
-        ends = lattice.ends(lattice.forward(self.weights))
-        found = np.empty_like(ends)
-        with np.errstate(divide="ignore"):
-            found[lattice.order] = np.log(ends) - self.SCALE * lattice.lengths[:, None]
-        for i in np.flatnonzero(~np.isfinite(found).all(axis=1)):  # too small or too large for a double
-            found[i] = self._in_logs(words[i])
+        found = np.empty((len(words), self.logs.shape[1]))
+        long = np.fromiter(map(is_long, words), bool, len(words))
+        short = np.flatnonzero(~long)
+        if len(short):
+            lattice = Lattice([words[i] for i in short], self.trie)
+            ends = lattice.ends(lattice.forward(self.weights))
+            with np.errstate(divide="ignore"):
+                found[short[lattice.order]] = np.log(ends) - self.SCALE * lattice.lengths[:, None]
+        found[long] = np.nan
+        for i in np.flatnonzero(~np.isfinite(found).all(axis=1)):  # long, or too small or too large for a double
+            found[i] = self._in_logs(spaced(words[i]))
         return found
 
-    def _in_logs(self, word: str) -> np.ndarray:
-        lattice = Lattice([word], self.table)
-        sums = np.full((lattice.longest + 1, self.logs.shape[1]), -np.inf)
+    def _in_logs(self, raw: bytes) -> np.ndarray:
+        """One word; only the places that a piece can reach are held."""
+        around = self.trie.longest + 1
+        sums = np.full((around, self.logs.shape[1]), -np.inf)
         sums[0] = 0.0
-        for start, end, (piece,) in lattice.arcs:
-            if piece < self.table.size:
-                sums[end] = np.logaddexp(sums[end], sums[start] + self.logs[piece])
-        return sums[-1]
+        for start in range(len(raw)):
+            here = sums[start % around].copy()
+            sums[start % around] = -np.inf
+            for end, piece in self.trie.pieces_from(raw, start):
+                at = end % around
+                sums[at] = np.logaddexp(sums[at], here + self.logs[piece])
+        return sums[len(raw) % around]
 
     def add(self, words: list[str], at: np.ndarray, total: np.ndarray) -> None:
         """Add each word's logs to the row of ``total`` that ``at`` names."""
         if len(self.known) > CACHED_WORDS:
             self.known, self.rows = {}, self.rows[:0]
-        new = [word for word in dict.fromkeys(words) if word not in self.known]
+        long = [i for i, word in enumerate(words) if 4 * len(word) > LONG_WORD and is_long(word)]
+        if long:
+            for i, row in zip(long, self.words([words[i] for i in long])):
+                total[at[i]] += row
+            rest = np.delete(np.arange(len(words)), long)
+            words, at = [words[i] for i in rest], at[rest]
+        new = sorted((word for word in dict.fromkeys(words) if word not in self.known), key=len)
         parts = [self.words(new[i:i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
         self.known.update(zip(new, range(len(self.known), len(self.known) + len(new))))
         self.rows = np.concatenate([self.rows, *parts])
@@ -238,6 +319,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[str, Counter] = {}
+        letters = 0
 
         def flush() -> pd.DataFrame:
             rows = [(lang, word, n) for lang, words in held.items() for word, n in words.items()]
@@ -247,9 +329,12 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for lang, text in zip(batch["lang"], batch["text"]):
                 for portion in portions(text):
-                    held.setdefault(lang, Counter()).update(words_of(portion))
-            if sum(map(len, held.values())) > CACHED_WORDS:
-                yield flush()
+                    words = words_of(portion)
+                    held.setdefault(lang, Counter()).update(words)
+                    letters += sum(n for n in map(len, words) if n > LONG_WORD)
+                if letters > CACHED_LETTERS or sum(map(len, held.values())) > CACHED_WORDS:
+                    yield flush()
+                    letters = 0
         yield flush()
 
     counted = docs.filter("lang is not null and text is not null").select("lang", "text").mapInPandas(
@@ -270,7 +355,7 @@ def train(docs: DataFrame, vocabulary: list[bytes]) -> tuple[list[str], np.ndarr
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, rows in batch.groupby("lang"):
-                total = totals.setdefault(lang, np.zeros(model.table.size))
+                total = totals.setdefault(lang, np.zeros(model.trie.size))
                 words, counts = rows["word"].tolist(), rows["n"].to_numpy()
                 for i in range(0, len(words), TOGETHER):
                     model.add(words[i:i + TOGETHER], counts[i:i + TOGETHER], total)

@@ -155,6 +155,53 @@ def test_expected_uses():
         assert total[PIECES.index(piece)] == pytest.approx(wanted)
 
 
+def plain_log(raw, logs):
+    """The forward sum over a dictionary of pieces, in logarithms, one place after the other."""
+    sums, longest = [0.0] + [-math.inf] * len(raw), max(map(len, logs))
+    for end in range(1, len(raw) + 1):
+        ways = [sums[start] + logs[raw[start:end]] for start in range(max(0, end - longest), end) if raw[start:end] in logs]
+        top = max(ways)
+        sums[end] = top + math.log(sum(math.exp(w - top) for w in ways))
+    return sums[-1]
+
+
+WORDS = ["informationen", "natürlich", "также", "हिन्दी", "क्षत्रिय", "ภาษาไทย", "cafe\u0301", "возможность", "ありがとうございます", "z" * 23,
+         "wort" * 40, "ありがとうございます" * 9, "हिन्दी" * 30]
+
+
+def test_whole_vocabulary_and_words_of_any_length():
+    pieces = language.read_vocabulary()
+    assert len(pieces) >= 50_256 and max(map(len, pieces)) > 8
+    rng = np.random.default_rng(5)
+    logs = np.log(rng.dirichlet(np.ones(len(pieces)), 2).T)
+    total = np.zeros((len(WORDS), 2))
+    scorer = language.Scorer(pieces, logs)
+    for _ in range(2):  # the second time from what is kept
+        scorer.add(WORDS, np.arange(len(WORDS)), total)
+    for k in range(2):
+        chances = dict(zip(pieces, logs[:, k]))
+        assert total[:, k] / 2 == pytest.approx([plain_log(b" " + word.encode(), chances) for word in WORDS])
+
+
+def test_expected_uses_of_long_pieces_and_words(monkeypatch):
+    uses = language.UniformUses(language.read_vocabulary())
+    together, alone = np.zeros(uses.trie.size), np.zeros(uses.trie.size)
+    words, counts = WORDS[:10], np.arange(1.0, 11.0)
+    uses.add(words, counts, together)
+    monkeypatch.setattr(language, "LONG_WORD", 0)
+    uses.add(words, counts, alone)
+    assert together == pytest.approx(alone, rel=1e-9, abs=1e-12)
+    lengths = np.array([*map(len, language.read_vocabulary())])
+    assert together @ lengths == pytest.approx(sum(n * (1 + len(w.encode())) for n, w in zip(counts, words)))  # every byte is in one piece
+
+
+def test_words_keep_marks_and_length():
+    assert language.words_of("Hindi: हिन्दी, CAFE\u0301! x2y ½ 3") == ["hindi", "हिन्दी", "cafe\u0301", "x", "y"]
+    assert language.words_of("a" * 5_000) == ["a" * 5_000] and language.words_of("\u0301 ् 12") == []
+    text = "क्षि" * 400_000 + " ab"
+    assert list(language.portions(text)) == [text[:-3], " ab"]
+
+
 def test_very_unlikely_words_have_finite_logs():
     logs = np.full((len(PIECES), 1), -30.0)
     assert np.isfinite(language.Scorer(PIECES, logs).words(["z" * 24, "ab"])).all()
