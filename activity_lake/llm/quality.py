@@ -167,14 +167,14 @@ def assess(docs: DataFrame, classifier: Classifier, out: str = "quality", levels
     total_n, total = overall["n"] or 0, overall["good"] or 0.0
     base = (total + 1) / (total_n + 2)
     table, strengths = finest, []
+    shrunk = F.lit(base)  # the rate of the level above, drawn towards its own parents'
     for i, key in enumerate(keys):
         level = finest.groupBy(*keys[:i + 1]).agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-        parent = F.lit(base) if i == 0 else None
+        for j in range(i):
+            level = level.join(finest.groupBy(*keys[:j + 1]).agg(F.sum("good").alias(f"up_good{j}"), F.sum("n").alias(f"up_n{j}")), keys[:j + 1])
         if i:
-            above = finest.groupBy(*keys[:i]).agg(F.sum("good").alias("up_good"), F.sum("n").alias("up_n"))
-            level = level.join(above, keys[:i])
-            parent = (F.col("up_good") + strengths[0] * base) / (F.col("up_n") + strengths[0])
-        strengths.append(concentration(level, parent))
+            shrunk = (F.col(f"up_good{i - 1}") + strengths[i - 1] * shrunk) / (F.col(f"up_n{i - 1}") + strengths[i - 1])
+        strengths.append(concentration(level, shrunk))
         table = table if i == len(keys) - 1 else table.join(
             level.select(*keys[:i + 1], F.col("good").alias(f"good{i}"), F.col("n").alias(f"n{i}")), keys[:i + 1])
     last = len(keys) - 1

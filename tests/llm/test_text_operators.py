@@ -243,6 +243,40 @@ def test_sparse_sites_keep_near_their_parents_rate(spark):
     assert sites["host", "x", "good text"] > sites["lonely", "x", "!!"] > sites["host", "y", "!!"]
 
 
+def test_rates_of_three_levels_are_drawn_level_by_level(spark):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(["good text", "!!", "so so!"]), f"l{i % 3}", f"h{i % 5}", i % 2) for i in range(200)]
+    docs = documents(spark, rows, False)
+    likes_letters = quality.Classifier(np.zeros(36), np.ones(36), np.array([4.0] + [0.0] * 4 + [-8.0] + [0.0] * 31))
+    levels = ("source", "lang", docs.columns[4])
+    got = {r["doc_id"]: r["quality"] for r in quality.assess(docs, likes_letters, levels=levels).collect()}
+    p = {i: 1 / (1 + math.exp(-q["evidence"])) for i, q in got.items()}
+    key = {r["doc_id"]: [tuple(str(r[c]) for c in levels[:k]) for k in (1, 2, 3)] for r in docs.collect()}
+    base = (sum(p.values()) + 1) / (len(p) + 2)
+    sums = {}
+    for i, sites in key.items():
+        for site in sites:
+            good, n = sums.get(site, (0.0, 0))
+            sums[site] = good + p[i], n + 1
+    strengths = []
+
+    def drawn(site, own=0.0, less=0):
+        rate = base
+        for k in range(len(site)):
+            good, n = sums[site[:k + 1]]
+            rate = (good - own + strengths[k] * rate) / (n - less + strengths[k])
+        return rate
+
+    for k in (1, 2, 3):
+        sites = {site: sums[site] for site in sums if len(site) == k}
+        seen = sum(n * (good / n - drawn(site[:-1])) ** 2 for site, (good, n) in sites.items())
+        chance = sum(drawn(site[:-1]) * (1 - drawn(site[:-1])) for site in sites)
+        most = sum(n * drawn(site[:-1]) * (1 - drawn(site[:-1])) for site, (_, n) in sites.items())
+        strengths.append(min(max(1 / max(max(seen - chance, 0) / most, 1e-6) - 1, 1.0), 1e4))
+    for i, sites in key.items():
+        assert got[i]["site"] == pytest.approx(drawn(sites[2], p[i], 1))
+
+
 def test_quality_of_awkward_tables(spark):
     docs = documents(spark)
     labels = spark.createDataFrame([(3, 1), (4, 0), (4, 1), (None, 1), (5, None), (501, 0), (502, 0)], "doc_id long, quality int")
