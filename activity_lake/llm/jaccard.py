@@ -7,9 +7,11 @@ sets share a shingle of their short prefixes (prefix filter). Around that:
 * Index-level skipping: the list of a shingle holds its sets in blocks by position, ordered by size within a block. From a
   set's position and size follows the range of sizes that a partner in a block can have; a block without any is skipped,
   and so is a set without any block. Only sets with a possible partner go on, to the list's hub, its smallest set id.
-* Answer-level skipping: at a hub the overlap of one set with all others is computed. It bounds what a similar set can share
-  with anyone, ``|x & z| <= |h & z| + |x - h|``; where the bound fails no overlap is computed, and sets that are linked
-  to each other by now need none either: the answer is the connected components, which lose no link.
+* Answer-level skipping: at a hub the overlaps of one set with all others are its answer. The answer of a set ``x`` that is
+  highly similar to an answered ``h`` is derived from it: the lists of ``x - h`` are added and those of ``h - x`` taken
+  off, where these are shorter than the lists of ``x``. Answers also bound what others can share with anyone,
+  ``|x & z| <= |h & z| + |x - h|``; where the bound fails no overlap is computed, and sets that are linked to each other
+  by now need none either: the result is the connected components, which lose no link.
 
 Hubs with very many sets are split into pairs of chunks. The order of shingles comes from a count sketch over all documents,
 of fixed size; it decides what is rare, not what is found.
@@ -37,6 +39,7 @@ SKETCH_BITS = 20  # counters of the sketch: 4 MB, whatever the corpus
 SKETCH_SLICES = 16
 CHUNK = 4_096  # sets of a hub in one task
 POSITION_BLOCKS = 64
+ANSWERS = 16  # computed answers that a task holds to derive others from
 BROADCAST_ROWS = 200_000  # keys of repeated rows that are sent to all tasks; more are joined by shuffling
 NO_ID = np.iinfo(np.int64).max
 
@@ -141,7 +144,7 @@ def sketch(docs: DataFrame, words: int) -> np.ndarray:
 
 
 ENTRY = ("u8", "i8", "u4", "u4")  # shingle, set, its size, the shingle's position in it
-ROW = "kind string, part long, block binary, doc_id long, n long, set_id long"
+ROW = "kind string, part long, block binary, doc_id long, spare long, n long, set_id long"
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
@@ -168,20 +171,21 @@ def find_prefixes(parts: int, words: int, limit: Threshold, counts):
                 part = part_of(columns[0], parts)
                 for i, j in zip(edges := np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]), edges[1:]):
                     tokens, *rest = (c[i:j] for c in columns)
-                    rows.append(("list", int(part[i]), pack(np.diff(tokens, prepend=np.uint64(0)), *rest), None, None, None))
-            columns = zip(*rows) if rows else [()] * 6
-            kinds = (object, "int64", object, "Int64", "Int64", "Int64")  # Int64: with nulls, not by way of doubles
+                    rows.append(("list", int(part[i]), pack(np.diff(tokens, prepend=np.uint64(0)), *rest), None, None, None, None))
+            columns = zip(*rows) if rows else [()] * 7
+            kinds = (object, "int64", object, "Int64", "Int64", "Int64", "Int64")  # Int64: with nulls, not by way of doubles
             made = pd.DataFrame({c.split()[0]: pd.Series(x, dtype=k) for c, x, k in zip(ROW.split(", "), columns, kinds)})
             for held in (rows, seen, entries):
                 held.clear()
             return made
 
         for batch in batches:
+            spares = iter(batch["spare"].tolist())
             for keys, offsets, block in together(batch):
                 for key, tokens in zip(keys, shingle_sets(offsets, block, words, powers)):
                     size = len(tokens)
                     sid = set_id(tokens) if size else None
-                    rows.append(("doc", 0, None, int(key), size, sid))
+                    rows.append(("doc", 0, None, int(key), next(spares), size, sid))
                     if not size or sid in seen:
                         continue
                     seen.add(sid)
@@ -274,13 +278,25 @@ class Sets:
         self.held = inverse
         self.first = np.searchsorted(owner, np.arange(len(tokens) + 1))
 
-    def overlaps(self, x: int) -> np.ndarray:
-        """Of one set with every set."""
-        own = self.held[self.first[x]:self.first[x + 1]]
-        lists = [self.lists[a:b] for a, b in zip(self.begin[own], self.end[own])]
-        found = np.bincount(np.concatenate(lists), minlength=len(self.size)) if lists else np.zeros(len(self.size), np.int64)
-        found[x] = self.size[x]
-        return found
+    def shared(self, x: int) -> np.ndarray:
+        """The shingles of a set that others hold too, in order."""
+        return self.held[self.first[x]:self.first[x + 1]]
+
+    def work(self, shingles: np.ndarray) -> int:
+        return int((self.end[shingles] - self.begin[shingles]).sum())
+
+    def count(self, shingles: np.ndarray) -> np.ndarray:
+        """How many of them each set holds."""
+        lists = [self.lists[a:b] for a, b in zip(self.begin[shingles], self.end[shingles])]
+        return np.bincount(np.concatenate(lists), minlength=len(self.size)) if lists else np.zeros(len(self.size), np.int64)
+
+    def derived(self, x: int, h: int, common: np.ndarray) -> np.ndarray | None:
+        """The answer of x from that of h, or nothing if its own lists are less work."""
+        own, other = self.shared(x), self.shared(h)
+        more, less = np.setdiff1d(own, other, assume_unique=True), np.setdiff1d(other, own, assume_unique=True)
+        if self.work(more) + self.work(less) >= self.work(own):
+            return None
+        return common + self.count(more) - self.count(less)
 
 
 def components(tokens: list[np.ndarray], limit: Threshold) -> np.ndarray:
@@ -296,10 +312,16 @@ def components(tokens: list[np.ndarray], limit: Threshold) -> np.ndarray:
 
     sets = Sets(tokens)
     size, answered = sets.size, np.zeros(n, bool)
+    computed: dict[int, np.ndarray] = {}  # answers by set, the newest last
 
     def answer(x: int) -> np.ndarray:
-        """Compute the overlaps of a set with all others and join it with its partners."""
-        common = sets.overlaps(x)
+        """Find the overlaps of a set with all others, from a similar set's if there is one, and join it with its partners."""
+        h = max(computed, key=lambda y: computed[y][x] / (size[y] + size[x] - computed[y][x]), default=None)
+        common = None if h is None else sets.derived(x, h, computed[h])
+        if common is None:
+            common = computed[x] = sets.count(sets.shared(x))
+            if len(computed) > ANSWERS:
+                del computed[next(iter(computed))]
         for z in np.flatnonzero(common >= limit.overlap(size[x], size)).tolist():
             a, b = root(x), root(z)
             parent[max(a, b)] = min(a, b)
@@ -386,11 +408,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, part_byt
     """
     spark, limit = docs.sparkSession, Threshold(percent)
     parts = power_of_two(text_bytes(docs, "text"), part_bytes)
-    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), F.col("text").cast("binary").alias("text"))
+    text = F.col("text").cast("binary")
+    # Texts without an id are told apart by a hash, so that they don't all meet where a text is looked up by its key.
+    spare = F.when(F.col("doc_id").isNull(), F.shiftrightunsigned(F.xxhash64(text), 1)).otherwise(F.lit(0))
+    lean = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), spare.cast("long").alias("spare"), text.alias("text"))
     counts = spark.sparkContext.broadcast(cloudpickle.dumps(sketch(lean, words)))
     first = cut(lean.mapInPandas(find_prefixes(parts, words, limit, counts), ROW), "prefixes", packed=True)
     rows = first.filter("kind = 'doc'").select("doc_id", "n", "set_id")
-    sets = rows.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("key"))
+    # The least of both belong together: only rows without an id have another spare key than 0.
+    sets = first.filter("kind = 'doc' and n > 0").groupBy("set_id").agg(F.min("doc_id").alias("key"), F.min("spare").alias("spare"))
     found = cut(first.filter("kind = 'list'").select("part", "block").groupBy("part").applyInPandas(
         members(limit), "hub long, set_id long").distinct(), "members")
     # Only hubs with more sets than a task takes are split: into chunks, which meet in pairs.
@@ -416,7 +442,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, part_byt
             yield pd.DataFrame(out, columns=["hub", "i", "j", "set_id", "text"]).astype(
                 {"hub": "int64", "i": "int32", "j": "int32", "set_id": "int64"})
 
-    sent = lean.join(wanted, "key").select("key", "text", "set_id", "at").mapInPandas(
+    sent = lean.join(wanted, ["key", "spare"]).select("key", "text", "set_id", "at").mapInPandas(
         spread, "hub long, i int, j int, set_id long, text binary")
     place = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(2 * parts))
     links = sent.withColumn("part", place).groupBy("part").applyInPandas(solve(words, limit), "a long, b long")

@@ -6,6 +6,8 @@ import hashlib
 import os
 import random
 
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -236,3 +238,35 @@ def test_keep_one(spark):
     assert sorted(ids) == sorted({c for d, _, c in found if d is not None})
     assert jaccard.keep_one(docs.limit(0)).count() == 0
     assert len(words(random.Random(1), 3)) == 3
+
+
+def test_answers_derived_from_similar_sets():
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 2 ** 63, 300, np.uint64)
+    tokens = []
+    for _ in range(40):
+        own = base.copy()
+        own[rng.integers(0, 300, rng.integers(0, 12))] = rng.integers(0, 2 ** 63, 1, np.uint64)
+        tokens.append(np.unique(own))
+    tokens += [np.unique(rng.integers(0, 2 ** 63, 50, np.uint64)) for _ in range(3)]
+    sets = jaccard.Sets(tokens)
+    answer, derived = sets.count(sets.shared(0)), 0
+    for x in range(1, len(tokens)):
+        found = sets.derived(x, 0, answer)
+        if found is not None:
+            derived += 1
+            assert (found == sets.count(sets.shared(x))).all()
+            assert [int(c) for i, c in enumerate(found) if i != x] == [
+                len(np.intersect1d(tokens[x], tokens[i])) for i in range(len(tokens)) if i != x]
+    assert derived >= 39
+
+
+def test_texts_without_ids_are_looked_up_apart(spark):
+    def text(i):
+        return " ".join(f"w{i}x{j}" for j in range(30))
+
+    rows = [(None, text(i % 20) + (" end" if i % 2 else ""), "en", "a", 0) for i in range(60)] + [(7, text(3), "en", "a", 0), (9, text(50), "en", "a", 0)]
+    docs = documents(spark, rows, False)
+    got = Counter(tuple(r) for r in jaccard.near_duplicates(docs, 5, 80).collect())
+    # texts 3 and "3 end" are one component with id 7; the others have no id to be named by
+    assert got == Counter({(7, 26, 7): 1, (9, 26, 9): 1, (None, 27, 7): 3, (None, 26, None): 30, (None, 27, None): 27})
