@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from activity_lake.llm.common import power_of_two, unused
+from activity_lake.llm.common import cut, power_of_two, unused
 from activity_lake.llm.sharding import ROWS_PER_BUCKET, shuffle_key
 
 WEIGHTS = (5, 2, 1)
@@ -115,7 +115,7 @@ def mix(docs: DataFrame, seed: str = SEED, weights: tuple[int, ...] = WEIGHTS, m
 
 
 def op7_mixture(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    lean = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    lean = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")  # texts are read once
     counted = copies(lean, "size", shuffle_key(seed, F.col("doc_id"), F.col("size")), [F.col("doc_id")], seed)
     return counted.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from activity_lake.llm import mixing, sharding
+from activity_lake.llm.common import cut
 from tests.llm.data import CLASHING, documents
 
 
@@ -38,6 +39,46 @@ def test_fewer_rows_than_shards_and_none(spark):
     assert {(r["size"], r["text_crc32"], r["law"], r["grown_shard"]) for r in few} == {(1, 0, "rows", None)}
 
 
+def plain_places(rows, shards):
+    """doc_id -> (shard, slot) of rows (doc_id, source, key), sorted as a whole."""
+    of, ranked = defaultdict(list), []
+    for doc_id, source, key in rows:
+        of[source].append((key, doc_id))
+    for source, own in of.items():
+        ranked += [((2 * r - 1) / (2 * len(own)), source, doc_id) for r, (_, doc_id) in enumerate(sorted(own), 1)]
+    places, slots = {}, Counter()
+    for g, (_, _, doc_id) in enumerate(sorted(ranked)):
+        shard = g * shards // len(rows)
+        places[doc_id] = (shard, slots[shard])
+        slots[shard] += 1
+    return places
+
+
+def test_many_sources_of_one_row_are_spread(spark, monkeypatch):
+    """All of them have the fractional rank 1/2; no range takes much more than its share, and the order is the plain one."""
+    rows = [(i, f"s{i}" if i % 3 else "hot") for i in range(6_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").repartition(4)
+    written = []
+    monkeypatch.setattr(sharding, "cut", lambda df, purpose: written.append((purpose, kept := cut(df, purpose))) or kept)
+    made = sharding.interleave(docs, 7, "source", sharding.shuffle_key("x", F.col("doc_id")), [F.col("doc_id")], 200)
+    keys = {r["doc_id"]: r["k"] for r in docs.select("doc_id", sharding.shuffle_key("x", F.col("doc_id")).alias("k")).collect()}
+    want = plain_places([(i, source, keys[i]) for i, source in rows], 7)
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in made.collect()} == want
+    sizes = [r["count"] for r in dict(written)["ranges"].groupBy("part_").count().collect()]
+    assert len(sizes) >= 30 and max(sizes) <= 2 * sorted(sizes)[len(sizes) // 2]
+
+
+def test_equal_rows_travel_as_one(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_TOGETHER", 7)
+    rows = [(1, "same", "en", "a", 4)] * 100 + [(None, "none", "en", None, 4)] * 50 + [(i, "w", "en", "b", 1) for i in range(9)]
+    docs = documents(spark, rows, False)
+    made = sharding.op1_shards(docs, 4).collect()
+    assert Counter(r["doc_id"] for r in made)[1] == 101 and len({(r["shard"], r["slot"]) for r in made}) == 159
+    whole = sharding.shard_documents(docs, 4).collect()
+    assert Counter((r["doc_id"], r["shard"], r["slot"]) for r in whole) == Counter((r["doc_id"], r["shard"], r["slot"]) for r in made)
+    assert Counter(tuple(r)[:5] for r in whole) == Counter(rows)
+
+
 @pytest.mark.parametrize("sizes", [
     [("a", 100), ("b", 100), ("c", 100)], [("a", 1), ("b", 1000), ("c", 2), (None, 5)], [("a", 0), ("b", 7)], [("a", 0)],
     [(f"s{i:02}", 10 ** (i % 5)) for i in range(12)],
