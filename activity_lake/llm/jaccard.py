@@ -13,7 +13,9 @@ sets share a shingle of their short prefixes (prefix filter). Around that:
   ``|x & z| <= |h & z| + |x - h|``; where the bound fails no overlap is computed, and sets that are linked to each other
   by now need none either: the result is the connected components, which lose no link.
 
-Hubs with very many sets are split into pairs of chunks. The order of shingles comes from a count sketch over all documents,
+Hubs with very many sets are split into chunks. First each chunk meets the hub's own set: what is linked with it, directly
+or through others of the chunk, is settled. Only the sets left open go on, in chunks, to every chunk of the hub, so the work
+of a large group of near copies grows with its number, not with its square. The order of shingles comes from a count sketch over all documents,
 of fixed size; it decides what is rare, not what is found.
 """
 
@@ -34,10 +36,12 @@ from activity_lake.llm.hashing import Powers, Spans, mixed
 
 PART_BYTES = 16 << 20
 TOGETHER = 1 << 19  # bytes of documents looked at together
+SENT_BYTES = 4 << 20  # compressed texts that are sent together
 SENT_TOGETHER = 4_000  # documents whose prefix entries are packed together
 SKETCH_BITS = 20  # counters of the sketch: 4 MB, whatever the corpus
 SKETCH_SLICES = 16
 CHUNK = 4_096  # sets of a hub in one task
+WHOLE, FIRST = -1, -2  # meetings of all sets of a hub, and of a chunk with the hub's own set
 POSITION_BLOCKS = 64
 ANSWERS = 16  # computed answers that a task holds to derive others from
 BROADCAST_ROWS = 200_000  # keys of repeated rows that are sent to all tasks; more are joined by shuffling
@@ -349,7 +353,10 @@ def components(tokens: list[np.ndarray], limit: Threshold) -> np.ndarray:
 
 
 def solve(words: int, limit: Threshold) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """The hubs of one partition: links from each set to the smallest one of its component."""
+    """The meetings of one partition: links from each set to the smallest one of its component, and the hub of a first meeting.
+
+    A first meeting is a chunk of a large hub with the hub's own set; each set that it leaves open comes as a row with itself.
+    """
 
     def read(rows: pd.DataFrame) -> pd.DataFrame:
         powers, unpress = Powers(), zstandard.ZstdDecompressor()
@@ -358,14 +365,20 @@ def solve(words: int, limit: Threshold) -> Callable[[pd.DataFrame], pd.DataFrame
         batch = pd.DataFrame({"key": texts["set_id"].to_numpy(np.int64), "text": [unpress.decompress(x) for x in texts["text"]]})
         for keys, offsets, block in together(batch):
             sets.update(zip(keys.tolist(), shingle_sets(offsets, block, words, powers)))
-        found: list[tuple[int, int]] = []
-        for _, group in rows.groupby(["hub", "i", "j"], sort=False):
+        found: list[tuple[int | None, int, int]] = []
+        for (hub, _, j), group in rows.groupby(["hub", "i", "j"], sort=False):
             ids = np.unique(group["set_id"].to_numpy(np.int64))
-            if len(ids) > 1:
-                root = components([sets[s] for s in ids.tolist()], limit)
-                apart = root != np.arange(len(ids))
-                found += zip(ids[apart].tolist(), ids[root[apart]].tolist())
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64").drop_duplicates()
+            if len(ids) < 2:
+                continue
+            root = components([sets[s] for s in ids.tolist()], limit)
+            apart = root != np.arange(len(ids))
+            found += [(None, a, b) for a, b in zip(ids[apart].tolist(), ids[root[apart]].tolist())]
+            if j == FIRST:
+                left = ids[root != root[np.searchsorted(ids, hub)]].tolist()
+                found += [(hub, a, a) for a in left]
+        columns = zip(*found) if found else [()] * 3
+        kinds = ("Int64", "int64", "int64")  # Int64: with nulls, not by way of doubles
+        return pd.DataFrame({c: pd.array(list(x), dtype=k) for c, x, k in zip(("hub", "a", "b"), columns, kinds)}).drop_duplicates()
 
     return read
 
@@ -419,33 +432,61 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, part_byt
     sets = first.filter("kind = 'doc' and n > 0").groupBy("set_id").agg(F.min("doc_id").alias("key"), F.min("spare").alias("spare"))
     found = cut(first.filter("kind = 'list'").select("part", "block").groupBy("part").applyInPandas(
         members(limit), "hub long, set_id long").distinct(), "members")
-    # Only hubs with more sets than a task takes are split: into chunks, which meet in pairs.
-    large = found.groupBy("hub").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).select(
-        "hub", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+    # Only hubs with more sets than a task takes are split.
+    large = cut(found.groupBy("hub").agg(F.count("*").alias("n")).filter(F.col("n") > CHUNK).select(
+        "hub", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks")), "hubs")
     chunk = F.pmod(F.xxhash64("set_id"), F.col("chunks").cast("long")).cast("int")
-    met = found.join(large, "hub", "left").na.fill(1, ["chunks"]).withColumn("c", chunk).withColumn(
-        "o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).select(
-        "set_id", "hub", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"))
-    wanted = met.groupBy("set_id").agg(F.collect_list(F.struct("hub", "i", "j")).alias("at")).join(sets, "set_id")
+    chunks = found.join(large, "hub", "left")
+    whole = chunks.filter("chunks is null").select("set_id", "hub", F.lit(0).alias("i"), F.lit(WHOLE).alias("j"))
+    split = chunks.filter("chunks is not null and set_id != hub").select("set_id", "hub", chunk.alias("i"), F.lit(FIRST).alias("j"))
+    itself = large.select(F.col("hub").alias("set_id"), "hub", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), F.lit(FIRST).alias("j"))
 
     def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        powers, press = Powers(), zstandard.ZstdCompressor(level=3)
+        powers, press, seen = Powers(), zstandard.ZstdCompressor(level=3), set()
+        out, size = [], 0
+
+        def taken() -> pd.DataFrame:
+            made = pd.DataFrame(out, columns=["hub", "i", "j", "set_id", "text"]).astype(
+                {"hub": "int64", "i": "int32", "j": "int32", "set_id": "int64"})
+            out.clear()
+            return made
+
         for batch in batches:
-            out, at = [], 0
+            at = 0
             for keys, offsets, block in together(batch):
                 for k, tokens in enumerate(shingle_sets(offsets, block, words, powers)):
-                    sid = int(batch["set_id"].iloc[at])
-                    if len(tokens) and set_id(tokens) == sid:  # else another text with this doc_id
-                        text = press.compress(block[offsets[k]:offsets[k + 1]].tobytes())
-                        out += [(x["hub"], x["i"], x["j"], sid, text) for x in batch["at"].iloc[at]]
+                    sid, places = int(batch["set_id"].iloc[at]), batch["at"].iloc[at]
                     at += 1
-            yield pd.DataFrame(out, columns=["hub", "i", "j", "set_id", "text"]).astype(
-                {"hub": "int64", "i": "int32", "j": "int32", "set_id": "int64"})
+                    if not len(tokens) or sid in seen or set_id(tokens) != sid:  # a copy, or another text with this doc_id
+                        continue
+                    seen.add(sid)
+                    text = press.compress(block[offsets[k]:offsets[k + 1]].tobytes())
+                    for x in places:
+                        out.append((x["hub"], x["i"], x["j"], sid, text))
+                        size += len(text)
+                        if size >= SENT_BYTES:
+                            yield taken()
+                            size = 0
+        yield taken()
 
-    sent = lean.join(wanted, ["key", "spare"]).select("key", "text", "set_id", "at").mapInPandas(
-        spread, "hub long, i int, j int, set_id long, text binary")
-    place = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(2 * parts))
-    links = sent.withColumn("part", place).groupBy("part").applyInPandas(solve(words, limit), "a long, b long")
+    def meet(met: DataFrame, purpose: str) -> DataFrame:
+        wanted = met.groupBy("set_id").agg(F.collect_list(F.struct("hub", "i", "j")).alias("at")).join(sets, "set_id")
+        sent = lean.join(wanted, ["key", "spare"]).select("key", "text", "set_id", "at").mapInPandas(
+            spread, "hub long, i int, j int, set_id long, text binary")
+        place = F.pmod(F.xxhash64("hub", "i", "j"), F.lit(2 * parts))
+        return cut(sent.withColumn("part", place).groupBy("part").applyInPandas(solve(words, limit), "hub long, a long, b long"), purpose)
+
+    links = meet(whole.unionByName(split).unionByName(itself), "linked")
+    if not large.isEmpty():
+        # What is linked with a hub's own set needs no other partner there: the open sets meet everything of the hub.
+        left = cut(links.filter("hub is not null").select("hub", F.col("a").alias("set_id")).distinct(), "open")
+        groups = left.groupBy("hub").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("groups")).join(large, "hub")
+        group = F.pmod(F.xxhash64("set_id", F.lit(1)), F.col("groups").cast("long")).cast("int")
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asked = left.join(groups, "hub").select("set_id", "hub", group.alias("j"), each("chunks").alias("i"))
+        others = found.join(groups, "hub").select("set_id", "hub", chunk.alias("i"), each("groups").alias("j"))
+        links = links.unionByName(meet(asked.unionByName(others).distinct(), "linked"))
+    links = links.select("a", "b")
     labels = connected(links)
     labelled = sets.join(labels, "set_id", "left").select("set_id", "key", F.coalesce("label", "set_id").alias("label"))
     least = labelled.groupBy("label").agg(F.min("key").alias("component_id"))

@@ -13,6 +13,7 @@ import pandas as pd
 import pytest
 
 from activity_lake.llm import jaccard, knn, suffix_dedup, warc
+from activity_lake.llm.common import cut
 from activity_lake.llm.hashing import BASE, BYTE_CODES, grams, sliding_min
 from tests.llm import brute
 from tests.llm.data import documents, words
@@ -189,6 +190,26 @@ def test_links_against_brute_force(spark, words_, percent, chunk, monkeypatch):
     assert brute.in_order(got) == brute.in_order(brute.linked(rows, words_, percent))
 
 
+def test_large_group_of_near_copies_is_settled_by_its_own_set(spark, monkeypatch):
+    """Three hundred near copies fill fifteen chunks of a hub; few stay open for a second meeting, and no link is lost."""
+    monkeypatch.setattr(jaccard, "CHUNK", 20)
+    opened = []
+    monkeypatch.setattr(jaccard, "cut", lambda df, purpose, *packed, **named: (
+        kept := cut(df, purpose, *packed, **named), opened.append(kept.count()) if purpose == "open" else None)[0])
+    rng, base = random.Random(12), [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        own = list(base)
+        own[rng.randrange(30, 200)] = f"x{i}"
+        rows.append((i + 5, " ".join(own)))
+    for i in range(6):  # share half of their words with the copies, and are linked with nothing
+        rows.append((400 + i, " ".join(base[:100] + [f"y{i}z{j}" for j in range(100)])))
+    docs = spark.createDataFrame(rows + [rows[3], rows[3], (None, rows[7][1])], "doc_id long, text string").repartition(6)
+    got = jaccard.near_duplicates(docs, 3, 90).collect()
+    assert brute.in_order(got) == brute.in_order(brute.linked([tuple(r) for r in docs.collect()], 3, 90))
+    assert opened and max(opened) <= 30
+
+
 def test_no_pair_is_skipped():
     rng = random.Random(9)
     limit = jaccard.Threshold(80)
