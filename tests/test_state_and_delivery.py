@@ -62,6 +62,51 @@ def test_state_equals_a_recount_for_any_arrival(spark, folder):
         assert found == as_dict(live_counts(read_bronze(spark, f"{folder}/bronze")), "employe_id", COUNT)
 
 
+class CountedState(dict):
+    """Map state and value state in memory; counts the calls that would go to the engine."""
+
+    calls = 0
+
+    def _called(self, answer=None):
+        self.calls += 1
+        return answer
+
+    def getValue(self, key): return self._called(self.get(key))
+    def updateValue(self, key, value): return self._called(self.__setitem__(key, value))
+    def removeKey(self, key): return self._called(self.pop(key))
+    def getMapState(self, *_): return self
+    def getValueState(self, *_): return CountedValue()
+
+
+class CountedValue(list):
+    def get(self): return self[-1] if self else None
+    def update(self, value): self.append(value)
+
+
+@pytest.mark.parametrize("block", [8, 512])
+def test_state_is_asked_by_blocks(monkeypatch, block):
+    monkeypatch.setattr(keyed_state, "BLOCK", block, raising=False)
+    rng = random.Random(block)
+    processor, state = keyed_state.NewestEvents(), CountedState()
+    processor.init(state)
+    newest, totals, seen = {}, {}, 0
+    for size in (1, 3000, 3000, 1, 2000):
+        rows = [(0, rng.choice([-1, 1]) * rng.randrange(2500), rng.randrange(4), int(rng.random() < 0.6), rng.randrange(9), rng.randrange(3), seen + at) for at in range(size)]
+        seen += size
+        before = state.calls
+        frames = [pd.DataFrame(rows[at:at + 700], columns=["bucket", "id_evenement_sportif", "employe_id", "live", "at", "part", "place"]) for at in range(0, size, 700)]
+        for changes in processor.handleInputRows((0,), iter(frames), None):
+            for owner, change in changes.itertuples(index=False):
+                totals[owner] = totals.get(owner, 0) + change
+        for _, activity, owner, live, *place in rows:
+            newest[activity] = max(newest.get(activity, ([-1],)), (place, owner, live))
+        want = {owner: sum(1 for _, by, live in newest.values() if live and by == owner) for owner in range(4)}
+        assert {owner: n for owner, n in totals.items() if n} == {owner: n for owner, n in want.items() if n}
+        # reading and writing each activity would be two calls an event
+        assert state.calls - before <= max(8 * 4000 / block, 12)
+    assert max(len(bytes(events)) // 48 for events, in state.values()) < 3 * block
+
+
 # Replay
 
 
