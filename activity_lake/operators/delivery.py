@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from activity_lake.operators.notify import let_go
 from activity_lake.sinks.hadoop import HadoopFiles
 
 KEY = ("kafka_partition", "kafka_offset")
@@ -101,6 +102,7 @@ class Delivery:
                 rest = np.isnan(codes)
                 if rest.any():
                     codes[rest] = pd.Series(send(batch[rest].reset_index(drop=True)), dtype="float64").to_numpy()
+                let_go()
                 yield batch.drop(columns="wave").assign(
                     status=np.where(codes == 200, "sent", "failed"), status_code=codes.astype("int32"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -43,12 +44,23 @@ def queued(texts: DataFrame) -> DataFrame:
     return texts.withColumn("status", F.lit("queued")).withColumn("status_code", F.lit(None).cast("int"))
 
 
+def let_go() -> None:
+    """Free what a sender has been handed, where no variable holds it any longer.
+
+    pandas' ``.str`` makes a cycle of a column and its accessor, which only Python's collector frees. That runs after so many
+    new objects; a batch is few objects of many texts, so hundreds of batches would pile up before it does.
+    """
+    gc.collect(1)
+
+
 def deliver(texts: DataFrame, send: Sender) -> DataFrame:
     """Outbox rows after sending: ``sent`` for code 200, else ``failed``, with the code. A retried task sends again."""
 
     def post(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            codes = pd.Series(send(batch["message_text"])).to_numpy()
+            # A copy without the data: the batch holds its own columns until it has been written.
+            codes = pd.Series(send(batch["message_text"].copy(deep=False))).to_numpy()
+            let_go()
             yield batch.assign(status=np.where(codes == 200, "sent", "failed"), status_code=codes.astype("int32"))
 
     return texts.mapInPandas(post, _OUTBOX)

@@ -1,4 +1,6 @@
+import gc
 import os
+import weakref
 
 import pandas as pd
 import pytest
@@ -7,6 +9,7 @@ from activity_lake.config import LakePaths
 from activity_lake.operators import notify
 from activity_lake.operators.bronze import parse_changes, to_bronze
 from activity_lake.operators.current_state import live_counts
+from activity_lake.operators.delivery import Delivery
 from activity_lake.plans.silver import COUNT
 from activity_lake.sources.files import read_bronze
 from activity_lake.sources.topics import stream_topic_files
@@ -106,6 +109,47 @@ def test_gate_skips_what_does_not_change_the_total(spark, folder):
     assert not by_print.log[-1]["written"]
 
 
+class Batches:
+    """Stands for a frame of messages: hands batches to a function as a task would."""
+
+    def select(self, *_): return self
+
+    def mapInPandas(self, post, _):
+        self.made = post(pd.DataFrame({
+            "kafka_partition": 0, "kafka_offset": range(n, n + 3), "employe_id": 1, "message_text": ["a", "view", None], "wave": 0}) for n in range(0, 36, 3))
+        return self
+
+    write = property(lambda self: self)
+    mode = lambda self, _: self
+    parquet = lambda self, _: None
+
+
+@pytest.mark.parametrize("kind", ["deliver", "delivery"])
+def test_sent_texts_are_let_go(spark, folder, kind):
+    handed, batches = [], Batches()
+
+    def send(given):
+        texts = given if kind == "deliver" else given["message_text"]
+        handed.append(weakref.ref(texts))
+        return texts.str.contains("view", na=False).map({True: 500, False: 200})
+
+    if kind == "deliver":
+        notify.deliver(batches, send)
+    else:
+        delivery = Delivery(spark, folder, send, lambda keys: pd.Series([float("nan")] * len(keys)))
+        assert delivery._files.create_text(f"{folder}/started/batch=0-wave=0", "")  # so it is in doubt
+        delivery._deliver(batches, 0, 0)
+    gc.collect()
+    gc.disable()
+    try:
+        for made in batches.made:
+            assert list(made["status"]) == ["sent", "failed", "sent"]
+            assert sum(texts() is not None for texts in handed) <= 1
+    finally:
+        gc.enable()
+    assert len(handed) == 12
+
+
 @pytest.mark.parametrize("counts", ["recount", "incremental"])
 def test_a_new_checkpoint_does_not_count_twice(spark, folder, counts):
     paths = LakePaths(f"{folder}/lake")
