@@ -1,6 +1,7 @@
 import json
 import os
 import random
+import re
 
 import pytest
 
@@ -9,10 +10,10 @@ from activity_lake.operators.keys import with_next_keys
 from activity_lake.operators.synth import synthetic_activities
 from activity_lake.config import COMMENTS, SPORTS
 from activity_lake.schemas import EMPLOYEE_CSV, SURVEY_CSV, TABLES
-from activity_lake.session import scratch_dir
+from activity_lake.session import scratch_dir, shared_root
 from activity_lake.sinks.streams import as_topic_rows
 from activity_lake.sources import files, polling, relational, topics
-from activity_lake.sources.column_json import read_column_document
+from activity_lake.sources.column_json import cells, read_column_document
 from tests.data import as_dict
 from pyspark.sql import functions as F
 
@@ -192,6 +193,24 @@ def test_one_document_in_blocks(spark, folder, block):
         assert rows == want
 
 
+def test_a_document_is_neither_shuffled_nor_written_with_its_path(spark, folder):
+    path = f"{folder}/{'long-' * 30}"
+    os.makedirs(path)
+    with open(f"{path}/doc.json", "w") as out:
+        json.dump({"id": {str(i): i for i in range(20_000)}}, out)
+    spark.sparkContext.setCheckpointDir(f"{folder}/kept")
+    try:
+        found = cells(spark, path)
+        assert found.agg(F.sum(F.col("value").cast("bigint")), F.countDistinct("row_index")).first() == (199_990_000, 20_000)
+    finally:
+        spark.sparkContext.setCheckpointDir(shared_root(spark))
+    written = sum(os.path.getsize(os.path.join(at, name)) for at, _, names in os.walk(f"{folder}/kept") for name in names)
+    assert written < 20_000 * 80
+    # what meets elsewhere is one entry a block
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) <= {"entry"}
+
+
 def test_empty_documents(spark, folder):
     for name, text in (("a", "{}"), ("b", '{"id":{}}'), ("c", "")):
         os.makedirs(f"{folder}/{name}")
