@@ -59,6 +59,75 @@ def test_few_or_no_vectors(spark):
     assert knn.op3_neighbours(df.filter("vec_id = 0")).count() == 0 == knn.op3_neighbours(df.limit(0)).count()
 
 
+def brute_neighbours(rows, k, every):
+    """Of vec_id and whole numbers; query_id, rank, vec_id, score."""
+    wanted = set()
+    width = max(len(v) for _, v in rows)
+    ids, table = np.array([i for i, _ in rows]), np.array([[*v, *[0] * (width - len(v))] for _, v in rows], object)
+    for q, v in {(i, tuple(v)) for i, v in rows if i % every == 0}:
+        scores = np.clip(table[:, :len(v)] @ np.array(v, object), -2 ** 63, 2 ** 63 - 1) if v else np.zeros(len(ids), object)
+        found = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist()) if i != q)[:k]
+        wanted |= {(q, rank + 1, i, -s) for rank, (s, i) in enumerate(found)}
+    return wanted
+
+
+def test_neighbours_in_sets_parts_and_split_cells(spark, monkeypatch):
+    for name, value in (("VECTORS_PER_PIVOT", 60), ("QUERIES_PER_GROUP", 7), ("SET_BYTES", 3 * 7 * 4 * 4), ("PART_VECTORS", 150), ("BLOCK_ROWS", 64)):
+        monkeypatch.setattr(knn, name, value)
+    rng = np.random.default_rng(5)
+    vectors = np.concatenate([c + rng.normal(0, 0.1, (200, 4)) for c in np.eye(4)]).tolist()
+    vectors += [[0.5, -0.25, 0.0, 0.125]] * 400 + [[0.0] * 4] * 40 + [[-0.25, 0.25]] * 60
+    rng.shuffle(vectors)
+    vectors += [[s * 10.0 ** e, 0.0, 0.0, 0.0] for e in (3, 8, 17, 25, 30) for s in (1, -1)]
+    rows = [(i * 7 % 1_301, v) for i, v in enumerate(vectors)]
+    rows += [(i, v) for i, v in rows[:90] for _ in range(9)] + [(i + 1, v) for i, v in rows[90:150]]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    ints = [(i, [int(min(max(np.floor(x * 256), -2 ** 63), 2 ** 63 - 1)) for x in v]) for i, v in rows]
+    got = [tuple(r) for r in knn.op3_neighbours(df, k=4, every=5).collect()]
+    assert set(got) == brute_neighbours(ints, 4, 5)
+
+
+def moved_bytes(df):
+    """Shuffled or broadcast by the plan that ran."""
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        below = node.executedPlan() if kind == "AdaptiveSparkPlanExec" else node.plan() if kind.endswith("QueryStageExec") else None
+        own = node.metrics().apply("dataSize").value() if kind in ("ShuffleExchangeExec", "BroadcastExchangeExec") else 0
+        return own + (walk(below) if below else sum(walk(node.children().apply(i)) for i in range(node.children().size())))
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_neighbours_send_a_vector_once_to_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(knn, "QUERIES_PER_GROUP", 5)
+    monkeypatch.setattr(knn, "VECTORS_PER_PIVOT", 40)
+    vectors = np.random.default_rng(2).normal(0, 0.2, (3_000, 16))  # nothing is excluded
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors.tolist())], "vec_id long, embedding array<double>")
+    assert moved_bytes(knn.op3_neighbours(df, every=10)) < 5 * vectors.nbytes
+
+
+def test_best_of_ties_in_any_order():
+    rng = np.random.default_rng(3)
+    scores, ids = rng.integers(-2, 2, (6, 500)), rng.permutation(500)
+    scores[0], scores[1] = -2 ** 63, 2 ** 63 - 1
+    best = knn.Best(6, 5)
+    for at in np.array_split(np.arange(500), 9):
+        q, v = np.nonzero(np.ones((6, len(at)), bool))
+        best.add(q, scores[q, at[v]], ids[at[v]])
+    for q in range(6):
+        order = np.lexsort((ids, ~scores[q]))[:5]
+        assert (best.ids[q] == ids[order]).all() and (best.scores[q] == scores[q][order]).all() and not best.open[q].any()
+
+
+def test_equal_vectors_stay_while_they_can_count():
+    ids = np.array([1] * 6 + [2] * 2 + [3, 4, 5, 6, 7] + [9])
+    rows = np.zeros((len(ids), 3), np.int16)
+    rows[-1] = 1
+    assert knn.undominated(ids, rows, 2).tolist() == [0, 1, 6, 7, 13]
+    assert len(knn.undominated(np.arange(5), np.eye(5, dtype=np.int16), 1)) == 5
+
+
 PAGES = "page_id long, url string, html string"
 
 
