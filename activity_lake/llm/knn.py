@@ -36,7 +36,7 @@ SET_BYTES = 64_000_000  # of a set's queries as 32-bit floats, which a task hold
 BLOCK_ROWS, BLOCK_BYTES = 8_192, 1_000_000
 PART_VECTORS = 32_768
 MOST_PARTS = 64  # each gets the set's queries and returns k rows a query; more vectors make larger parts and more sets
-TILE = (512, 2_048)  # queries and vectors whose scores stay in a core's cache
+TILE = (1_024, 256)  # queries and vectors whose scores stay in a core's cache
 SLACK = 1e-6
 LEAST, MOST = -2 ** 63, 2 ** 63 - 1
 
@@ -207,10 +207,12 @@ class Pivots:
         """A near cell of each row, and its distance from the cell's pivot, computed anew so that it is not a difference."""
         x = rows.astype(float)
         kind = np.float32 if max(self.top, float(np.abs(x).max(initial=0))) < 2 ** 30 else float
+        points, half, near = self.floats.T.astype(kind), (self.squares / 2).astype(kind), x.astype(kind)
         cell = np.empty(len(x), np.int32)
-        for i in range(0, len(x), 1_024):
-            scores = x[i:i + 1_024].astype(kind) @ self.floats.T.astype(kind)
-            cell[i:i + 1_024] = (self.squares.astype(kind) - 2 * scores).argmin(axis=1)
+        for i in range(0, len(x), 256):
+            scores = near[i:i + 256] @ points
+            scores -= half
+            cell[i:i + 256] = scores.argmax(axis=1)
         return cell, np.sqrt(((x - self.floats[cell]) ** 2).sum(axis=1))
 
 
@@ -374,7 +376,7 @@ def top_k(queries: DataFrame, data: DataFrame, k: int, parts: int | None = None)
         """Blocks of the vectors that a set may need, dealt to its parts in turn."""
         p, needed = pickle.loads(bounds.value)
         waiting, held = {s: [] for s in needed}, dict.fromkeys(needed, 0)
-        full, turn = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (2 * width))), TaskContext.get().partitionId()
+        full, turn = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (2 * width))), int(TaskContext.get().partitionId() * 0.6180339887 % 1 * pieces)
 
         def block(s: int) -> pd.DataFrame:
             nonlocal turn
